@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,14 +103,13 @@ def status(messages: DataFrame) -> str:
     return messages.agg(status_of(F.col("Ernst")).alias("status")).first()[0]
 
 
-def mixed_flag(df: DataFrame, flag: str) -> bool:
-    """Does a boolean column hold both values? Empty ones do not count."""
-    low, high = df.agg(F.min(flag), F.max(flag)).first()
-    return low != high
+def is_mixed(flag: str) -> Column:
+    """Aggregate: a boolean column holds both values; empty ones do not count."""
+    return F.coalesce(F.min(flag) != F.max(flag), F.lit(False))
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def mixed_flag(df: DataFrame, flag: str) -> bool:
+    return df.agg(is_mixed(flag)).first()[0]
 
 
 class QualityError(Exception):

@@ -14,7 +14,9 @@ from fundmart.layouts import (
     LINE_NO,
     TRAILER,
     load_layout,
+    merged_record,
     record_types,
+    typed_schema,
 )
 from fundmart.operators import checks
 from fundmart.operators.merge import stack_tables
@@ -97,11 +99,11 @@ def record_counts(
     parts = []
     with_kind = deliveries.select(LABEL, layout_of(F.col("Soort")).alias("indeling"))
     for name in dict.fromkeys(LAYOUT_OF_KIND.values()):
-        declared_in = load_layout(name)[TRAILER].declared_counts()
-        first = first_row(trailer, [LABEL], list(declared_in)).join(
+        declared_in = list(load_layout(name)[TRAILER].declared_counts())
+        first = first_row(trailer, [LABEL], declared_in).join(
             with_kind.filter(F.col("indeling") == name), LABEL, "left_semi"
         )
-        declared = checks.unpivot(first, [LABEL], list(declared_in), "_veld", "gemeld").withColumn(
+        declared = checks.unpivot(first, [LABEL], declared_in, "_veld", "gemeld").withColumn(
             "tabel", F.substring("_veld", 7, 3)
         )
         found = counts.select(LABEL, "tabel", F.col("n").alias("gevonden"))
@@ -116,7 +118,7 @@ def record_counts(
                 F.col("tabel"),
                 text,
                 F.lit(1),
-                _place(F.col("_veld"), list(declared_in)),
+                _place(F.col("_veld"), declared_in),
             )
         )
     without = deliveries.join(
@@ -239,6 +241,11 @@ def check_deliveries(
     and record type (``levering, tabel, n``). Deliveries without a header are not
     among ``deliveries``; they are refused before this point.
     """
+    # Header and trailer differ per layout; a column only the other one has is null.
+    for rs in (HEADER, TRAILER):
+        missing = [f for f in typed_schema(merged_record(rs)).fields if f.name not in tables[rs].columns]
+        filled = {f.name: F.lit(None).cast(f.dataType) for f in missing}
+        tables = {**tables, rs: tables[rs].withColumns(filled)}
     return stack_tables(
         [
             reading(reader),

@@ -128,7 +128,7 @@ def delivery_coverage(
 
 def source_reports(messages: DataFrame, order: str) -> DataFrame:
     """Per source its status and its messages as a nested list in report order."""
-    item = F.struct(order, *[F.col(c).alias(c.lower()) for c in MESSAGE_COLUMNS])
+    item = F.struct(F.col(order).alias("_plaats"), *[F.col(c).alias(c.lower()) for c in MESSAGE_COLUMNS])
     plain = F.transform(
         F.sort_array(F.collect_list(item)),
         lambda m: F.struct(*[m[c.lower()].alias(c.lower()) for c in MESSAGE_COLUMNS]),

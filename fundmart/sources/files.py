@@ -71,6 +71,10 @@ def duplicate_text(relative_first: Column) -> Column:
     return F.format_string(DUPLICATE_FILE, relative_first)
 
 
+def checksum(content: Column) -> Column:
+    return F.sha2(content, 256)
+
+
 def checksums(spark: SparkSession, paths: list[str], limit: int = CHECKSUM_LIMIT) -> DataFrame:
     """SHA-256 of the bytes of each file, ``(uri, Sha256)``.
 
@@ -83,7 +87,7 @@ def checksums(spark: SparkSession, paths: list[str], limit: int = CHECKSUM_LIMIT
         .filter(F.col("length") <= limit)
         .select(
             F.col("_metadata.file_path").alias("uri"),
-            F.sha2("content", 256).alias("Sha256"),
+            checksum(F.col("content")).alias("Sha256"),
         )
     )
 

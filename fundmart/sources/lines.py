@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fundmart.functions.text import is_blank
 from fundmart.sources.files import literal_path
 
 # Fixed value: line ends that count besides CR and LF (vertical tab, form feed,
@@ -53,6 +54,17 @@ def text_lines(raw: DataFrame, latin1: list[str]) -> DataFrame:
     return split.withColumn("_m", F.monotonically_increasing_id())
 
 
+def numbered_text_lines(
+    df: DataFrame, keys: list[str], text: str, number: str, line: str
+) -> DataFrame:
+    """Non-blank lines of a text column with their 1-based number; blank lines count."""
+    lines = F.posexplode(F.split(F.col(text), f"\\r\\n|\\r|\\n|{_EXTRA_LINE_END}", -1))
+    split = df.select(*keys, lines.alias("_pos", line))
+    return split.filter(~is_blank(F.col(line))).select(
+        *keys, (F.col("_pos") + 1).cast("bigint").alias(number), line
+    )
+
+
 def block_offsets(blocks: DataFrame, keys: list[str], count: str, offset: str) -> DataFrame:
     """Add the number of rows in all earlier blocks of the same ``keys``.
 

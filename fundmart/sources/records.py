@@ -109,22 +109,23 @@ def message_text(extra: Column, n: Column) -> Column:
     return F.when(n.isNull(), UNKNOWN_RECORD).otherwise(F.format_string(EXTRA_FIELDS, extra, n))
 
 
-@F.pandas_udf("bigint")
-def running_count(codes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def running_count(code: Column) -> Column:
     """Position of a row among the rows of the same code, in its scan partition.
 
     The per-code twin of ``monotonically_increasing_id``: only one small integer
     per row goes to Python, and no rows are moved between tasks.
     """
-    seen: dict[int, int] = {}
-    for batch in codes:
-        yield batch.groupby(batch).cumcount() + batch.map(seen).fillna(0).astype("int64")
-        for code, n in batch.value_counts().items():
-            seen[code] = seen.get(code, 0) + n
 
+    @F.pandas_udf("bigint")
+    def count(codes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        seen: dict[int, int] = {}
+        for batch in codes:
+            yield batch.groupby(batch).cumcount() + batch.map(seen).fillna(0).astype("int64")
+            for value, n in batch.value_counts().items():
+                seen[value] = seen.get(value, 0) + n
 
-# Its value depends on the rows before, so no filter may move below it.
-running_count = running_count.asNondeterministic()
+    # Its value depends on the rows before, so no filter may move below it.
+    return count.asNondeterministic()(code)
 
 
 def _hidden_person(fields: Column, n: Column, key: bytes | None) -> Column:
