@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from fundmart.layouts import ANALYSIS, HEADER, LABEL, load_layout
 from fundmart.session import path_exists
-from fundmart.sources.names import file_name, stem, with_name_parts
+from fundmart.sources.names import file_name, readable_path, stem, with_name_parts
 from fundmart.texts import DUPLICATE_FILE
 
 # Spark hands a binary file to a task as one array, which cannot be longer.
 CHECKSUM_LIMIT = 2_000_000_000
 
-_FILE_SCHEMA = "uri string, Pad string, Bestandsnaam string, Omvang bigint"
+_FILE_SCHEMA = "uri string, Pad string, Bestandsnaam string"
 
 
 def literal_path(path: str) -> str:
@@ -31,16 +31,21 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def files_at(spark: SparkSession, paths: list[str]) -> DataFrame:
-    found = (
+    """``(uri, Pad, Bestandsnaam)`` per file, taken from the file index Spark makes.
+
+    A scan would leave out files without a byte; those must be reported.
+    """
+    index = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load([literal_path(p) for p in paths])
     )
-    return found.select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.col("path").alias("Pad"),
-        file_name(F.col("path")).alias("Bestandsnaam"),
-        F.col("length").alias("Omvang"),
+    uris = spark.createDataFrame([(uri,) for uri in index.inputFiles()], "uri string")
+    # The index writes a local file with three slashes, a scan with one.
+    uri = F.regexp_replace("uri", "^file:/+", "file:/")
+    path = readable_path(uri)
+    return uris.select(
+        uri.alias("uri"), path.alias("Pad"), file_name(path).alias("Bestandsnaam")
     )
 
 

@@ -209,9 +209,17 @@ def raw_lines_to_share(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(NULL AS STRING) AS Sha256",
         "true AS Gepseudonimiseerd",
     )
-    star = s.build_star(spark, {"LEVERING": stage.write(delivery, "LEVERING"), "BRD": typed})
+    tables = {"LEVERING": stage.write(delivery, "LEVERING"), "BRD": typed}
+    deliveries = s.dim_delivery(spark, tables)
+    enrolments = s.facts(spark, tables, s.ENROLMENTS, "D", deliveries)
+    sources = [(enrolments, "BRIN"), (deliveries, "BrinOntvanger")]
+    institutions = s.dim_institution(sources, deliveries.select("BrinOntvanger"))
     # Dimensions are written once, as the star job does, and then read from there.
-    for name in ("dim_levering", "dim_instelling", "dim_opleiding"):
-        star[name] = stage.write(star[name], name)
+    star = {
+        "dim_levering": deliveries,
+        "dim_instelling": stage.write(institutions, "dim_instelling"),
+        "dim_opleiding": stage.write(s.dim_programme(spark, tables, deliveries), "dim_opleiding"),
+        "fact_deelname": enrolments,
+    }
     chosen = ind.current_deliveries(star, ind.PROVISIONAL)
     return ind.per_programme(ind.fact_base(star, "fact_deelname", chosen))

@@ -13,6 +13,7 @@ from fundmart.plans import contracts as c
 from fundmart.plans.delivery_checks import check_deliveries, first_row, with_source
 from fundmart.plans.report import coverage as covered_rows
 from fundmart.plans.report import message_totals, source_reports
+from fundmart.session import Stage
 from workload.registry import KIND, LINE_STATUS, ORDER_LABEL, ORDER_YEAR, query, table
 
 # Orders as enrolment records of a delivery per year: missing values, unknown
@@ -59,6 +60,8 @@ def _funding_tables(spark: SparkSession, folder: str):
     years = orders.groupBy("levering", "jaar").agg(F.count("*").alias("n")).selectExpr(
         "*", "CAST(1 AS BIGINT) AS _regelnr", "CAST(0 AS BIGINT) AS _rijnr"
     )
+    # One row per delivery, read by many checks: written once, as the job does.
+    years = Stage(spark).write(years, "years")
     tables = {
         "VLP": _record(
             years,
@@ -128,6 +131,8 @@ UNION ALL SELECT levering, 'Aantal records', 'BRD',
  'SLR meldt ' || (n + 1) || ', gevonden ' || n, 1, 'error' FROM y WHERE jaar > 1999
 UNION ALL SELECT levering, 'Eén rij', 'SLR', 'Verwacht 1 rij, gevonden 2', 1, 'error'
  FROM y WHERE jaar = 1995
+UNION ALL SELECT levering, 'Verplicht veld', 'SLR', 'AantalBLBrecords is leeg', 1, 'error'
+ FROM y WHERE jaar = 1999
 UNION ALL {_required("Bekostigingsindicatie", "o_orderstatus = 'P'")}
 UNION ALL {_required("CodeBekostigingstatus", "o_orderpriority LIKE '5%'")}
 UNION ALL {_required("Opleidingscode", "o_totalprice < 50000")}
