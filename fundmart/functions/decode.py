@@ -20,7 +20,8 @@ _DECIMAL = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)$"
 
 
 def to_date(text: Column) -> Column:
-    return F.try_to_date(text, DATE_FORMAT)
+    """Eight digits that are a day. A text of another shape would cost an exception."""
+    return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, DATE_FORMAT))
 
 
 def invalid_date_text(text: Column) -> Column:
@@ -33,7 +34,8 @@ def to_boolean(text: Column) -> Column:
 
 
 def to_long(text: Column) -> Column:
-    return text.try_cast("bigint")
+    """A whole number. The cast signals other text by a costly exception, so test first."""
+    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
 
 
 def to_double(text: Column) -> Column:

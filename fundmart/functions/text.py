@@ -10,13 +10,20 @@ from fundmart.texts import UNKNOWN_LABEL
 LIST_SEPARATOR = ","
 
 
+# Fixed value: Unicode white space. ``trim`` alone only knows the space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def clean(text: Column) -> Column:
-    """Strip Unicode white space (``trim`` only knows the space); empty -> null."""
-    return F.nullif(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    """Strip white space at both ends; empty -> null."""
+    return F.nullif(F.btrim(text, F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def is_blank(text: Column) -> Column:
-    return text.rlike(r"(?U)^[\s\x1c-\x1f]*$")
+    return F.btrim(text, F.lit(WHITE_SPACE + "\x1c\x1d\x1e\x1f")) == ""
 
 
 def normalise_codes(text: Column) -> Column:
@@ -24,9 +31,9 @@ def normalise_codes(text: Column) -> Column:
 
     Repeats stay: they surface later as a duplicate key of the status bridge.
     """
-    bare = F.regexp_replace(F.lower(text), r"(?U)\s", "")
-    codes = F.filter(F.split(bare, LIST_SEPARATOR), lambda code: code != "")
-    return F.nullif(F.array_join(F.array_sort(codes), LIST_SEPARATOR), F.lit(""))
+    bare = F.translate(F.lower(text), WHITE_SPACE, "")
+    codes = F.sort_array(F.array_remove(F.split(bare, LIST_SEPARATOR), ""))
+    return F.nullif(F.array_join(codes, LIST_SEPARATOR), F.lit(""))
 
 
 def code_array(text: Column) -> Column:

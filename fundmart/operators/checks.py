@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundmart.functions.text import code_array
+from fundmart.functions.text import LIST_SEPARATOR
 from fundmart.operators.merge import stack_tables
 from fundmart.texts import ERROR, FAIL, GATE_CLOSED, OK, WARN, WARNING
 
@@ -32,9 +32,12 @@ def unknown_codes(
     """
 
     def findings(field: str, valid: list[str]) -> Column:
-        unknown = F.filter(code_array(F.col(field)), lambda c: ~c.isin(valid))
-        rows = F.transform(unknown, lambda c: F.struct(F.lit(field).alias("veld"), c.alias("code")))
-        return F.when(~F.col(field).isin(valid), rows)
+        known = ", ".join("'" + code.replace("'", "\\'") + "'" for code in valid)
+        return F.expr(
+            f"""CASE WHEN `{field}` NOT IN ({known}) THEN transform(
+            filter(split(`{field}`, '{LIST_SEPARATOR}'), c -> c NOT IN ({known})),
+            c -> named_struct('veld', '{field}', 'code', c)) END"""
+        )
 
     arrays = [findings(f, valid) for f, valid in lists.items()]
     found = F.flatten(F.array_compact(F.array(*arrays)))

@@ -46,12 +46,12 @@ def template(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def fit(df: DataFrame, schema: T.StructType) -> DataFrame:
     """All columns of ``schema``, in its order and types; missing ones are null."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def column(f: T.StructField) -> str:
+        value = f"`{f.name}`" if f.name in df.columns else "NULL"
+        return f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`"
+
+    return df.selectExpr(*[column(f) for f in schema.fields])
 
 
 def stack_tables(frames: list[DataFrame]) -> DataFrame:

@@ -223,24 +223,22 @@ def _write_prepared(
     accepted = F.col(LABEL).isin(result.labels)
     files = names.filter(accepted)
     staged, splits = staged.filter(accepted), splits.filter(accepted)
-    typed: dict[str, DataFrame] = {}
     written: set[tuple[str, str]] = set()
+    found_tables: dict[str, DataFrame] = {}
     for rs in record_types():
         labels = [label for label in result.labels if found[label].get(rs)]
-        if not labels and rs not in (HEADER, TRAILER):
-            continue
-        if not labels:
-            typed[rs] = template(spark, prepared_schema(merged_record(rs)))
-            continue
         written |= {(rs, label) for label in labels}
-        table = typed_table(staged, splits, rs).select(table_schema(rs).names)
-        if fmt == "csv":
-            typed[rs] = stage.write(table, rs)
-            export = without_unused_raw(without_helpers(typed[rs]))
-            write_table(export, f"{target}/{rs}", fmt, LABEL, keep_others=True)
-        else:
-            write_table(table, f"{target}/{rs}", fmt, LABEL, keep_others=True)
-            typed[rs] = read_table(spark, target, rs).filter(accepted)
+        if labels:
+            found_tables[rs] = typed_table(staged, splits, rs).select(table_schema(rs).names)
+    if fmt == "csv":
+        typed = {rs: stage.write(df, rs) for rs, df in found_tables.items()}
+        export = {rs: without_unused_raw(without_helpers(df)) for rs, df in typed.items()}
+        write_tables(export, target, fmt, tuple(export), keep_others=True)
+    else:
+        write_tables(found_tables, target, fmt, tuple(found_tables), keep_others=True)
+        typed = {rs: read_table(spark, target, rs).filter(accepted) for rs in found_tables}
+    for rs in (HEADER, TRAILER):
+        typed.setdefault(rs, template(spark, prepared_schema(merged_record(rs))))
     known = counts.filter(accepted & ~F.col("tabel").isin(BLANK, UNKNOWN))
     messages = stage.write(
         check_deliveries(typed, staged_messages(staged, splits), files, known), "messages"
@@ -248,9 +246,10 @@ def _write_prepared(
     rows = stage.write(
         _delivery_rows(spark, files, typed[HEADER], messages, paths, key is not None), "deliveries"
     )
-    for name, df in ((MESSAGES, messages.select(table_schema(MESSAGES).names)), (DELIVERY, rows)):
-        export = without_helpers(df) if fmt == "csv" else df
-        write_table(export, f"{target}/{name}", fmt, LABEL, keep_others=True)
+    own = {MESSAGES: messages.select(table_schema(MESSAGES).names), DELIVERY: rows}
+    if fmt == "csv":
+        own = {name: without_helpers(df) for name, df in own.items()}
+    write_tables(own, target, fmt, tuple(own), keep_others=True)
     with_messages = [row[0] for row in messages.select(LABEL).distinct().collect()]
     written |= {(MESSAGES, label) for label in with_messages}
     written |= {(DELIVERY, label) for label in result.labels}
@@ -262,15 +261,14 @@ def _write_prepared(
         if result.messages is None:
             result.messages = template(spark, table_schema(MESSAGES))
     else:
-        # Results must outlive the staged tables; the messages are few.
-        rows_kept = messages.select(table_schema(MESSAGES).names)
+        # Read back what was written: results must outlive the staged tables.
         result.tables = {
             n: spark.read.option("header", True).csv(f"{target}/{n}").filter(accepted)
             for n in dict.fromkeys(name for name, _ in written)
         }
-        result.messages = result.tables.get(MESSAGES)
-        if result.messages is None:
-            result.messages = rows_kept.limit(0)
+        result.messages = result.tables.setdefault(
+            MESSAGES, template(spark, table_schema(MESSAGES))
+        )
 
 
 def run_pipeline(

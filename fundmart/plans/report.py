@@ -254,7 +254,7 @@ def _keys(text: str, expected: list[str]):
 
 def report_violations(spark: SparkSession, path: str) -> DataFrame:
     """Where a written report breaks its contract: one row per broken rule."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     doc = text.select("value", F.from_json("value", REPORT_SCHEMA).alias("r"))
     statuses = [OK, WARN, FAIL]
     every = F.concat(F.flatten(F.col("r.leveringen.meldingen")), F.col("r.star.meldingen"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,11 @@ def new_session(app: str = "fundmart", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # A task writes a handful of record types or deliveries at once: keep their
+        # files open instead of sorting the rows first.
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
+        # Building wide selects is much slower with call-site capture.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -104,6 +110,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def together(*actions: Callable[[], object], at_once: int = 4) -> None:
+    """Run independent Spark jobs side by side, so one job's tail does not idle the rest."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a join side only after its size is checked.
 

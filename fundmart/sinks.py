@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundmart.layouts import LABEL, LINE_NO, RAW_SUFFIX, ROW_NO
-from fundmart.session import child_names, remove_folder
+from fundmart.session import child_names, remove_folder, together
 
 FORMATS = ("parquet", "csv")
 _HELPERS = (LINE_NO, ROW_NO, "_orde", "_meldingen")
@@ -41,11 +43,13 @@ def write_tables(
 ) -> list[str]:
     """Write every table under ``folder``; the written paths."""
     check_format(fmt)
-    paths = []
-    for name, df in tables.items():
-        paths.append(f"{folder}/{name}")
-        write_table(df, paths[-1], fmt, by if name in partitioned else None, keep_others)
-    return paths
+
+    def write(name: str, df: DataFrame) -> None:
+        partition = by if name in partitioned else None
+        write_table(df, f"{folder}/{name}", fmt, partition, keep_others)
+
+    together(*[partial(write, name, df) for name, df in tables.items()])
+    return [f"{folder}/{name}" for name in tables]
 
 
 def partition_folder(label: str) -> str:

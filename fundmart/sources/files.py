@@ -115,7 +115,7 @@ def with_guard(files: DataFrame, first_lines: DataFrame, brin: str) -> DataFrame
     renamed real file does not pass, since its header names its own institution.
     """
     place = load_layout(ANALYSIS)[HEADER].names().index("BRIN")
-    parts = F.split("value", "[|]", -1)
+    parts = F.split("value", r"\|", -1)
     header = first_lines.select(
         "uri",
         ((F.get(parts, F.lit(0)) == HEADER) & (F.get(parts, F.lit(place)) == brin)).alias("_kop"),

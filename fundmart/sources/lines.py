@@ -18,7 +18,7 @@ from fundmart.sources.files import literal_path
 
 # Fixed value: line ends that count besides CR and LF (vertical tab, form feed,
 # the information separators, next line, line and paragraph separator).
-_EXTRA_LINE_END = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+_EXTRA_LINE_ENDS = "\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029"
 
 
 def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -50,7 +50,7 @@ def text_lines(raw: DataFrame, latin1: list[str]) -> DataFrame:
     if latin1:
         as_latin1 = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
         text = F.when(F.col("uri").isin(latin1), as_latin1).otherwise(text)
-    split = raw.select("uri", "block_start", F.explode(F.split(text, _EXTRA_LINE_END, -1)).alias("value"))
+    split = raw.select("uri", "block_start", F.explode(F.split(text, f"[{_EXTRA_LINE_ENDS}]", -1)).alias("value"))
     return split.withColumn("_m", F.monotonically_increasing_id())
 
 
@@ -58,7 +58,7 @@ def numbered_text_lines(
     df: DataFrame, keys: list[str], text: str, number: str, line: str
 ) -> DataFrame:
     """Non-blank lines of a text column with their 1-based number; blank lines count."""
-    lines = F.posexplode(F.split(F.col(text), f"\\r\\n|\\r|\\n|{_EXTRA_LINE_END}", -1))
+    lines = F.posexplode(F.split(F.col(text), f"\\r\\n|[\\r\\n{_EXTRA_LINE_ENDS}]", -1))
     split = df.select(*keys, lines.alias("_pos", line))
     return split.filter(~is_blank(F.col(line))).select(
         *keys, (F.col("_pos") + 1).cast("bigint").alias(number), line

@@ -26,7 +26,7 @@ from fundmart.sources.lines import block_offsets
 from fundmart.sources.names import file_name, layout_of, readable_path, stem
 from fundmart.texts import EXTRA_FIELDS, UNKNOWN_RECORD
 
-SEPARATOR = "[|]"
+SEPARATOR = r"\|"
 BLANK = "leeg"
 UNKNOWN = "onbekend"
 LAYOUTS = tuple(dict.fromkeys(LAYOUT_OF_KIND.values()))
