@@ -24,11 +24,6 @@ def to_date(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]{8}$"), F.try_to_date(text, DATE_FORMAT))
 
 
-def invalid_date_text(text: Column) -> Column:
-    """The raw text of a date that does not parse, else null."""
-    return F.when(text.isNotNull() & to_date(text).isNull(), text)
-
-
 def to_boolean(text: Column) -> Column:
     return F.when(text == "J", True).when(text == "N", False)
 
@@ -66,28 +61,39 @@ def field_text(field: Field, raw: Column) -> Column:
     return normalise_codes(text) if field.name == STATUS else text
 
 
-def typed_columns(record: Record, text_of) -> list[Column]:
+def typed(record: Record, df: DataFrame, text_of, keep: tuple[str, ...]) -> DataFrame:
     """Columns of ``prepared_schema`` for a record: typed fields, raw dates, flags.
 
-    ``text_of(position, field)`` gives the raw text column of a field.
+    ``text_of(position, field)`` gives the raw text column of a field. The three
+    selects keep an expression that is used twice from being computed twice: Spark
+    does not merge projections then.
     """
-    values: list[Column] = []
-    raws: list[Column] = []
-    flags: list[Column] = []
-    for position, field in enumerate(record.fields):
-        text = field_text(field, text_of(position, field))
-        if field.kind == "date":
-            raws.append(invalid_date_text(text).alias(field.name + RAW_SUFFIX))
+    dates = [f.name for f in record.fields if f.kind == "date"]
+    flagged = [f.name for f in record.fields if f.not_applicable]
+    texts = df.select(
+        *keep, *[field_text(f, text_of(i, f)).alias(f.name) for i, f in enumerate(record.fields)]
+    )
+
+    def value(field: Field) -> Column:
+        text = F.col(field.name)
         if field.not_applicable:
-            flags.append(is_not_applicable(text).alias(field.name + NOT_APPLICABLE_SUFFIX))
             text = without_not_applicable(text)
-        values.append(_BY_KIND[field.kind](text).alias(field.name))
-    return values + raws + flags
+        return _BY_KIND[field.kind](text).alias(field.name)
+
+    values = texts.select(
+        *keep,
+        *[value(f) for f in record.fields],
+        *[F.col(n).alias(n + RAW_SUFFIX) for n in dates],
+        *[is_not_applicable(F.col(n)).alias(n + NOT_APPLICABLE_SUFFIX) for n in flagged],
+    )
+    return values.withColumns(
+        {n + RAW_SUFFIX: F.when(F.col(n).isNull(), F.col(n + RAW_SUFFIX)) for n in dates}
+    )
 
 
 def decode(df: DataFrame, record: Record, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One ``select`` that types a frame whose columns are the record's text fields."""
-    return df.select(*keep, *typed_columns(record, lambda _, field: F.col(field.name)))
+    """Type a frame whose columns are the record's text fields."""
+    return typed(record, df, lambda _, field: F.col(field.name), keep)
 
 
 def decode_tables(

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundmart.functions.decode import typed_columns
+from fundmart.functions.decode import typed as decoded
 from fundmart.functions.pseudonym import hide_key, pseudonym
 from fundmart.functions.text import clean, is_blank
 from fundmart.layouts import (
@@ -80,9 +80,11 @@ def split_records(
     lines: DataFrame, layout: dict[str, Record], value: str = "value", keep: tuple[str, ...] = ()
 ) -> dict[str, DataFrame]:
     """One frame of text columns per record type of ``layout``."""
-    fields = parts(F.col(value))
+    # A column of its own, so a line is split once and not once per field.
+    cut = lines.select(*keep, parts(F.col(value)).alias("_velden"))
+    fields = F.col("_velden")
     return {
-        rs: lines.filter(F.get(fields, F.lit(0)) == rs).select(*keep, *text_fields(fields, record))
+        rs: cut.filter(F.get(fields, F.lit(0)) == rs).select(*keep, *text_fields(fields, record))
         for rs, record in layout.items()
     }
 
@@ -237,11 +239,11 @@ def typed_table(staged: DataFrame, splits: DataFrame, rs: str) -> DataFrame:
     """A record type, decoded with the layout of its delivery, over all layouts."""
     numbered = numbered_table(staged, splits, rs)
     typed = [
-        numbered.filter(F.col("indeling") == name).select(
-            LABEL,
-            *typed_columns(load_layout(name)[rs], lambda i, _: F.get("velden", F.lit(i))),
-            LINE_NO,
-            ROW_NO,
+        decoded(
+            load_layout(name)[rs],
+            numbered.filter(F.col("indeling") == name),
+            lambda i, _: F.get("velden", F.lit(i)),
+            (LABEL, LINE_NO, ROW_NO),
         )
         for name in LAYOUTS
         if rs in load_layout(name)

@@ -209,12 +209,12 @@ def raw_lines_to_share(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(NULL AS STRING) AS Sha256",
         "true AS Gepseudonimiseerd",
     )
-    tables = {"LEVERING": stage.write(delivery, "LEVERING"), "BRD": typed}
+    # Prepared tables are written once, as the job does: what follows reads columns.
+    tables = {"LEVERING": stage.write(delivery, "LEVERING"), "BRD": stage.write(typed, "BRD")}
     deliveries = s.dim_delivery(spark, tables)
     enrolments = s.facts(spark, tables, s.ENROLMENTS, "D", deliveries)
     sources = [(enrolments, "BRIN"), (deliveries, "BrinOntvanger")]
     institutions = s.dim_institution(sources, deliveries.select("BrinOntvanger"))
-    # Dimensions are written once, as the star job does, and then read from there.
     star = {
         "dim_levering": deliveries,
         "dim_instelling": stage.write(institutions, "dim_instelling"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundmart.functions.decode import typed_columns
+from fundmart.functions.decode import typed
 from fundmart.layouts import load_layout
 from fundmart.operators import checks
 from fundmart.operators.merge import missing_keys, stack_tables
@@ -49,7 +49,7 @@ def _record(df: DataFrame, rs: str, fields: dict[str, str]) -> DataFrame:
             return F.lit(rs)
         return F.col(field.name) if field.name in fields else F.lit("")
 
-    return text.select("levering", *typed_columns(record, text_of), "_regelnr", "_rijnr")
+    return typed(record, text, text_of, ("levering", "_regelnr", "_rijnr"))
 
 
 def _funding_tables(spark: SparkSession, folder: str):
