@@ -20,7 +20,7 @@ from fundmart.layouts import (
 )
 from fundmart.operators.checks import QualityError, gate, status
 from fundmart.operators.merge import template
-from fundmart.plans.contracts import check_tables
+from fundmart.plans.contracts import STAR_CONTRACTS, check_tables
 from fundmart.plans.delivery_checks import (
     ORDER,
     check_deliveries,
@@ -313,6 +313,9 @@ def _star_and_report(
     if only is not None:
         stacked = {n: df.filter(F.col(LABEL).isin(only)) for n, df in stacked.items()}
     built = build_star(spark, stacked)
+    for name in built:
+        if name.startswith("dim_"):
+            built[name] = built[name].orderBy(*STAR_CONTRACTS.grain[name])
     write_tables(built, f"{target}/{DATAMODEL}", partitioned=PARTITIONED)
     # The contracts read what was written, instead of building it all again.
     star = read_star(spark, f"{target}/{DATAMODEL}")

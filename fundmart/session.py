@@ -24,6 +24,10 @@ def new_session(app: str = "fundmart", **conf: str) -> SparkSession:
         # A task writes a handful of record types or deliveries at once: keep their
         # files open instead of sorting the rows first.
         "spark.sql.maxConcurrentOutputFileWriters": "16",
+        # Wide record types make long generated methods, which the JVM would leave
+        # interpreted. The "default" options are put before a cluster's own ones.
+        "spark.driver.defaultJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.executor.defaultJavaOptions": "-XX:-DontCompileHugeMethods",
         # Building wide selects is much slower with call-site capture.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
