@@ -23,7 +23,7 @@ from fundmart.layouts import (
 )
 from fundmart.session import small_side
 from fundmart.sources.lines import block_offsets
-from fundmart.sources.names import file_name, layout_of, readable_path, stem
+from fundmart.sources.names import file_name, layout_of
 from fundmart.texts import EXTRA_FIELDS, UNKNOWN_RECORD
 
 SEPARATOR = r"\|"
@@ -54,9 +54,17 @@ def width(record_type: Column, layout: Column) -> Column:
 
 
 def extra_filled(fields: Column, n: Column) -> Column:
-    """How many fields past the layout hold something."""
+    """How many fields past the layout hold something.
+
+    Nearly always none: the fields are only gone through one by one when their
+    text together is not blank.
+    """
     tail = F.slice(fields, n + 1, F.greatest(F.size(fields) - n, F.lit(0)))
-    return F.size(F.filter(tail, lambda x: ~is_blank(x)))
+    return (
+        F.when(n.isNull(), F.lit(None).cast("int"))
+        .when((F.size(fields) <= n) | is_blank(F.array_join(tail, "")), 0)
+        .otherwise(F.size(F.filter(tail, lambda x: ~is_blank(x))))
+    )
 
 
 def table_of(value: Column, record_type: Column, layout: Column) -> Column:
@@ -167,7 +175,9 @@ def route(lines: DataFrame, key: bytes | None) -> DataFrame:
     if key is not None:
         hide_key(lines.sparkSession)
     codes = F.array(*[F.lit(rs) for rs in record_types()])
-    name = file_name(readable_path(F.col("uri")))
+    # Names that got here match the name pattern, so a space is the only character
+    # a URL encodes, and the extension has four characters.
+    name = F.replace(file_name(F.col("uri")), F.lit("%20"), F.lit(" "))
     record_type = F.get(F.col("_f"), F.lit(0))
     known = F.col("tabel").isin(record_types())
     return (
@@ -176,7 +186,7 @@ def route(lines: DataFrame, key: bytes | None) -> DataFrame:
         .withColumn("tabel", table_of(F.col("value"), record_type, F.col("indeling")))
         .withColumn("_w", width(record_type, F.col("indeling")))
         .select(
-            stem(name).alias(LABEL),
+            F.substr(name, F.lit(1), F.length(name) - 4).alias(LABEL),
             "uri",
             "block_start",
             "_m",
