@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, one per operator."""
 
-from fundmart.llm import exact_dedup, mixing, simhash  # noqa: F401
+from fundmart.llm import exact_dedup, mixing, sentencepiece, simhash, toxicity  # noqa: F401
 from fundmart.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

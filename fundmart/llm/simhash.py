@@ -63,17 +63,28 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = np.fromiter(
-            (fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows
+            (fingerprint(t.as_py()) for t in batch.column("text")), np.uint64, batch.num_rows
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"]
+            [batch.column("doc_id"), batch.column("hash"), pa.array(values.view(np.int64))],
+            ["doc_id", "hash", "fp"],
         )
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_of(text_col)
+    return docs.select(
+        named(id_col).cast("long").alias("doc_id"),
+        F.unhex(F.md5(text.cast("binary"))).alias("hash"),
+        text.alias("text"),
+        F.struct(*[named(c) for c in docs.columns]).alias("row"),
+    )
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and its 64-bit fingerprint as a long."""
-    rows = docs.select(named(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """doc_id, a hash of the text, and its 64-bit fingerprint as a long."""
+    rows = _keyed(docs, id_col, text_col).drop("row")
+    return rows.mapInArrow(_fingerprints, "doc_id long, hash binary, fp long")
 
 
 def _syndrome(half: Column) -> Column:
@@ -179,27 +190,52 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
-) -> DataFrame:
-    """One row per document: fingerprint (16 hexadecimal digits) and ``component_id``."""
+
+def _rank() -> Column:
+    """Where a document stands in its group: the smallest id first, null ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
+    """doc_id, hash, fp and ``best``, the rank of the first document of the component."""
     rows = written(fingerprints(docs, id_col, text_col), "near-fingerprints")
-    distinct = written(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "near-distinct"
-    )
+    distinct = written(rows.groupBy("fp").agg(F.min(_rank()).alias("best")), "near-distinct")
     roots = components(links(distinct.select("fp"), max_bits))
     grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
-    least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_fp = written(
-        grouped.join(least, "root").select("fp", "component_id"), "near-components"
+        "fp", "best", F.coalesce("root", "fp").alias("root")
     )
-    return rows.join(of_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    least = grouped.groupBy("root").agg(F.min("best").alias("best"))
+    of_fp = written(grouped.drop("best").join(least, "root").select("fp", "best"), "near-roots")
+    return rows.join(of_fp, "fp")
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
+) -> DataFrame:
+    """One row per document: fingerprint (16 hexadecimal digits) and ``component_id``."""
+    return _grouped(docs, id_col, text_col, max_bits).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("best.doc_id").alias("component_id"),
     )
 
 
+def keep_one_of_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The first document of each component, with all its columns.
+
+    Rows that agree in id and text cannot be told apart and stay together; exact dedup
+    comes before.
+    """
+    grouped = _grouped(docs, id_col, text_col, max_bits)
+    gone = written(grouped.filter(_rank() != F.col("best")).select("doc_id", "hash"), "near-dropped")
+    rows = _keyed(docs, id_col, text_col).drop("text")
+    same = rows["doc_id"].eqNullSafe(gone["doc_id"]) & (rows["hash"] == gone["hash"])
+    stay = rows.join(gone, same, "left_anti")
+    return stay.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 @query()
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
