@@ -11,14 +11,18 @@ know well counts as they say; others count by how often such rare forms were rig
 
 A window of words around each hit separates quotation from abuse: inside quotation marks a
 hit counts less, next to a reporting verb less again, next to a second person in full.
-Hits outside quotations add up as independent evidence; of quoted ones the strongest counts.
 
-The lexicon is fitted on a bounded sample: at most ``fit_rows`` labelled rows, those with
-the smallest hash of the id. Scores cover every whole text. Nothing but the text is an
+A long text has hits by chance. Hits are counted by how sure they are (as different words),
+and each count is held against the one that chance would bring to a text with so many
+different words, at the rate of documents that are not toxic. What exceeds it, as a Poisson
+log-likelihood ratio, is the evidence; a logistic curve turns it into the score.
+
+Lexicon and curve are fitted on a bounded sample: at most ``fit_rows`` labelled rows, those
+with the smallest hash of the id. Scores cover every whole text. Nothing but the text is an
 input of a score.
 
-Defined results: null and empty texts, and texts without a hit, score ``BASE_SCORE``; with
-no toxic label at all every text does. A null id is never held out. Labels that repeat an id
+Defined results: null and empty texts score as texts without a hit; with no toxic label at
+all every text scores ``BASE_SCORE``. A null id is never held out. Labels that repeat an id
 count once, as toxic if any of them says so; null labels are left out. Repeated rows get
 equal scores; an empty table gives no rows; extra columns are ignored.
 """
@@ -27,8 +31,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +53,8 @@ STEM_LENGTHS = (4, 5, 6)
 STEM_WORDS = 4
 MAX_ENTRIES = 5_000
 BASE_SCORE = 0.02
+# Bounds between the classes of hits, by the share of toxic documents among those with it.
+CLASSES = (0.6, 0.8, 0.9, 0.96)
 WINDOW = 6
 QUOTED, REPORTED = 0.5, 0.25
 # Words longer than this match nothing; the limit keeps the state cache small.
@@ -71,7 +79,7 @@ def _edits(length: int) -> int:
 
 
 class Automaton:
-    """All entries at once. A state is a set of (trie node, edits, most edits allowed)."""
+    """All entries at once; a state is a set of (trie node, edits so far)."""
 
     def __init__(self, words: dict[str, float], stems: dict[str, float]) -> None:
         self.children: list[dict[str, int]] = [{}]
@@ -159,6 +167,8 @@ class Lexicon:
         self.words, self.stems = words, stems
         self.forms: dict[str, float] = {}
         self.rare_form = 0.5
+        self.rates: list[float] = []
+        self.curve: tuple[float, float] | None = None
         self._automaton: Automaton | None = None
         self._cache: dict[str, float] = {}
 
@@ -203,35 +213,72 @@ def _quoted_spans(text: str) -> list[tuple[int, int]]:
     return spans
 
 
-def score_text(text: str, lexicon: Lexicon) -> float:
-    """0 to 1; higher means that a toxic label is likelier."""
+def evidence(text: str, lexicon: Lexicon) -> tuple[int, list[float]]:
+    """Number of different words, and of the hits among them per class of strength.
+
+    A hit counts as much as its weightiest place in the text.
+    """
     lowered = text.lower()
     strength = lexicon.strength
-    hits = {w: s for w in set(TOKEN.findall(lowered)) if (s := strength(w))}
+    different = set(TOKEN.findall(lowered))
+    counts = [0.0] * (len(CLASSES) + 1)
+    hits = {w: s for w in different if (s := strength(w))}
     if not hits:
-        return BASE_SCORE
+        return len(different), counts
     spans = _quoted_spans(lowered) if any(q in lowered for q in OPENING) else []
     tokens = list(TOKEN.finditer(lowered))
     words = [m.group() for m in tokens]
-    innocent, quoted, at = 1.0 - BASE_SCORE, 0.0, 0
+    weights = dict.fromkeys(hits, 0.0)
+    at = 0
     for i, word in enumerate(words):
         if word not in hits:
             continue
-        while at < len(spans) and spans[at][1] < tokens[i].start():
+        start = tokens[i].start()
+        while at < len(spans) and spans[at][1] < start:
             at += 1
-        inside = at < len(spans) and spans[at][0] <= tokens[i].start() < spans[at][1]
-        near = words[max(0, i - WINDOW) : i + WINDOW + 1]
-        if inside and not any(w in SECOND_PERSON for w in near):
-            reported = any(w in REPORTING for w in near)
-            quoted = max(quoted, hits[word] * (REPORTED if reported else QUOTED))
-        else:
-            innocent *= 1.0 - hits[word]
-    return max(1.0 - innocent, quoted)
+        weight = 1.0
+        if at < len(spans) and spans[at][0] <= start < spans[at][1]:
+            near = words[max(0, i - WINDOW) : i + WINDOW + 1]
+            if not any(w in SECOND_PERSON for w in near):
+                weight = REPORTED if any(w in REPORTING for w in near) else QUOTED
+        weights[word] = max(weights[word], weight)
+    for word, weight in weights.items():
+        counts[bisect(CLASSES, hits[word])] += weight
+    return len(different), counts
+
+
+def excess(n_words: int, counts: list[float], rates: list[float]) -> float:
+    """How far the hits exceed chance: Poisson log-likelihood ratio, one-sided."""
+    total = 0.0
+    for count, rate in zip(counts, rates, strict=True):
+        expected = max(n_words, 1) * rate
+        if count > expected:
+            total += count * math.log(count / expected) - count + expected
+    return total
 
 
-def _divergence(part: float, base: float) -> float:
-    other = (1 - part) * math.log((1 - part) / (1 - base)) if part < 1 else 0.0
-    return (part * math.log(part / base) if part else 0.0) + other
+def score_text(text: str, lexicon: Lexicon) -> float:
+    """0 to 1; higher means that a toxic label is likelier."""
+    if lexicon.curve is None:
+        return BASE_SCORE
+    level, slope = lexicon.curve
+    at = level + slope * excess(*evidence(text, lexicon), lexicon.rates)
+    return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, at))))
+
+
+def _fit_curve(excesses: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Logistic curve by Newton steps, held near (-3, 1) by a weak prior."""
+    x = np.column_stack([np.ones(len(excesses)), np.minimum(excesses, 20.0)])
+    centre, beta = np.array([-3.0, 1.0]), np.array([-3.0, 1.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ beta))
+        gradient = x.T @ (labels - p) - (beta - centre)
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
+        step = np.linalg.solve(hessian, gradient)
+        beta = beta + step
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(beta[0]), max(float(beta[1]), 0.1)
 
 
 def learn_lexicon(
@@ -274,9 +321,36 @@ def learn_lexicon(
     # One scan of the sample; its words are bounded as the sample is.
     counts = counts.persist()
     try:
-        return _choose(counts, base)
+        lexicon = _choose(counts, base)
     finally:
         counts.unpersist()
+    if lexicon.words or lexicon.stems:
+        _calibrate(chosen.select("label", "own_text"), lexicon)
+    return lexicon
+
+
+def _calibrate(sample: DataFrame, lexicon: Lexicon) -> None:
+    """Rates of chance hits and the curve, from one row of counts per row of the sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [evidence(t.as_py(), lexicon) for t in batch.column(1)]
+            words = pa.array([f[0] for f in found], pa.int64())
+            hits = pa.array([f[1] for f in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), words, hits], ["label", "words", "hits"]
+            )
+
+    rows = sample.mapInArrow(run, "label int, words long, hits array<double>").collect()
+    labels = np.array([r["label"] for r in rows], float)
+    words = np.array([r["words"] for r in rows], float)
+    hits = np.array([r["hits"] for r in rows], float)
+    clean = labels == 0
+    lexicon.rates = ((hits[clean].sum(axis=0) + 0.5) / (words[clean].sum() + 1)).tolist()
+    excesses = np.array(
+        [excess(int(n), h, lexicon.rates) for n, h in zip(words, hits.tolist(), strict=True)]
+    )
+    lexicon.curve = _fit_curve(excesses, labels)
 
 
 def _choose(counts: DataFrame, base: float) -> Lexicon:
