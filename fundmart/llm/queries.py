@@ -1,6 +1,15 @@
 """The registered queries of this subpackage, one per operator."""
 
-from fundmart.llm import exact_dedup, mixing, sentencepiece, simhash, toxicity  # noqa: F401
+from fundmart.llm import (  # noqa: F401
+    exact_dedup,
+    html_text,
+    licenses,
+    mixing,
+    quality,
+    sentencepiece,
+    simhash,
+    toxicity,
+)
 from fundmart.llm.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
