@@ -8,6 +8,7 @@ from fundmart.llm import (  # noqa: F401
     quality,
     sentencepiece,
     simhash,
+    suffix_tree,
     toxicity,
 )
 from fundmart.llm.base import ORACLES, QUERIES
