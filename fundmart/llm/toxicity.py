@@ -444,7 +444,9 @@ def without_toxic(
             scores = [score_text(t.as_py() or "", lexicon) for t in texts]
             yield batch.filter(pc.less(pa.array(scores, pa.float64()), threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Plain names on the way, as a name may hold a dot.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 @query()
