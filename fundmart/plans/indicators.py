@@ -98,15 +98,12 @@ def not_funded_reasons(
     df: DataFrame,
     bridge: DataFrame,
     statuses: DataFrame,
-    key: str = FACT_ID,
+    key: str | list[str] = FACT_ID,
     funded: str = "Bekostigingsindicatie",
 ) -> DataFrame:
-    """Assessed rows without funding, counted per status code and group.
-
-    The bridge is first cut down to non-funding codes by a broadcast join, and
-    only then meets the facts.
-    """
-    refused = df.filter(F.col("Beoordeeld") & ~F.col(funded)).select(key)
+    """Assessed rows without funding, counted per status code and group."""
+    key = [key] if isinstance(key, str) else key
+    refused = df.filter(F.col("Beoordeeld") & ~F.col(funded)).select(*key)
     reasons = statuses.filter(~F.col("Bekostigd"))
     return (
         bridge.join(small_side(reasons), "Code")
@@ -117,8 +114,13 @@ def not_funded_reasons(
     )
 
 
-def reasons(df: DataFrame, star: Star) -> DataFrame:
-    return not_funded_reasons(df, star["fact_status"], star["dim_status"])
+def reasons(df: DataFrame, star: Star, deliveries: list[str] | None = None) -> DataFrame:
+    """``deliveries``, where given, are the ones that ``df`` was made of: the bridge is
+    stored per delivery, so only their folders are read."""
+    bridge = star["fact_status"]
+    if deliveries is not None:
+        bridge = bridge.filter(F.col(LABEL).isin(deliveries))
+    return not_funded_reasons(df, bridge, star["dim_status"], [LABEL, FACT_ID])
 
 
 def per_programme(

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundmart.functions.pseudonym import load_key
+from fundmart.functions.pseudonym import key_for_files, load_key
 from fundmart.layouts import (
     HEADER,
     LABEL,
@@ -28,23 +28,25 @@ from fundmart.plans.delivery_checks import (
     first_row,
     with_source,
 )
-from fundmart.plans.report import build_report, delivery_coverage, write_report
+from fundmart.plans.report import delivery_coverage, write_report
 from fundmart.plans.star import PARTITIONED, build_star
 from fundmart.session import Stage
 from fundmart.sinks import (
     check_format,
+    refuse_other_format,
     remove_stale,
     without_helpers,
-    without_unused_raw,
     write_table,
     write_tables,
 )
 from fundmart.sources.files import (
     checksums,
     delivery_files,
+    file_heads,
     files_at,
     list_files,
     mark_duplicates,
+    with_guard,
 )
 from fundmart.sources.lines import latin1_files, raw_lines, text_lines
 from fundmart.sources.names import deliveries as recognised
@@ -54,6 +56,7 @@ from fundmart.sources.prepared import (
     MESSAGE_COUNT,
     MESSAGES,
     prepared_tables,
+    read_csv_table,
     read_star,
     read_table,
     stack_prepared,
@@ -129,7 +132,6 @@ def _delivery_rows(
     files: DataFrame,
     header: DataFrame,
     messages: DataFrame,
-    paths: list[str],
     pseudonymised: bool,
 ) -> DataFrame:
     """The ``LEVERING`` table: one row per delivery."""
@@ -137,7 +139,7 @@ def _delivery_rows(
     counts = messages.groupBy(LABEL).agg(F.count("*").alias("_n"))
     return (
         files.join(first, LABEL)
-        .join(checksums(spark, paths), "uri", "left")
+        .join(checksums(files), "uri", "left")
         .join(counts, LABEL, "left")
         .select(
             LABEL,
@@ -168,7 +170,7 @@ def prepare_files(
     lines (person numbers hidden) into one staged table. Record tables, numbers
     and checks all come from that table, so they see the same rows.
     """
-    check_format(fmt)
+    refuse_other_format(spark, target, prepared_tables(), fmt)
     result = Prepared()
     # Names, not data: the scan needs the list of paths anyway.
     chosen = files.select("Pad", "uri", LABEL, "Soort", "Bestandsnaam").collect()
@@ -201,7 +203,7 @@ def prepare_files(
             )
         if result.labels:
             _write_prepared(
-                spark, stage, names, staged, splits, counts, found, result, target, fmt, paths, key
+                spark, stage, names, staged, splits, counts, found, result, target, fmt, key
             )
     return result
 
@@ -217,7 +219,6 @@ def _write_prepared(
     result: Prepared,
     target: str,
     fmt: str,
-    paths: list[str],
     key: bytes | None,
 ) -> None:
     accepted = F.col(LABEL).isin(result.labels)
@@ -232,7 +233,8 @@ def _write_prepared(
             found_tables[rs] = typed_table(staged, splits, rs).select(table_schema(rs).names)
     if fmt == "csv":
         typed = {rs: stage.write(df, rs) for rs, df in found_tables.items()}
-        export = {rs: without_unused_raw(without_helpers(df)) for rs, df in typed.items()}
+        # All partitions of a table have the same columns, whatever a delivery holds.
+        export = {rs: without_helpers(df) for rs, df in typed.items()}
         write_tables(export, target, fmt, tuple(export), keep_others=True)
     else:
         write_tables(found_tables, target, fmt, tuple(found_tables), keep_others=True)
@@ -244,7 +246,7 @@ def _write_prepared(
         check_deliveries(typed, staged_messages(staged, splits), files, known), "messages"
     )
     rows = stage.write(
-        _delivery_rows(spark, files, typed[HEADER], messages, paths, key is not None), "deliveries"
+        _delivery_rows(spark, files, typed[HEADER], messages, key is not None), "deliveries"
     )
     own = {MESSAGES: messages.select(table_schema(MESSAGES).names), DELIVERY: rows}
     if fmt == "csv":
@@ -263,7 +265,7 @@ def _write_prepared(
     else:
         # Read back what was written: results must outlive the staged tables.
         result.tables = {
-            n: spark.read.option("header", True).csv(f"{target}/{n}").filter(accepted)
+            n: read_csv_table(spark, target, n).filter(accepted)
             for n in dict.fromkeys(name for name, _ in written)
         }
         result.messages = result.tables.setdefault(
@@ -330,8 +332,7 @@ def _star_and_report(
         messages = stage.write(messages, "messages")
         deliveries = star["dim_levering"]
         covered = delivery_coverage(spark, stacked, deliveries)
-        report = build_report(messages, deliveries, allowed, covered, ORDER)
-        write_report(spark, report, target, messages)
+        write_report(spark, target, messages, deliveries, allowed, covered, ORDER)
         kept = _keep(spark, messages, target)
     return star, kept
 
@@ -364,14 +365,18 @@ def process_folder(
     output: str,
     key: bytes | None = None,
     pseudonymise: bool = True,
+    demo_key: str | None = None,
+    demo_brin: str | None = None,
 ) -> Outcome:
     """All recognised files of a folder, then the star; never raises on quality.
 
     A file that cannot be processed, or that repeats another, becomes a message
-    and an entry in ``errors``; the other files go on.
+    and an entry in ``errors``; the other files go on. ``demo_key`` is a public key for
+    synthetic files of institution ``demo_brin``: without an own key it is used, unless
+    some file is real; then nothing of any file but its first line has been read.
     """
     if pseudonymise and key is None:
-        key = load_key()
+        key = load_key() if demo_key is None else _key_for(spark, raw, demo_key, demo_brin)
     outcome = Outcome()
     base = spark._jvm.org.apache.hadoop.fs.Path(raw)
     filesystem = base.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -401,6 +406,11 @@ def process_folder(
     return outcome
 
 
+def _key_for(spark: SparkSession, raw: str, demo_key: str, demo_brin: str | None) -> bytes:
+    files = find_files(spark, raw)
+    return key_for_files(with_guard(files, file_heads(files), demo_brin or ""), demo_key)
+
+
 def _relative(path: str, root: str) -> str:
     return path.removeprefix(root.rstrip("/") + "/")
 

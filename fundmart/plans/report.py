@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import json
 import platform
+from collections.abc import Iterator
 from datetime import datetime
-from typing import Any
 
 import pyspark
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +15,12 @@ from pyspark.sql import types as T
 from fundmart import __version__
 from fundmart.layouts import LABEL, LAYOUT_OF_KIND, load_layout
 from fundmart.operators.checks import severity_rank, status_of
-from fundmart.session import small_side, write_text
+from fundmart.session import TextFile, small_side
 from fundmart.texts import FAIL, MESSAGE_COLUMNS, OK, SOURCE, STAR_SOURCE, WARN
 
 QUALITY_FILE = "quality.json"
-MESSAGE_FOLDER = "quality_messages"
 # Version 2: the provenance names Spark.
 REPORT_VERSION = 2
-# Up to here the report is one document; beyond it, the messages are a table.
-DOCUMENT_MESSAGES = 200_000
 
 _MESSAGE = T.StructType(
     [
@@ -126,16 +123,15 @@ def delivery_coverage(
     return order.orderBy(LABEL, "plaats").select(LABEL, "recordsoort", "rijen")
 
 
-def source_reports(messages: DataFrame, order: str) -> DataFrame:
-    """Per source its status and its messages as a nested list in report order."""
-    item = F.struct(F.col(order).alias("_plaats"), *[F.col(c).alias(c.lower()) for c in MESSAGE_COLUMNS])
-    plain = F.transform(
-        F.sort_array(F.collect_list(item)),
-        lambda m: F.struct(*[m[c.lower()].alias(c.lower()) for c in MESSAGE_COLUMNS]),
-    )
-    return messages.groupBy(SOURCE).agg(
-        status_of(F.col("Ernst")).alias("status"), plain.alias("meldingen")
-    )
+def source_statuses(messages: DataFrame) -> DataFrame:
+    """Status per source, combined before the shuffle."""
+    return messages.groupBy(SOURCE).agg(status_of(F.col("Ernst")).alias("status"))
+
+
+def message_items(messages: DataFrame) -> DataFrame:
+    """Each message with its JSON object, ``item``, as the report shows it."""
+    shown = F.struct(*[F.col(c).alias(c.lower()) for c in MESSAGE_COLUMNS])
+    return messages.withColumn("item", F.to_json(shown, {"ignoreNullFields": "false"}))
 
 
 def message_totals(messages: DataFrame) -> DataFrame:
@@ -161,83 +157,93 @@ def table_totals(tables: dict[str, DataFrame]) -> tuple[int, int]:
 
 
 def provenance() -> dict[str, str]:
-    return {
-        "pakketversie": __version__,
-        "python": platform.python_version(),
-        "spark": pyspark.__version__,
-        "aangemaakt": datetime.now().astimezone().isoformat(timespec="seconds"),
-    }
-
-
-def labelled_reports(messages: DataFrame, deliveries: DataFrame, order: str) -> DataFrame:
-    """A report row for every delivery, and for sources without a delivery row."""
-    reports = source_reports(messages.filter(F.col(SOURCE) != STAR_SOURCE), order)
-    names = deliveries.select(F.col(LABEL).alias(SOURCE), "Bestandsnaam", "Sha256", F.lit(0).alias("_los"))
-    extra = reports.join(names, SOURCE, "left_anti").select(
+    now = datetime.now().astimezone()
+    values = (__version__, platform.python_version(), pyspark.__version__, now.isoformat("T", "seconds"))
+    return dict(zip(_PROVENANCE, values, strict=True))
+
+
+def report_heads(messages: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """A row for every delivery with its status, then for sources without a delivery row."""
+    found = source_statuses(messages.filter(F.col(SOURCE) != STAR_SOURCE))
+    listed = deliveries.select(F.col(LABEL).alias(SOURCE), "Bestandsnaam", "Sha256", F.lit(0).alias("_los"))
+    joined = listed.join(found, SOURCE, "full")
+    return joined.select(
+        F.coalesce("_los", F.lit(1)).alias("_los"),
         SOURCE,
-        F.lit(None).cast("string").alias("Bestandsnaam"),
-        F.lit(None).cast("string").alias("Sha256"),
-        F.lit(1).alias("_los"),
-    )
-    return (
-        names.unionByName(extra)
-        .join(reports, SOURCE, "left")
-        .orderBy("_los", SOURCE)
-        .select(
-            F.col(SOURCE).alias("levering"),
-            F.col("Bestandsnaam").alias("bestandsnaam"),
-            F.col("Sha256").alias("sha256"),
-            F.coalesce("status", F.lit(OK)).alias("status"),
-            F.coalesce("meldingen", F.array()).alias("meldingen"),
-        )
+        "Bestandsnaam",
+        "Sha256",
+        F.coalesce("status", F.lit(OK)).alias("status"),
     )
 
 
-def build_report(
-    messages: DataFrame, deliveries: DataFrame, allowed: bool, covered: DataFrame, order: str
-) -> dict[str, Any]:
-    """Content of ``quality.json``. Only counts, statuses and messages come to the
-    driver, and the messages only up to ``DOCUMENT_MESSAGES``."""
+def write_report(
+    spark: SparkSession,
+    folder: str,
+    messages: DataFrame,
+    deliveries: DataFrame,
+    allowed: bool,
+    covered: DataFrame,
+    order: str,
+) -> str:
+    """Write ``quality.json``, complete at any size.
+
+    Sources and messages are sorted alike and stream through the driver side by side, one
+    partition at a time, into the open file; no source's messages are ever held together.
+    """
     totals = message_totals(messages).first()
-    listed = messages if totals["messages"] <= DOCUMENT_MESSAGES else messages.filter(F.lit(False))
-    star = source_reports(listed.filter(F.col(SOURCE) == STAR_SOURCE), order).first()
-    rows = [r.asDict(recursive=True) for r in labelled_reports(listed, deliveries, order).collect()]
-    star_status = OK
-    if star is not None:
-        star_status = star["status"]
-    if totals["messages"] > DOCUMENT_MESSAGES:
-        found = messages.groupBy(SOURCE).agg(status_of(F.col("Ernst")).alias("status"))
-        known = {r[SOURCE]: r["status"] for r in found.collect()}
-        star_status = known.get(STAR_SOURCE, OK)
-        rows = [{**r, "status": known.get(r["levering"], OK)} for r in rows]
-    return {
+    heads = report_heads(messages, deliveries)
+    items = message_items(messages)
+    place = heads.select(SOURCE, "_los")
+    lines = items.filter(F.col(SOURCE) != STAR_SOURCE).join(place, SOURCE)
+    lines = lines.orderBy("_los", SOURCE, order, *MESSAGE_COLUMNS).select("_los", SOURCE, "item")
+    star = items.filter(F.col(SOURCE) == STAR_SOURCE)
+    status = star.agg(status_of(F.col("Ernst"))).first()[0]
+    top = {
         "schema_version": REPORT_VERSION,
         "status": totals["status"],
         "fouten_toegestaan": allowed,
         "total_errors": totals["total_errors"],
         "total_warnings": totals["total_warnings"],
         "provenance": provenance(),
-        "leveringen": rows,
-        "star": {
-            "status": star_status,
-            "meldingen": [m.asDict() for m in star["meldingen"]] if star else [],
-        },
-        "dekking": [r.asDict() for r in covered.collect()],
     }
-
-
-def write_report(
-    spark: SparkSession, report: dict[str, Any], folder: str, messages: DataFrame | None = None
-) -> str:
-    """Write ``quality.json``; very many messages go beside it, all of them, as JSON lines."""
     path = f"{folder}/{QUALITY_FILE}"
-    write_text(spark, path, json.dumps(report, indent=2, ensure_ascii=False) + "\n")
-    listed = len(report["star"]["meldingen"]) + sum(len(d["meldingen"]) for d in report["leveringen"])
-    if messages is not None and listed < report["total_errors"] + report["total_warnings"]:
-        messages.write.mode("overwrite").json(f"{folder}/{MESSAGE_FOLDER}")
+    with TextFile(spark, path) as out:
+        out.write(json.dumps(top, indent=2, ensure_ascii=False).removesuffix("\n}"))
+        out.write(',\n  "leveringen": [')
+        _write_sources(out, heads.orderBy("_los", SOURCE), lines)
+        out.write(f'],\n  "star": {{"status": {json.dumps(status or OK)}, "meldingen": [')
+        _write_list(out, (r["item"] for r in star.orderBy(order, *MESSAGE_COLUMNS).toLocalIterator()))
+        out.write(']},\n  "dekking": [')
+        rows = covered.toLocalIterator()
+        _write_list(out, (json.dumps(r.asDict(), ensure_ascii=False) for r in rows))
+        out.write("]\n}\n")
     return path
 
 
+def _write_list(out: TextFile, items: Iterator[str]) -> None:
+    for i, item in enumerate(items):
+        out.write(("," if i else "") + "\n    " + item)
+
+
+def _write_sources(out: TextFile, heads: DataFrame, lines: DataFrame) -> None:
+    left = lines.toLocalIterator()
+    line = next(left, None)
+    for i, head in enumerate(heads.toLocalIterator()):
+        shown = {
+            "levering": head[SOURCE],
+            "bestandsnaam": head["Bestandsnaam"],
+            "sha256": head["Sha256"],
+            "status": head["status"],
+        }
+        text = json.dumps(shown, ensure_ascii=False).removesuffix("}")
+        out.write(("," if i else "") + f'\n    {text}, "meldingen": [')
+        n = 0
+        while line is not None and (line["_los"], line[SOURCE]) == (head["_los"], head[SOURCE]):
+            out.write(("," if n else "") + "\n      " + line["item"])
+            line, n = next(left, None), n + 1
+        out.write("]}")
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPORT_SCHEMA).option("multiLine", True).json(path)
 

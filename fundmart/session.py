@@ -9,9 +9,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side of this many (narrow) rows is well under Spark's own broadcast limit.
-BROADCAST_ROWS = 200_000
+# Well under Spark's own limit for a broadcast, and small beside an executor's memory.
+BROADCAST_BYTES = 64 << 20
 
 
 def new_session(app: str = "fundmart", **conf: str) -> SparkSession:
@@ -104,14 +105,33 @@ def remove_folder(spark: SparkSession, path: str) -> None:
         filesystem.delete(target, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small UTF-8 document through the cluster's file system."""
-    filesystem, target = _filesystem(spark, path)
-    stream = filesystem.create(target, True)
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
+class TextFile:
+    """One UTF-8 document, written piece by piece through the cluster's file system."""
+
+    PIECE = 1 << 16
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        filesystem, target = _filesystem(spark, path)
+        self.stream = filesystem.create(target, True)
+        self.waiting: list[str] = []
+        self.size = 0
+
+    def write(self, text: str) -> None:
+        self.waiting.append(text)
+        self.size += len(text)
+        if self.size >= self.PIECE:
+            self._send()
+
+    def _send(self) -> None:
+        self.stream.write(bytearray("".join(self.waiting).encode("utf-8")))
+        self.waiting, self.size = [], 0
+
+    def __enter__(self) -> TextFile:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._send()
+        self.stream.close()
 
 
 def together(*actions: Callable[[], object], at_once: int = 4) -> None:
@@ -121,10 +141,18 @@ def together(*actions: Callable[[], object], at_once: int = 4) -> None:
             done.result()
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a join side only after its size is checked.
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a join side only after its size is checked, in bytes.
 
-    Beyond ``max_rows`` the frame is returned as it is: the join then shuffles,
-    and adaptive execution splits skewed keys.
+    Strings count by their length, other columns by the size of their type. Beyond the
+    limit the frame is returned as it is: the join then shuffles, and adaptive execution
+    splits skewed keys. The check reads no more rows than would fit.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    fixed = 8 * (len(df.columns) + len(texts))
+    rows = df.limit(max_bytes // fixed + 1)
+    size = F.lit(fixed)
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    used = rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if used <= max_bytes else df

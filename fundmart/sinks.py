@@ -5,13 +5,12 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from fundmart.layouts import LABEL, LINE_NO, RAW_SUFFIX, ROW_NO
+from fundmart.layouts import LABEL, LINE_NO, ROW_NO
 from fundmart.session import child_names, remove_folder, together
 
 FORMATS = ("parquet", "csv")
-_HELPERS = (LINE_NO, ROW_NO, "_orde", "_meldingen")
+HELPERS = (LINE_NO, ROW_NO, "_orde", "_meldingen")
 
 
 def check_format(fmt: str) -> None:
@@ -71,16 +70,20 @@ def remove_stale(
 
 
 def without_helpers(df: DataFrame) -> DataFrame:
-    return df.drop(*_HELPERS)
+    return df.drop(*HELPERS)
 
 
-def without_unused_raw(df: DataFrame) -> DataFrame:
-    """Leave out raw-date columns that hold nothing: one aggregate over all of them."""
-    raw = [c for c in df.columns if c.endswith(RAW_SUFFIX)]
-    if not raw:
-        return df
-    counts = df.agg(*[F.count(c).alias(c) for c in raw]).first()
-    return df.drop(*[c for c in raw if counts[c] == 0])
+def refuse_other_format(spark: SparkSession, root: str, tables: list[str], fmt: str) -> None:
+    """A folder holds one format: a reader of the other one would trip over what is there."""
+    check_format(fmt)
+    for table in tables:
+        for part in child_names(spark, f"{root}/{table}"):
+            for file in child_names(spark, f"{root}/{table}/{part}"):
+                suffix = file.rsplit(".", 1)[-1]
+                if suffix in FORMATS and suffix != fmt:
+                    raise ValueError(
+                        f"In {root} staan al tabellen als {suffix}; kies voor {fmt} een andere map."
+                    )
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +17,9 @@ from fundmart.session import path_exists
 from fundmart.sources.names import file_name, readable_path, stem, with_name_parts
 from fundmart.texts import DUPLICATE_FILE
 
-# Spark hands a binary file to a task as one array, which cannot be longer.
-CHECKSUM_LIMIT = 2_000_000_000
+CHUNK = 4 << 20
+# More than any header record has.
+HEAD = 1 << 16
 
 _FILE_SCHEMA = "uri string, Pad string, Bestandsnaam string"
 
@@ -80,21 +86,57 @@ def checksum(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def checksums(spark: SparkSession, paths: list[str], limit: int = CHECKSUM_LIMIT) -> DataFrame:
-    """SHA-256 of the bytes of each file, ``(uri, Sha256)``.
+def _per_file(files: DataFrame, read: Callable[[BinaryIO], str], schema: str) -> DataFrame:
+    """Open each ``uri`` in a task and hand the stream to ``read``: (uri, result).
 
-    Files above ``limit`` are filtered on their listed length, before any read;
-    they get no row here and so no checksum.
+    The stream comes from the file system that the URI names, as executors see it, so a
+    file never lies in memory whole. One row per file is dealt out evenly.
     """
-    return (
-        spark.read.format("binaryFile")
-        .load([literal_path(p) for p in paths])
-        .filter(F.col("length") <= limit)
-        .select(
-            F.col("_metadata.file_path").alias("uri"),
-            checksum(F.col("content")).alias("Sha256"),
-        )
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            uris = batch.column(0).to_pylist()
+            results = []
+            for uri in uris:
+                # Scans write a local file with one slash and with escapes.
+                address = re.sub("^file:/+", "/", uri)
+                if address.startswith("/"):
+                    system, path = fs.LocalFileSystem(), unquote(address)
+                else:
+                    system, path = fs.FileSystem.from_uri(address)
+                with system.open_input_file(path) as stream:
+                    results.append(read(stream))
+            columns = [pa.array(uris, pa.string()), pa.array(results, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [part.split()[0] for part in schema.split(", ")]
+    return files.select("uri").repartition("uri").mapInArrow(run, schema)
+
+
+def checksums(files: DataFrame) -> DataFrame:
+    """SHA-256 of the bytes of each file, ``(uri, Sha256)``, whatever its size."""
+    chunk = CHUNK
+
+    def digest(stream: BinaryIO) -> str:
+        state = hashlib.sha256()
+        while part := stream.read(chunk):
+            state.update(part)
+        return state.hexdigest()
+
+    return _per_file(files, digest, "uri string, Sha256 string")
+
+
+def file_heads(files: DataFrame) -> DataFrame:
+    """First line of each file, ``(uri, value)``; only the head of a file is read."""
+    size = HEAD
+
+    def first(stream: BinaryIO) -> str:
+        head = stream.read(size).removeprefix(b"\xef\xbb\xbf")
+        return head.splitlines()[0].decode("utf-8", "replace") if head else ""
+
+    return _per_file(files, first, "uri string, value string")
 
 
 def overview(files: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from fundmart.operators.checks import duplicate_keys
 from fundmart.plans.delivery_checks import ORDER
 from fundmart.plans.star import DELIVERY_SCHEMA, STAR_TABLES, build_star
 from fundmart.session import child_names, path_exists
+from fundmart.sinks import HELPERS
 from fundmart.texts import ERROR, MESSAGE_COLUMNS, OUTDATED
 
 DELIVERY = "LEVERING"
@@ -56,6 +57,15 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return spark.read.schema(table_schema(name)).parquet(path).select(table_schema(name).names)
 
 
+def read_csv_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A prepared table as CSV. Every partition has the same columns; they are text."""
+    names = [n for n in table_schema(name).names if n not in HELPERS]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    data = T.StructType([f for f in schema if f.name != LABEL] + [schema[LABEL]])
+    table = spark.read.schema(data).option("header", True).option("enforceSchema", False)
+    return table.csv(f"{root}/{name}").select(names)
+
+
 def stack_prepared(
     spark: SparkSession, roots: list[str], labels: list[str] | None = None
 ) -> dict[str, DataFrame]:

@@ -137,9 +137,9 @@ def test_public_key_only_for_synthetic_files(spark):
     safe = spark.createDataFrame([("a.csv", True)], schema)
     mixed = spark.createDataFrame([("a.csv", True), ("b.csv", False), ("c.csv", None)], schema)
     public = "d" * 64
-    assert p.choose_key(safe, public, environ={}) == (b"d" * 64, True, None)
-    refused = p.choose_key(mixed, public, environ={})
-    assert refused.key is None and "b.csv, c.csv" in refused.error
-    own = p.choose_key(mixed, public, environ={p.KEY_ENV: "e" * 64})
-    assert own == (b"e" * 64, False, None)
-    assert p.choose_key(safe, None, environ={}).error is not None
+    assert p.key_for_files(safe, public, environ={}) == b"d" * 64
+    with pytest.raises(ValueError, match="b.csv, c.csv"):
+        p.key_for_files(mixed, public, environ={})
+    assert p.key_for_files(mixed, public, environ={p.KEY_ENV: "e" * 64}) == b"e" * 64
+    with pytest.raises(ValueError, match=p.KEY_ENV):
+        p.key_for_files(safe, None, environ={})

@@ -310,7 +310,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert cli.run(["verwerk", str(good), csv, "--fmt", "csv", "--geen-pseudonimisering"], spark) == 0
     assert "NIET gepseudonimiseerd" in capsys.readouterr().err
     header = next((tmp_path / "csv" / "BRD").rglob("*.csv")).read_text(encoding="utf-8").splitlines()[0]
-    assert header.startswith("Recordsoort,Burgerservicenummer") and "_Ruw" not in header
+    assert header.startswith("Recordsoort,Burgerservicenummer") and "DatumInschrijving_Ruw" in header
     assert "_regelnr" not in header
     assert cli.run(["star", csv, "--output", out], spark) == 1
 

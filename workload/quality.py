@@ -12,7 +12,7 @@ from fundmart.operators.merge import missing_keys, stack_tables
 from fundmart.plans import contracts as c
 from fundmart.plans.delivery_checks import check_deliveries, first_row, with_source
 from fundmart.plans.report import coverage as covered_rows
-from fundmart.plans.report import message_totals, source_reports
+from fundmart.plans.report import message_items, message_totals, source_statuses
 from fundmart.session import Stage
 from workload.registry import KIND, LINE_STATUS, ORDER_LABEL, ORDER_YEAR, query, table
 
@@ -413,12 +413,11 @@ SELECT "Bron", status, "Controle" AS controle, "Recordsoort" AS recordsoort, "Me
  "Aantal" AS aantal, "Ernst" AS ernst FROM m JOIN s USING ("Bron")"""
 )
 def report_json(spark: SparkSession, folder: str) -> DataFrame:
-    """The nested report rows, through JSON text and back, flattened to compare."""
-    reports = source_reports(_messages(spark, folder), "Melding")
-    schema = reports.schema["meldingen"].dataType
-    text = reports.withColumn("json", F.to_json("meldingen", {"ignoreNullFields": "false"}))
-    nested = text.select("Bron", "status", F.from_json("json", schema).alias("m"))
-    return nested.select("Bron", "status", F.inline("m"))
+    """The report's messages, through JSON text and back, with their source's status."""
+    messages = _messages(spark, folder)
+    schema = "controle string, recordsoort string, melding string, aantal bigint, ernst string"
+    items = message_items(messages).select("Bron", F.from_json("item", schema).alias("m"))
+    return items.join(source_statuses(messages), "Bron").select("Bron", "status", "m.*")
 
 
 _EXPECTED = [("VLPBEK", "F"), ("VLPBEK", "O"), ("DEFBEK", "P"), ("DEFBEK", "Z"), ("HISBEK", "O")]
