@@ -267,17 +267,30 @@ def score_text(text: str, lexicon: Lexicon) -> float:
 
 
 def _fit_curve(excesses: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic curve by Newton steps, held near (-3, 1) by a weak prior."""
+    """Logistic curve, held near (-3, 1) by a weak prior.
+
+    Newton steps are halved until the fit improves: on labels that the hits separate
+    completely, whole steps would run away.
+    """
     x = np.column_stack([np.ones(len(excesses)), np.minimum(excesses, 20.0)])
-    centre, beta = np.array([-3.0, 1.0]), np.array([-3.0, 1.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-x @ beta))
+    centre = np.array([-3.0, 1.0])
+
+    def fit(beta: np.ndarray) -> float:
+        at = x @ beta
+        likelihood = labels @ at - np.logaddexp(0.0, at).sum()
+        return float(likelihood - (beta - centre) @ (beta - centre) / 2)
+
+    beta, now = centre.copy(), fit(centre)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -60, 60)))
         gradient = x.T @ (labels - p) - (beta - centre)
         hessian = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
         step = np.linalg.solve(hessian, gradient)
-        beta = beta + step
-        if np.abs(step).max() < 1e-9:
+        while (better := fit(beta + step)) < now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if np.abs(step).max() <= 1e-9:
             break
+        beta, now = beta + step, better
     return float(beta[0]), max(float(beta[1]), 0.1)
 
 

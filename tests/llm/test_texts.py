@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from fundmart.llm import html_text, licenses, private_data, quality, sentencepiece, toxicity
@@ -393,6 +394,15 @@ def test_automaton_equals_edit_distance():
         assert automaton.match(word) == expected, word
 
 
+@pytest.mark.parametrize("rows", [20, 2_000, 20_000])
+@pytest.mark.parametrize("strength", [2.0, 10.0, 500.0])
+def test_the_curve_stays_put_on_separable_labels(rows, strength):
+    labels = np.array([float(i % 10 == 0) for i in range(rows)])
+    level, slope = toxicity._fit_curve(labels * strength, labels)
+    assert -15 < level < -2 and 0.1 <= slope < 12
+    assert 1 / (1 + np.exp(-(level + slope * min(strength, 20.0)))) > 0.5
+
+
 def test_without_labels_nothing_is_toxic(spark, edge, no_labels, edge_labels):
     for marked in (no_labels, edge_labels):
         learnt = toxicity.learn_lexicon(edge, marked)
