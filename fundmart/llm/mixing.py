@@ -28,6 +28,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 BINS = 256
+SOURCES_BYTES = 16 << 20
+SALTS = 64
 # 13 hexadecimal digits fit a double exactly.
 DRAW_DIGITS = 13
 
@@ -73,15 +75,33 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
     )
 
 
+def _beside(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows with their source's figures, without bringing a source's rows together.
+
+    There is one row per source, so it is sent to every task when its checked size allows;
+    otherwise each source's row is repeated ``SALTS`` times and its documents are dealt out.
+    """
+    size = F.coalesce(F.octet_length("source"), F.lit(0)) + 100
+    used = sources.agg(F.sum(size)).first()[0] or 0
+    same = F.col("d.source").eqNullSafe(F.col("s.source"))
+    if used <= SOURCES_BYTES:
+        joined = rows.alias("d").join(F.broadcast(sources).alias("s"), same)
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        repeated = sources.select("*", salts)
+        own = F.pmod(F.col("d.draw"), F.lit(SALTS)) == F.col("s.salt")
+        joined = rows.alias("d").join(repeated.alias("s"), same & own)
+    return joined.select("d.*", *[F.col(f"s.{c}") for c in sources.columns if c != "source"])
+
+
 def _ranked(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Each document with its source's figures, its rank and the bin of its rank."""
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
     u = (F.col("draw") + F.lit(0.5)) / F.lit(float(16**DRAW_DIGITS))
     share = F.col("inclusion") / (1 - F.col("inclusion"))
     at = F.floor(F.col("odds") / (1 + F.col("odds")) * (BINS * BINS)).cast("int")
-    joined = rows.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
     return (
-        joined.select("d.*", *[F.col(f"s.{c}") for c in sources.columns if c != "source"])
+        _beside(rows, sources)
         .withColumn("copies", F.coalesce(F.floor(ratio), F.lit(0)).cast("long"))
         .withColumn("inclusion", F.coalesce(ratio - F.floor(ratio), F.lit(0.0)))
         .withColumn("left", F.col("target") - F.col("copies") * F.col("source_size"))
@@ -176,7 +196,8 @@ def mix(
     """One row per document: size, its source's size and target, and the words taken."""
     rows = written(_sized(docs, id_col, text_col, source_col), "mix-sizes")
     targets = written(source_targets(rows, weights, share, most), "mix-targets")
-    return _copies(rows, source_cuts(rows, targets)).select(
+    cuts = written(source_cuts(rows, targets), "mix-thresholds")
+    return _copies(rows, cuts).select(
         "doc_id",
         "size",
         "source_size",

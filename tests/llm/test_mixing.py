@@ -66,6 +66,13 @@ def test_mix_equals_plain_computation(spark, edge, which):
     assert [f[3] for f in found] == pytest.approx([e[3] for e in expected])
 
 
+def test_many_sources_are_dealt_out_alike(spark, monkeypatch):
+    df = spark.createDataFrame(many(), DOCS)
+    usual = rows_of(mixing.mix(df))
+    monkeypatch.setattr(mixing, "SOURCES_BYTES", 0)
+    assert rows_of(mixing.mix(df)) == usual
+
+
 def test_taken_words_come_near_the_target(spark):
     found = mixing.mix(spark.createDataFrame(many(), DOCS)).collect()
     for size in {r["source_size"] for r in found}:
