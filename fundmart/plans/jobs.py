@@ -68,6 +68,7 @@ from fundmart.sources.records import (
     UNKNOWN,
     route,
     split_table,
+    stage_lines,
     staged_messages,
     typed_table,
 )
@@ -181,7 +182,7 @@ def prepare_files(
         names = stage.write(files.drop("Eerste", "Dubbel"), "files")
         raw = raw_lines(spark, paths)
         latin1 = [row[0] for row in latin1_files(raw).collect()]
-        staged = stage.write(route(text_lines(raw, latin1), key), "lines", ("tabel",))
+        staged = stage_lines(stage, route(text_lines(raw, latin1), key))
         splits = stage.write(split_table(staged), "splits")
         counts = splits.groupBy(LABEL, "tabel").agg(F.sum("n").alias("n"))
         counts = stage.write(counts, "counts")

@@ -68,7 +68,9 @@ class Stage:
 
     def write(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("error").partitionBy(*by).parquet(path)
+        # One file per task and partition: readers may count on it.
+        writer = df.write.mode("error").option("maxRecordsPerFile", 0)
+        writer.partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:

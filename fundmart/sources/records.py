@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +18,7 @@ from fundmart.layouts import (
     load_layout,
     record_types,
 )
-from fundmart.session import small_side
+from fundmart.session import Stage, small_side
 from fundmart.sources.lines import block_offsets
 from fundmart.sources.names import file_name, layout_of
 from fundmart.texts import EXTRA_FIELDS, UNKNOWN_RECORD
@@ -119,25 +116,6 @@ def message_text(extra: Column, n: Column) -> Column:
     return F.when(n.isNull(), UNKNOWN_RECORD).otherwise(F.format_string(EXTRA_FIELDS, extra, n))
 
 
-def running_count(code: Column) -> Column:
-    """Position of a row among the rows of the same code, in its scan partition.
-
-    The per-code twin of ``monotonically_increasing_id``: only one small integer
-    per row goes to Python, and no rows are moved between tasks.
-    """
-
-    @F.pandas_udf("bigint")
-    def count(codes: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        seen: dict[int, int] = {}
-        for batch in codes:
-            yield batch.groupby(batch).cumcount() + batch.map(seen).fillna(0).astype("int64")
-            for value, n in batch.value_counts().items():
-                seen[value] = seen.get(value, 0) + n
-
-    # Its value depends on the rows before, so no filter may move below it.
-    return count.asNondeterministic()(code)
-
-
 def _hidden_person(fields: Column, n: Column, key: bytes | None) -> Column:
     """The record's fields up to its width, with the person fields as pseudonyms."""
     cut = F.slice(fields, 1, n)
@@ -168,13 +146,12 @@ def person_tables() -> list[str]:
 def route(lines: DataFrame, key: bytes | None) -> DataFrame:
     """Lines as rows of one staged table, person numbers already hidden.
 
-    Columns: delivery label, file block and positions, ``tabel`` (partition of
+    Columns: delivery label, file block and position, ``tabel`` (partition of
     the staged table), the fields, and how many filled fields lie past the layout.
     Unknown lines keep only their record type, never their content.
     """
     if key is not None:
         hide_key(lines.sparkSession)
-    codes = F.array(*[F.lit(rs) for rs in record_types()])
     # Names that got here match the name pattern, so a space is the only character
     # a URL encodes, and the extension has four characters.
     name = F.replace(file_name(F.col("uri")), F.lit("%20"), F.lit(" "))
@@ -190,7 +167,6 @@ def route(lines: DataFrame, key: bytes | None) -> DataFrame:
             "uri",
             "block_start",
             "_m",
-            running_count(F.array_position(codes, F.col("tabel"))).alias("_n"),
             "indeling",
             "tabel",
             record_type.alias("rs"),
@@ -201,6 +177,16 @@ def route(lines: DataFrame, key: bytes | None) -> DataFrame:
     )
 
 
+def stage_lines(stage: Stage, routed: DataFrame) -> DataFrame:
+    """Write routed lines and read them with ``_n``, their place in the staged file.
+
+    A task writes its lines in source order to one file per table, so inside a file block
+    the place counts the lines of that table; a local sort makes sure of the order.
+    """
+    staged = stage.write(routed.sortWithinPartitions("tabel", "_m"), "lines", ("tabel",))
+    return staged.select("*", F.col("_metadata.row_index").alias("_n"))
+
+
 def split_table(staged: DataFrame) -> DataFrame:
     """One row per file block and table: row count and the bases of both numbers.
 

@@ -55,7 +55,7 @@ def test_bridge_and_career(standard):
 
 def test_dimensions(standard):
     star = standard[1].star
-    assert rows(star["dim_instelling"]) == [("71AA", False), ("99XX", True)]
+    assert rows(star["dim_instelling"]) == [("38QD", False), ("99XX", True)]
     person = star["dim_persoon"].filter("Burgerservicenummer is not null").first()
     assert person["_persoon_id"] == person["Burgerservicenummer"]
     assert person["DatumGraadBehaaldBa"] == datetime.date(2023, 6, 25)
@@ -103,7 +103,7 @@ def test_contracts_by_breaking(standard):
     assert rows(check_tables(broken), "Controle", "Melding", "Aantal") == [
         ("Lege sleutel", "BRIN is leeg", 3)
     ]
-    broken = {**star, "dim_instelling": star["dim_instelling"].filter("BRIN <> '71AA'")}
+    broken = {**star, "dim_instelling": star["dim_instelling"].filter("BRIN <> '38QD'")}
     assert rows(check_tables(broken), "Controle", "Recordsoort", "Melding") == [
         ("Koppeling", "fact_deelname", "2 waarden van BRIN ontbreken in dim_instelling")
     ]
@@ -122,7 +122,7 @@ def test_indicators(standard):
         "In bestand": 2, "Beoordeeld": 2, "Bekostigd": 1,
     }
     assert rows(ind.reasons(base, star), "Code", "Aantal") == [("na", 1), ("ti", 1)]
-    assert rows(ind.per_programme(base)) == [("34001", "HBO-BA", 2, 1, 0.5)]
+    assert rows(ind.per_programme(base)) == [("50982", "HBO-BA", 2, 1, 0.5)]
     assert rows(ind.provisional_to_final(star)) == [(2025, "na,ti", "pi", 1)]
     assert [tuple(r) for r in ind.history(star).collect()] == [
         (2023, "deelname", 1, 1), (2024, "deelname", 1, 0), (2024, "resultaat", 1, 1),
