@@ -142,6 +142,16 @@ def test_indicators_without_their_delivery(spark):
     assert ind.reasons(base, star).count() == 0
 
 
+def test_reasons_read_the_chosen_deliveries_only(standard):
+    star = standard[1].star
+    base = ind.fact_base(star, "fact_deelname", [PROVISIONAL])
+    found = ind.reasons(base, star, [PROVISIONAL])
+    assert rows(found, "Code", "Aantal") == [("na", 1), ("ti", 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "fact_status" in line]
+    assert scans and all("levering" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+
+
 def test_plans_prune_and_stay_in_the_jvm(standard):
     star = standard[1].star
     base = ind.fact_base(star, "fact_deelname", [PROVISIONAL])

@@ -103,7 +103,7 @@ def reasons(spark: SparkSession, folder: str) -> DataFrame:
     known = s.code_list(spark, "bekostigingstatus")
     tables["dim_status"] = s.dim_status(tables["fact_status"], known, s.codes("bekostigingstatus"))
     base = ind.fact_base(tables, "fact_deelname", _CHOSEN)
-    return ind.reasons(base, tables)
+    return ind.reasons(base, tables, _CHOSEN)
 
 
 @query(
