@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,7 +177,8 @@ def _labelled(statistics: DataFrame, labels: DataFrame, id_col: str, label_col:
 
 
 def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
-    """Quantiles of each statistic, among low and among other rows."""
+    """Midway between neighbouring quantiles of each statistic, among low and among other
+    rows: a rule then keeps its distance from both."""
     steps = F.array(*[F.lit((i + 0.5) / THRESHOLDS) for i in range(THRESHOLDS)])
     found: dict[str, set[float]] = {name: set() for name in STATISTICS}
     quantiles = [
@@ -185,7 +187,9 @@ def _thresholds(rows: DataFrame) -> dict[str, list[float]]:
     for row in rows.filter(~F.col("prune")).groupBy("low").agg(*quantiles).collect():
         for name in STATISTICS:
             found[name].update(row[name] or ())
-    return {name: sorted(values) for name, values in found.items()}
+    return {
+        name: [(a + b) / 2 for a, b in pairwise(sorted(values))] for name, values in found.items()
+    }
 
 
 def _counts(rows: DataFrame, thresholds: dict[str, list[float]]) -> dict:
