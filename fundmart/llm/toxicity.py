@@ -59,6 +59,8 @@ WINDOW = 6
 QUOTED, REPORTED = 0.5, 0.25
 # Words longer than this match nothing; the limit keeps the state cache small.
 LONGEST_WORD = 60
+# Words whose strength is remembered by a task.
+KNOWN_WORDS = 500_000
 
 # Reporting verbs, second persons and quotation marks of the four languages.
 REPORTING = frozenset(
@@ -101,8 +103,32 @@ class Automaton:
                 # Edits that some word below this node may have.
                 self.allowed[node] = max(self.allowed[node], edits)
             ends[node] = entry
-        self.start = self._closed({(0, 0)})
-        self.steps: dict[frozenset, dict[str, frozenset]] = {}
+        # States by number, with what a text that ends or begins there matches.
+        self.number: dict[frozenset, int] = {}
+        self.states: list[frozenset] = []
+        self.steps: list[dict[str, int]] = []
+        self.stem_at: list[str | None] = []
+        self.word_at: list[tuple[int, str] | None] = []
+        self._numbered(self._closed({(0, 0)}))
+
+    def _numbered(self, state: frozenset) -> int:
+        """The state's number; -1: nothing can match any more."""
+        if not state:
+            return -1
+        number = self.number.get(state)
+        if number is None:
+            number = self.number[state] = len(self.states)
+            self.states.append(state)
+            self.steps.append({})
+            stems = [self.stem[n] for n, edits in state if not edits and n in self.stem]
+            self.stem_at.append(min(stems, default=None))
+            words = [
+                (edits, self.word[n])
+                for n, edits in state
+                if n in self.word and edits <= _edits(len(self.word[n]))
+            ]
+            self.word_at.append(min(words, default=None))
+        return number
 
     def _closed(self, states: set[tuple[int, int]]) -> frozenset:
         """With the entry's characters that the text leaves out."""
@@ -131,29 +157,23 @@ class Automaton:
 
     def match(self, text: str) -> tuple[str, int] | None:
         """The nearest entry and its edits; a beginning counts as no edit."""
-        if len(text) > LONGEST_WORD:
+        whole = len(text) <= LONGEST_WORD
+        if not whole:
             text = text[: max(STEM_LENGTHS)]
-            whole = False
-        else:
-            whole = True
-        state = self.start
+        at = 0
         for char in text:
-            for node, edits in state:
-                if not edits and node in self.stem:
-                    return self.stem[node], 0
-            known = self.steps.setdefault(state, {})
-            after = known.get(char)
+            if self.stem_at[at] is not None:
+                return self.stem_at[at], 0
+            after = self.steps[at].get(char)
             if after is None:
-                after = known[char] = self._step(state, char)
-            state = after
-            if not state:
+                after = self._numbered(self._step(self.states[at], char))
+                self.steps[at][char] = after
+            if after < 0:
                 return None
-        found = [
-            (edits, self.word[node])
-            for node, edits in state
-            if whole and node in self.word and edits <= _edits(len(self.word[node]))
-        ]
-        found += [(0, self.stem[node]) for node, edits in state if not edits and node in self.stem]
+            at = after
+        found = [self.word_at[at]] if whole and self.word_at[at] else []
+        if self.stem_at[at] is not None:
+            found.append((0, self.stem_at[at]))
         if not found:
             return None
         edits, entry = min(found)
@@ -170,10 +190,10 @@ class Lexicon:
         self.rates: list[float] = []
         self.curve: tuple[float, float] | None = None
         self._automaton: Automaton | None = None
-        self._cache: dict[str, float] = {}
+        self.known: dict[str, float] = {}
 
     def __getstate__(self):
-        return {**self.__dict__, "_automaton": None, "_cache": {}}
+        return {**self.__dict__, "_automaton": None, "known": {}}
 
     @property
     def automaton(self) -> Automaton:
@@ -183,19 +203,19 @@ class Lexicon:
 
     def strength(self, word: str) -> float:
         """Probability that a document with this word is toxic; 0: no hit."""
-        known = self._cache.get(word)
-        if known is None:
+        value = self.known.get(word)
+        if value is None:
             found = self.automaton.match(word)
             if found is None:
-                known = 0.0
+                value = 0.0
             elif found[1]:
-                known = self.forms.get(word, self.rare_form / found[1])
+                value = self.forms.get(word, self.rare_form / found[1])
             else:
-                known = self.words.get(found[0]) or self.stems[found[0]]
-            if len(self._cache) > 300_000:
-                self._cache.clear()
-            self._cache[word] = known
-        return known
+                value = self.words.get(found[0]) or self.stems[found[0]]
+            if len(self.known) > KNOWN_WORDS:
+                self.known.clear()
+            self.known[word] = value
+        return value
 
 
 def _quoted_spans(text: str) -> list[tuple[int, int]]:
@@ -219,10 +239,16 @@ def evidence(text: str, lexicon: Lexicon) -> tuple[int, list[float]]:
     A hit counts as much as its weightiest place in the text.
     """
     lowered = text.lower()
-    strength = lexicon.strength
     different = set(TOKEN.findall(lowered))
     counts = [0.0] * (len(CLASSES) + 1)
-    hits = {w: s for w in different if (s := strength(w))}
+    known, strength = lexicon.known, lexicon.strength
+    hits = {}
+    for word in different:
+        value = known.get(word)
+        if value is None:
+            value = strength(word)
+        if value:
+            hits[word] = value
     if not hits:
         return len(different), counts
     spans = _quoted_spans(lowered) if any(q in lowered for q in OPENING) else []
