@@ -116,11 +116,13 @@ def not_funded_reasons(
 
 def reasons(df: DataFrame, star: Star, deliveries: list[str] | None = None) -> DataFrame:
     """``deliveries``, where given, are the ones that ``df`` was made of: the bridge is
-    stored per delivery, so only their folders are read."""
-    bridge = star["fact_status"]
-    if deliveries is not None:
-        bridge = bridge.filter(F.col(LABEL).isin(deliveries))
-    return not_funded_reasons(df, bridge, star["dim_status"], [LABEL, FACT_ID])
+    stored per delivery, so only their folders are read. Fact keys must then hold their
+    delivery, as those of a built star do."""
+    bridge, statuses = star["fact_status"], star["dim_status"]
+    if deliveries is None:
+        return not_funded_reasons(df, bridge, statuses)
+    own = bridge.filter(F.col(LABEL).isin(deliveries))
+    return not_funded_reasons(df, own, statuses, [LABEL, FACT_ID])
 
 
 def per_programme(

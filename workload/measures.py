@@ -103,7 +103,8 @@ def reasons(spark: SparkSession, folder: str) -> DataFrame:
     known = s.code_list(spark, "bekostigingstatus")
     tables["dim_status"] = s.dim_status(tables["fact_status"], known, s.codes("bekostigingstatus"))
     base = ind.fact_base(tables, "fact_deelname", _CHOSEN)
-    return ind.reasons(base, tables, _CHOSEN)
+    # Keys of these facts do not hold their delivery, so the whole bridge is needed.
+    return ind.reasons(base, tables)
 
 
 @query(
