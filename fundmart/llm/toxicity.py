@@ -60,7 +60,7 @@ QUOTED, REPORTED = 0.5, 0.25
 # Words longer than this match nothing; the limit keeps the state cache small.
 LONGEST_WORD = 60
 # Words whose strength is remembered by a task.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 
 # Reporting verbs, second persons and quotation marks of the four languages.
 REPORTING = frozenset(
