@@ -4,9 +4,10 @@ A text is read as lower-case words joined by single spaces. A notice may be foun
 few edits, ``k``; cut into ``k + 1`` pieces, at least one piece must then stand there
 unchanged (pigeonhole). All pieces of all notices are sought at once as exact seeds, each
 seed points to the place where its notice would lie, and bounded-error matching of the
-regex library verifies that place and reports the span with the fewest edits. Where
-notices overlap, the one with the smaller share of edits wins. No seed, place or match is
-left out, however many there are.
+regex library verifies that place by itself and reports the span with the fewest edits.
+Where notices overlap, the one with the smaller share of edits wins; the places of the
+others are searched again beside it. No seed, place or match is left out, however many
+there are.
 
 The base phrases are found exactly, as words that stand consecutively.
 
@@ -17,6 +18,8 @@ table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -123,27 +126,43 @@ class Scanner:
 
     def notices_in(self, joined: str) -> list[tuple[int, int, str, int, int]]:
         """(start, end, label, edits, notice length) of every notice, without overlaps."""
-        places: dict[int, list[tuple[int, int]]] = {}
+        windows: set[tuple[int, int, int]] = set()
         for end, (length, targets) in self.automaton.iter(joined):
             for i, offset in targets:
                 begin = end + 1 - length - offset
                 k = self.edits[i]
-                span = (begin - k, begin + len(self.notices[i][1]) + k)
-                places.setdefault(i, []).append(span)
-        found = []
-        for i, spans in places.items():
-            label, text = self.notices[i]
-            for a, b in _merged(spans):
-                for m in self.patterns[i].finditer(joined, max(a, 0), min(b, len(joined))):
-                    found.append((m.start(), m.end(), label, sum(m.fuzzy_counts), len(text)))
+                last = begin + len(self.notices[i][1]) + k
+                windows.add((i, max(begin - k, 0), min(last, len(joined))))
+        # The best match of each window; more of a window is searched when that one is settled.
+        heap: list[tuple] = []
+        for window in windows:
+            self._search(heap, joined, *window)
         chosen: list[tuple[int, int, str, int, int]] = []
         taken: list[tuple[int, int]] = []
-        for match in sorted(found, key=lambda m: (m[3] / m[4], -m[4], m[0], m[2])):
-            if not any(a < match[1] and match[0] < b for a, b in taken):
+        while heap:
+            _, match, (i, a, b) = heapq.heappop(heap)
+            if not _overlapping(taken, *match[:2]):
                 chosen.append(match)
-                taken.append(match[:2])
+                bisect.insort(taken, match[:2])
+            # A worse match of the same window may stand beside what is taken.
+            for start, end in _overlapping(taken, a, b):
+                self._search(heap, joined, i, a, start)
+                a = end
+            self._search(heap, joined, i, a, b)
         return sorted(chosen)
 
+    def _search(self, heap: list[tuple], joined: str, i: int, a: int, b: int) -> None:
+        """Put the best match of notice ``i`` between ``a`` and ``b``, if any, on the heap."""
+        label, text = self.notices[i]
+        if b - a < len(text) - self.edits[i]:
+            return
+        found = self.patterns[i].search(joined, a, b)
+        if found and found.end() > found.start():
+            edits = sum(found.fuzzy_counts)
+            match = (found.start(), found.end(), label, edits, len(text))
+            order = (edits / len(text), -len(text), found.start(), label)
+            heapq.heappush(heap, (order, match, (i, a, b)))
+
     def scan(self, text: str) -> tuple:
         words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split(b" ")
         words = [w for w in words if w]
@@ -167,14 +186,12 @@ class Scanner:
         )
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
+def _overlapping(taken: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
+    """The spans of ``taken`` (sorted, without overlaps) that overlap a to b."""
+    at = bisect.bisect_left(taken, (a, a))
+    if at and taken[at - 1][1] > a:
+        at -= 1
+    return taken[at : bisect.bisect_left(taken, (b, b))]
 
 
 def _spans(text: str, joined: str, notices: list) -> str:

@@ -314,6 +314,16 @@ def test_seeds_find_every_notice_with_so_many_edits():
             assert found, (label, text)
 
 
+def test_a_misspelt_notice_before_a_better_one_is_found_too():
+    scanner = licenses.Scanner()
+    twice = "released under the mit licence released under the mit license"
+    assert [m[:4] for m in scanner.notices_in(twice)] == [(0, 30, "mit", 1), (31, 61, "mit", 0)]
+    many = " ".join(["released under the mit licence"] * 5 + ["released under the mit license"] * 5)
+    assert [m[0] for m in scanner.notices_in(many)] == list(range(0, 310, 31))
+    two = "licenced under cc by n c licensed under cc by nd"
+    assert [m[2] for m in scanner.notices_in(two)] == ["cc-by-nc", "cc-by-nd"]
+
+
 # Toxicity
 
 
