@@ -5,11 +5,10 @@ symbols of the model are its bytes, so words never seen before have a probabilit
 Every training text is counted. Contexts are any strings of up to ``DEPTH`` bytes, and longer
 ones that reach back to the beginning of the word. A context is retained when
 
-- at least the share ``LEAST_SHARE`` of all symbols follow it, and
+- it is seen at least ``LEAST_COUNT`` times, whatever the size of the corpus, and
 - its next-symbol distribution diverges from the one of its longest suffix: the
   Kullback-Leibler divergence times the context's count must exceed what its number of
-  different symbols brings by chance (half of it times the logarithm of the count), and
-  times the context's share of all symbols it must reach ``LEAST_GAIN`` nats,
+  different symbols brings by chance (half of it times the logarithm of the count),
 
 or when it is a suffix of up to ``DEPTH`` bytes of a retained context. A symbol's
 probability comes from the longest retained suffix of what stands before it, smoothed by the
@@ -17,13 +16,14 @@ next shorter one with the weight of the number of different symbols seen (Witten
 down to the uniform distribution over bytes. Probabilities of all texts therefore add up to
 one.
 
-Sizes: contexts of one length have shares that add up to at most one, so at most
-1 / LEAST_SHARE of them are retained; a symbol follows one context from the beginning of its
-word, so all of those together are as few. (Context, symbol) pairs are bounded likewise. That
-bounds the model whatever the corpus, so it is sent to every task. So are the words that make up at
-least ``COMMON_SHARE`` of all tokens, which bounds their number too; the rarer words of each
-document, and only these, are joined with their counts. Counting, tests and joins are Spark
-jobs over all training texts; nothing else reaches the driver.
+Sizes: the tree grows with the corpus; all symbols seen after a retained context are kept.
+As long as it takes at most ``TREE_BYTES``, it is sent to every task. Beyond that it stays a
+written table: tasks get the probabilities of the symbols in context that make up at least
+``COMMON_KEY_SHARE`` of all symbols, which bounds their number; each document's other ones
+are counted and joined with the probabilities that Spark puts together from the table. Words
+are treated alike: those that make up at least ``COMMON_SHARE`` of all tokens are sent, the
+rarer ones of each document, and only these, are joined with their counts. Counting, tests
+and joins are Spark jobs over all training texts; nothing else reaches the driver.
 
 Defined results: a null or empty text is the end symbol alone; a null id is not held out;
 without any training text every distribution is uniform, all counts are 0 and ``base_score``
@@ -42,14 +42,21 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundmart.llm.base import held_out, named, query, table, text_of, written
 
 FOLDS = 7
 DEPTH = 5
-LEAST_SHARE = 5e-7
-LEAST_PAIR_SHARE = 2e-7
-LEAST_GAIN = 1e-7
+LEAST_COUNT = 4
+# A larger tree is not sent to tasks; a (context, symbol) pair takes up to 32 bytes.
+TREE_BYTES = 128 << 20
+PAIR_BYTES = 32
+COMMON_KEY_SHARE = 1e-6
+# Marks the code of a symbol whose context reaches back to the beginning of its word.
+BEGUN = 1 << 62
+# The shortest contexts belong to many symbols and are repeated so many times for the join.
+SALTS = 64
 # Contexts from the beginning of a word have at most so many bytes of it.
 LONGEST = 24
 COMMON_SHARE = 1e-5
@@ -57,6 +64,8 @@ COMMON_SHARE = 1e-5
 COMMON_BYTES = 64
 # Texts are taken together until they have so many bytes.
 BLOCK_BYTES = 1 << 21
+# Finding a text's other keys takes more memory a byte.
+KEY_BLOCK_BYTES = 1 << 18
 # White space, so no word contains it.
 END = 0x0A
 SPACE = 0x20
@@ -92,13 +101,13 @@ def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarra
     return codes[keep], np.cumsum(lengths)
 
 
-def _blocks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Rows (last item: bytes) in groups of about ``BLOCK_BYTES``."""
+def _blocks(rows: Iterator[tuple], most: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
+    """Rows (last item: bytes) in groups of about ``most`` bytes."""
     block, size = [], 0
     for row in rows:
         block.append(row)
         size += len(row[-1])
-        if size >= BLOCK_BYTES:
+        if size >= most:
             yield block
             block, size = [], 0
     if block:
@@ -151,9 +160,10 @@ def _suffix(column: str, length):
 
 def retained_contexts(
     counts: DataFrame, words: DataFrame, depth: int
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The tree's distributions: (length, context, symbol, n, total, kinds) for lengths 0 (the
-    root) to ``depth``, and (begin, symbol, n, total, kinds) for the longer contexts.
+    root) to ``depth``, and (begin, symbol, n, total, kinds, context: the hash of begin) for the
+    longer contexts; and those, with their parent but no hash, for all frequent ones.
 
     ``counts``: code, n; ``words``: word, c.
     """
@@ -175,11 +185,10 @@ def retained_contexts(
         .agg(F.sum("n").alias("n"))
     )
     pairs = written(pairs, "tree-pairs")
-    total = pairs.filter("length = 0").agg(F.sum("n")).first()[0] or 0
     totals = pairs.groupBy("length", "context").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     )
-    frequent = written(totals.filter(F.col("total") >= LEAST_SHARE * total), "tree-contexts")
+    frequent = written(totals.filter(F.col("total") >= LEAST_COUNT), "tree-contexts")
     inside = written(pairs.join(frequent, ["length", "context"]), "tree-frequent")
 
     # A frequent context's suffixes are frequent too.
@@ -187,13 +196,13 @@ def retained_contexts(
         "parent", _suffix("context", F.col("length") - 1)
     )
     tested = _diverging(
-        child, inside.withColumn("length", F.col("length") + 1), ["length", "parent"], total
+        child, inside.withColumn("length", F.col("length") + 1), ["length", "parent"]
     )
     chain = F.transform(
         F.sequence(F.lit(0), F.col("length")),
         lambda k: F.struct(k.alias("length"), _suffix("context", k).alias("context")),
     )
-    starts, starts_kept = _word_contexts(words, inside, depth, total)
+    starts, starts_kept = _word_contexts(words, inside, depth)
     # The suffixes of contexts from the beginning of a word stay too.
     below = starts_kept.select(F.lit(depth).alias("length"), F.col("parent").alias("context"))
     closed = (
@@ -203,17 +212,17 @@ def retained_contexts(
         .select("at.length", "at.context")
         .distinct()
     )
-    root = inside.filter("length = 0")
+    # The root stays however small the corpus.
+    root = pairs.filter("length = 0").join(totals.filter("length = 0"), ["length", "context"])
     kept = inside.filter("length > 0").join(closed, ["length", "context"], "left_semi")
-    kept = root.unionByName(kept.filter(F.col("n") >= LEAST_PAIR_SHARE * total))
-    long = starts.join(starts_kept, "begin", "left_semi").filter(
-        F.col("n") >= LEAST_PAIR_SHARE * total
-    )
     columns = ["symbol", "n", "total", "kinds"]
-    return kept.select("length", "context", *columns), long.select("begin", *columns)
+    kept = root.unionByName(kept).select("length", "context", *columns)
+    long = starts.join(starts_kept, "begin", "left_semi").select("begin", *columns)
+    long = _begin_hashes(long)
+    return written(kept, "tree-kept"), written(long, "tree-kept-words"), starts
 
 
-def _diverging(child: DataFrame, above: DataFrame, on: list[str], total: int) -> DataFrame:
+def _diverging(child: DataFrame, above: DataFrame, on: list[str]) -> DataFrame:
     """The contexts of ``child`` that pass the test against their ``parent`` in ``above``."""
     names = [c for c in child.columns if c not in ("symbol", "n")]
     parents = above.select(
@@ -229,12 +238,11 @@ def _diverging(child: DataFrame, above: DataFrame, on: list[str], total: int) ->
         .groupBy(*names)
         .agg(F.sum(p * F.log(p / F.col("q"))).alias("divergence"))
         .filter(evidence >= F.col("kinds") / 2 * F.log("total"))
-        .filter(evidence >= LEAST_GAIN * total)
     )
 
 
 def _word_contexts(
-    words: DataFrame, inside: DataFrame, depth: int, total: int
+    words: DataFrame, inside: DataFrame, depth: int
 ) -> tuple[DataFrame, DataFrame]:
     """Contexts longer than ``depth`` that begin with their word: (begin, symbol, n, total,
     kinds, parent), and the ones to retain. ``words``: word, c.
@@ -254,7 +262,7 @@ def _word_contexts(
     totals = pairs.groupBy("begin").agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     )
-    frequent = totals.filter(F.col("total") >= LEAST_SHARE * total)
+    frequent = totals.filter(F.col("total") >= LEAST_COUNT)
     last = F.substring("begin", F.octet_length("begin") - depth + 1, F.lit(depth))
     starts = written(
         pairs.join(frequent, "begin").withColumn(
@@ -263,7 +271,7 @@ def _word_contexts(
         "tree-word-contexts",
     )
     above = inside.filter(F.col("length") == depth)
-    kept = _diverging(starts, above, ["parent"], total).select("begin", "parent")
+    kept = _diverging(starts, above, ["parent"]).select("begin", "parent")
     return starts, written(kept, "tree-word-kept")
 
 
@@ -334,11 +342,7 @@ class Tree:
             here = length == k
             pair = (context[here] << np.uint64(8)) | symbol[here]
             levels.append(_level(context[here], pair, n[here], total[here], kinds[here]))
-        begun = [bytes(b) for b in starts.column("begin").to_pylist()]
-        data = np.frombuffer(b"".join(b + b" " for b in begun), np.uint8)
-        hashes = word_hashes(data)[0] if begun else np.zeros(0, np.uint64)
-        ends = np.cumsum([len(b) + 1 for b in begun], dtype=np.int64) - 1
-        hashes = hashes[ends]
+        hashes = starts.column("context").to_numpy().view(np.uint64)
         pairs = _pair_code(hashes, starts.column("symbol").to_numpy())
         levels.append(_level(hashes, pairs, *numbers(starts, "n", "total", "kinds")))
         return cls(depth, root, levels)
@@ -379,6 +383,145 @@ class Tree:
         return np.add.reduceat(logs, np.concatenate(([0], ends[:-1])))
 
 
+def _begin_hashes(rows: DataFrame) -> DataFrame:
+    """Rows with the hash (``context``) of their ``begin``, as ``word_hashes`` has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begun = batch.column("begin").to_pylist()
+            data = np.frombuffer(b"".join(bytes(b) + b" " for b in begun), np.uint8)
+            ends = np.cumsum([len(b) + 1 for b in begun], dtype=np.int64) - 1
+            hashes = word_hashes(data)[0][ends].view(np.int64) if begun else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(hashes)], [*batch.schema.names, "context"]
+            )
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("context", T.LongType())])
+    return rows.mapInArrow(run, schema)
+
+
+def key_logs(keys: DataFrame, tree: DataFrame, root: np.ndarray, depth: int) -> DataFrame:
+    """log10 probability (``log``) of each key (code, begin), from a tree that is a table.
+
+    ``begin`` is the hash of the word's bytes before the symbol if the code is marked as
+    ``BEGUN``; ``tree``: length, context, symbol, n, total, kinds.
+    """
+    weight = F.col("total") + F.col("kinds")
+    short = F.col("length") <= 2
+    salts = F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    contexts = (
+        tree.filter("length > 0")
+        .groupBy("length", "context")
+        .agg(
+            F.max(F.col("kinds") / weight).alias("rest"),
+            F.collect_list(F.struct("symbol", (F.col("n") / weight).alias("own"))).alias("own"),
+        )
+        .withColumn("salt", F.explode(salts))
+    )
+    symbol = F.col("code").bitwiseAND(F.lit(255))
+    place = F.array_position(F.col("own.symbol"), symbol).cast("int")
+    own = F.coalesce(F.get(F.col("own.own"), place - 1), F.lit(0.0))
+    before = F.shiftright(F.col("code"), 8)
+    chain = F.array(
+        *[
+            F.struct(
+                F.lit(k).alias("length"),
+                before.bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("context"),
+            )
+            for k in range(1, depth + 1)
+        ]
+    )
+    plain = F.col("code").bitwiseAND(F.lit(BEGUN - 1)).alias("code")
+    salt = F.when(short, F.pmod(F.hash("code"), F.lit(SALTS))).otherwise(F.lit(0))
+    level = F.when(F.col("rest").isNotNull(), F.struct("length", "rest", own.alias("own")))
+    first = F.get(F.array(*[F.lit(float(p)) for p in root]), symbol.cast("int"))
+    # From the shortest context to the longest, as in Tree: first within the depth, by code alone.
+    value = F.aggregate(F.array_sort("levels"), first, lambda p, x: p * x["rest"] + x["own"])
+    codes = (
+        keys.select(plain)
+        .distinct()
+        .select("code", F.explode(chain).alias("at"))
+        .select("code", "at.length", "at.context")
+        .withColumn("salt", salt)
+        .join(contexts, ["length", "context", "salt"], "left")
+        .select("code", level.alias("level"))
+        .groupBy("code")
+        .agg(F.collect_list("level").alias("levels"))
+        .select("code", value.alias("p"))
+    )
+    begun = (
+        keys.filter(F.col("code") >= BEGUN)
+        .select(plain, "begin")
+        .join(codes, "code")
+        .join(
+            contexts.filter(F.col("length") == depth + 1).select(
+                F.col("context").alias("begin"), "rest", "own"
+            ),
+            "begin",
+            "left",
+        )
+    )
+    longest = F.col("p") * F.coalesce("rest", F.lit(1.0)) + own
+    begun = begun.select(
+        (F.col("code") + F.lit(BEGUN)).alias("code"), "begin", F.log10(longest).alias("log")
+    )
+    rest = keys.filter(F.col("code") < BEGUN).join(codes, "code")
+    return begun.unionByName(rest.select("code", "begin", F.log10("p").alias("log")))
+
+
+class CommonKeys:
+    """The log10 probabilities of common symbols in context; others are left to a join."""
+
+    def __init__(self, depth: int, code: np.ndarray, begin: np.ndarray, log: np.ndarray) -> None:
+        mixed = _pair_code(begin.view(np.uint64), code)
+        order = np.argsort(mixed)
+        self.depth, self.mixed = depth, mixed[order]
+        self.code, self.begin, self.log = code[order], begin[order], log[order]
+
+    def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+        """Each text's sum over its common keys, and its other keys with their counts ``k``."""
+        codes, ends = grams(texts, self.depth)
+        hashes, before = word_hashes(np.frombuffer(b"".join(texts), np.uint8))
+        begun = (before >= self.depth) & (before <= LONGEST)
+        code = codes.astype(np.int64) | np.where(begun, BEGUN, 0)
+        begin = np.where(begun, hashes, np.uint64(0)).view(np.int64)
+        log, known = np.zeros(len(code)), np.zeros(len(code), bool)
+        if len(self.mixed):
+            at, known = _find(self.mixed, _pair_code(begin.view(np.uint64), code))
+            known &= (self.code[at] == code) & (self.begin[at] == begin)
+            log[known] = self.log[at[known]]
+        starts = np.concatenate(([0], ends[:-1]))
+        text = np.repeat(np.arange(len(texts)), ends - starts)[~known]
+        code, begin = code[~known], begin[~known]
+        order = np.lexsort((begin, code, text))
+        text, code, begin = text[order], code[order], begin[order]
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (code[1:] != code[:-1]) | (begin[1:] != begin[:-1])
+        first = np.flatnonzero(new)
+        k = np.diff(np.append(first, len(text)))
+        keys = pa.StructArray.from_arrays(
+            [pa.array(code[first]), pa.array(begin[first]), pa.array(k.astype(np.int64))],
+            ["code", "begin", "k"],
+        )
+        offsets = np.searchsorted(text[first], np.arange(len(texts) + 1)).astype(np.int32)
+        return np.add.reduceat(log, starts), pa.ListArray.from_arrays(pa.array(offsets), keys)
+
+
+def _release(spark: SparkSession) -> None:
+    """Spark deletes shuffle files of finished steps only once the driver's garbage is collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def _counted(
+    docs: DataFrame, id_col: str, text_col: str, folds: int, depth: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """The counts of symbols in context and of words, and the number of training texts."""
+    counts = written(count_corpus(docs, folds, id_col, text_col, depth), "tree-counts")
+    words = counts.filter("word IS NOT NULL").select("word", F.col("n").alias("c"))
+    texts = counts.filter("code = -1").agg(F.sum("n")).first()[0] or 0
+    return counts.filter("code >= 0").select("code", "n"), words, texts
+
+
 def learn(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -387,15 +530,26 @@ def learn(
     depth: int = DEPTH,
 ) -> tuple[Tree, DataFrame, int]:
     """The tree, the counts of all training words, and the number of training texts."""
-    counts = written(count_corpus(docs, folds, id_col, text_col, depth), "tree-counts")
-    words = counts.filter("word IS NOT NULL").select("word", F.col("n").alias("c"))
-    texts = counts.filter("code = -1").agg(F.sum("n")).first()[0] or 0
-    rows, starts = retained_contexts(
-        counts.filter("code >= 0").select("code", "n"), words, depth
-    )
+    counts, words, texts = _counted(docs, id_col, text_col, folds, depth)
+    rows, starts, _ = retained_contexts(counts, words, depth)
     return Tree.of(rows.toArrow(), starts.toArrow(), depth), words, texts
 
 
+def _common_keys(
+    counts: DataFrame, starts: DataFrame, tree: DataFrame, root: np.ndarray, depth: int
+) -> CommonKeys:
+    """Of ``counts`` and of all frequent contexts from the beginning of a word (``starts``)."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    common = F.col("n") >= COMMON_KEY_SHARE * total
+    codes = counts.filter(common).select("code", F.lit(0).cast("long").alias("begin"))
+    code = F.col("parent") * 256 + F.col("symbol") + BEGUN
+    begun = _begin_hashes(starts.filter(common)).select(
+        code.alias("code"), F.col("context").alias("begin")
+    )
+    logs = key_logs(codes.unionByName(begun), tree, root, depth).toArrow()
+    return CommonKeys(depth, *[logs.column(c).to_numpy() for c in ("code", "begin", "log")])
+
+
 def score_corpus(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -404,8 +558,21 @@ def score_corpus(
     depth: int = DEPTH,
 ) -> DataFrame:
     """One row per document: base score by word counts and score by the tree."""
-    tree, words, texts = learn(docs, id_col, text_col, folds, depth)
     spark = docs.sparkSession
+    counts, words, texts = _counted(docs, id_col, text_col, folds, depth)
+    _release(spark)
+    kept, long, starts = retained_contexts(counts, words, depth)
+    _release(spark)
+    whole = (kept.count() + long.count()) * PAIR_BYTES <= TREE_BYTES
+    if whole:
+        tree = Tree.of(kept.toArrow(), long.toArrow(), depth)
+        model = (tree.depth, tree.root, tree.levels)
+    else:
+        root = Tree.of(kept.filter("length = 0").toArrow(), long.limit(0).toArrow(), depth).root
+        rows = long.withColumn("length", F.lit(depth + 1))
+        stored = kept.unionByName(rows.select(kept.columns))
+        keys = _common_keys(counts, starts, stored, root, depth)
+        model = (depth, keys.code, keys.begin, keys.log)
     sums = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     # The end is a token too.
     n_tokens, n_kinds = (sums[0] or 0) + texts, sums[1] + (texts > 0)
@@ -413,14 +580,14 @@ def score_corpus(
         (F.col("c") >= COMMON_SHARE * n_tokens) & (F.octet_length("word") <= COMMON_BYTES)
     )
     known = {bytes(r["word"]): r["c"] for r in common.toLocalIterator()}
-    # Both have a proven bound, see above.
-    sent = spark.sparkContext.broadcast((tree.depth, tree.root, tree.levels, known))
+    # The first is checked or has a proven bound like the other, see above.
+    sent = spark.sparkContext.broadcast((model, known))
     weight = math.log10(n_tokens + n_kinds + 1)
     end_part = math.log10(texts + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        depth, root, levels, known = sent.value
-        tree = Tree(depth, root, levels)
+        model, known = sent.value
+        scorer = Tree(*model) if whole else CommonKeys(*model)
         logs = {w: math.log10(c + 1) for w, c in known.items()}
         row = TaskContext.get().partitionId() << 40
         # A document's place in its task names it until its parts are added up.
@@ -429,8 +596,12 @@ def score_corpus(
             for batch in batches
             for i in range(batch.num_rows)
         )
-        for block in _blocks(entries):
-            scores = tree.score([b[-1] for b in block])
+        for block in _blocks(entries, BLOCK_BYTES if whole else KEY_BLOCK_BYTES):
+            own_texts = [b[-1] for b in block]
+            if whole:
+                scores, keys = scorer.score(own_texts), pa.array([[]] * len(block), types[-1])
+            else:
+                scores, keys = scorer.score(own_texts)
             out = []
             for (doc_id, is_held, own, _), score in zip(block, scores.tolist(), strict=True):
                 counted = Counter(own)
@@ -448,14 +619,17 @@ def score_corpus(
             columns = list(zip(*out, strict=True))
             arrays = [
                 pa.array([x.as_py() for x in c] if k in (1, 2) else c, t)
-                for k, (c, t) in enumerate(zip(columns, types, strict=True))
+                for k, (c, t) in enumerate(zip(columns, types[:-1], strict=True))
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays([*arrays, keys], names)
 
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"]
+    names = [
+        "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "keys"
+    ]
     types = [
         pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
         pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())])),
+        pa.list_(pa.struct([("code", pa.int64()), ("begin", pa.int64()), ("k", pa.int64())])),
     ]
     rows = docs.select(
         named(id_col).cast("long").alias("doc_id"),
@@ -465,10 +639,12 @@ def score_corpus(
     scored = rows.mapInArrow(
         run,
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
-        "base_score double, score double, rare array<struct<word: binary, k: bigint>>",
+        "base_score double, score double, rare array<struct<word: binary, k: bigint>>, "
+        "keys array<struct<code: bigint, begin: bigint, k: bigint>>",
     )
     # Written once: the row numbers that follow are then fixed.
     scored = written(scored, "tree-scored")
+    _release(spark)
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     more = (
         rare.join(words, "word")
@@ -478,9 +654,20 @@ def score_corpus(
             F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("more_score"),
         )
     )
+    scores = scored.drop("rare", "keys")
+    if not whole:
+        rest = scored.select("row", F.explode("keys").alias("r")).select("row", "r.*")
+        logs = key_logs(rest.select("code", "begin").distinct(), stored, root, depth)
+        rest = (
+            rest.join(logs, ["code", "begin"])
+            .groupBy("row")
+            .agg(F.sum(F.col("k") * F.col("log")).alias("rest"))
+        )
+        scores = scores.join(rest, "row", "left").withColumn(
+            "score", F.col("score") + F.coalesce("rest", F.lit(0.0))
+        )
     return (
-        scored.drop("rare")
-        .join(more, "row", "left")
+        scores.join(more, "row", "left")
         .select(
             "doc_id",
             "held_out",

@@ -64,6 +64,34 @@ def test_words_that_are_not_sent_to_every_task_count_alike(spark, monkeypatch):
     assert [u[2] for u in usual] == pytest.approx([f[2] for f in fewer])
 
 
+def test_contexts_are_kept_by_their_count_however_large_the_corpus(spark):
+    def code(six):
+        return int.from_bytes(six, "big")
+
+    # "abcde" foretells "f" 3,000 times in 40 billion symbols.
+    rows = [(code(b"qqqqq" + bytes([c])), 2_000_000_000) for c in b"fghijklmnopqrstuvwxy"]
+    rows += [(code(six), 3_000) for six in (b"abcdef", b"bcdef ", b"bcdefz")]
+    counts = spark.createDataFrame(rows, "code long, n long")
+    words = spark.createDataFrame([(bytearray(b"abcdef"), 3_000)], "word binary, c long")
+    kept, long, _ = suffix_tree.retained_contexts(counts, words, 5)
+    found = {(r["length"], r["context"], r["symbol"], r["n"]) for r in kept.collect()}
+    assert (1, ord("e"), ord("f"), 3_000) in found
+    assert [(bytes(r["begin"]), r["symbol"]) for r in long.collect()] == [(b"abcdef", 0x20)]
+
+
+def test_a_tree_that_is_not_sent_scores_alike(spark, monkeypatch):
+    more = ["wonderful" * 5 + " x", "cat " + "wonderwonder" * 9, "", "wonderful", None]
+    rows = texts() + [doc(400 + i, t) for i, t in enumerate(more)]
+    df = spark.createDataFrame(rows, DOCS)
+    usual = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score_corpus(df).collect())
+    monkeypatch.setattr(suffix_tree, "TREE_BYTES", 0)
+    for share in (0.002, 2.0):
+        monkeypatch.setattr(suffix_tree, "COMMON_KEY_SHARE", share)
+        other = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score_corpus(df).collect())
+        assert [u[0] for u in usual] == [o[0] for o in other]
+        assert [u[1] for u in usual] == pytest.approx([o[1] for o in other], rel=1e-9)
+
+
 def test_empty_table(spark, empty):
     assert suffix_tree.score_corpus(empty).collect() == []
 
