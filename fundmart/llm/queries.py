@@ -11,6 +11,7 @@ from fundmart.llm import (  # noqa: F401
     simhash,
     suffix_tree,
     toxicity,
+    url_filter,
 )
 from fundmart.llm.base import ORACLES, QUERIES
 
