@@ -12,6 +12,7 @@ from fundmart.llm import (  # noqa: F401
     suffix_tree,
     toxicity,
     url_filter,
+    whitening,
 )
 from fundmart.llm.base import ORACLES, QUERIES
 
