@@ -83,6 +83,26 @@ class Stage:
         self.close()
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/fundmart-{spark.sparkContext.applicationId}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an operator's intermediate table and read it back.
+
+    Results are lazy and read it later on, so it stays until the application calls
+    ``clear_written``; a job with a scope of its own has a ``Stage``.
+    """
+    path = f"{_scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Remove what ``written`` has written, once the application's results are saved."""
+    remove_folder(spark, _scratch(spark))
+
+
 def _filesystem(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -17,7 +17,7 @@ def test_row_numbers_with_a_hot_group(spark):
     keys = rng.sample(range(100_000), 3000)
     data = [("hot" if i % 3 else f"g{i % 7}", k) for i, k in enumerate(keys)]
     df = spark.createDataFrame(data, "g string, k bigint")
-    got = {(r["g"], r["k"]): r["n"] for r in numbering.number_rows(df, ["g"], "k", "n", 1000).collect()}
+    got = {(r["g"], r["k"]): r["n"] for r in numbering.number_rows(df, ["g"], "k", "n").collect()}
     expected = {}
     for group in {g for g, _ in data}:
         for n, k in enumerate(sorted(k for g, k in data if g == group)):
@@ -25,7 +25,34 @@ def test_row_numbers_with_a_hot_group(spark):
     assert got == expected
 
 
-def test_order_check_over_chunk_borders(spark):
+def test_row_numbers_of_sparse_keys_null_groups_and_text_order(spark):
+    """Keys far apart: a hot group still spreads over several ranges of bounded size."""
+    data = [("hot" if i % 3 else None, f"k{(i * 7919) % 5003:05}", 10**14 * i) for i in range(4000)]
+    df = spark.createDataFrame(data, "g string, `k.x` string, k bigint")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for order in (["k"], ["k.x"]):
+            ranges = numbering.spread(df, ["g"], order).groupBy(numbering.RANGE).count().collect()
+            assert len(ranges) == 4 and max(r["count"] for r in ranges) < 2000
+            at = df.columns.index(order[0])
+            expected = set()
+            for group in ("hot", None):
+                own = sorted(d[at] for d in data if d[0] == group)
+                expected |= {(group, key, n) for n, key in enumerate(own)}
+            numbered = numbering.number_rows(df, ["g"], order, "n")
+            assert numbered.columns == ["g", "k.x", "k", "n"]
+            assert {(r[0], r[at], r[3]) for r in numbered.collect()} == expected
+        whole = numbering.number_rows(df, [], "k", "n").select("k", "n").collect()
+        assert sorted(whole) == [(10**14 * i, i) for i in range(4000)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    nothing = df.filter("false")
+    assert numbering.number_rows(nothing, ["g"], "k", "n").count() == 0
+    nothing = nothing.withColumn("v", nothing["k"])
+    assert numbering.order_check(nothing, "g", "k", "v").count() == 0
+
+
+def test_order_check_over_range_borders(spark):
     rng = random.Random(5)
     data = [(f"g{rng.randrange(3)}", k, rng.randrange(4)) for k in range(500)]
     df = spark.createDataFrame(data, "g string, k bigint, v bigint")
@@ -37,7 +64,7 @@ def test_order_check_over_chunk_borders(spark):
             step = v - last[g]
             expected[g]["rises" if step > 0 else "falls" if step < 0 else "unchanged"] += 1
         last[g] = v
-    for r in numbering.order_check(df, "g", "k", "v", 37).collect():
+    for r in numbering.order_check(df, "g", "k", "v").collect():
         e = expected[r["g"]]
         assert (r["rows"], r["rises"], r["falls"], r["unchanged"]) == tuple(
             e[n] for n in ("rows", "rises", "falls", "unchanged")
