@@ -5,6 +5,7 @@ from fundmart.llm import (  # noqa: F401
     html_text,
     licenses,
     mixing,
+    prefix_trie,
     private_data,
     quality,
     sentencepiece,
