@@ -12,14 +12,14 @@ merges say the same as long as scores differ. Pieces of equal score, as runs of
 are ranked by falling length: the leftmost run then grows as far as it can before the next
 one begins, which is what the rule of the leftmost comes to. A text is split before its spaces when no piece has a space behind another character: no merge can
 cross such a place. With such a model the different words of a batch are coded once and kept
-for the next ones (most recent words first, in bounded memory), and a text with single
-spaces between its words is put together from them; its parity is that of its words, and one
-text in ``WHOLE_CHECK``, chosen by its bytes, is also coded and compared as a whole. All
-other texts are coded and compared whole.
+for the next ones (most recent words first, in bounded memory), and the ids of a text with
+single spaces between its words are those of its words, one after the other; its parity is that
+of its words, each of which both libraries have coded. All other texts are coded and compared
+whole. Every text is decoded from its own ids and then compared with the input.
 
 Defined results: a null or empty text has no ids and decodes to an empty text. A marker
 character in the text decodes to a space, as in SentencePiece itself; ``round_trip``
-compares with the text read that way. Extra columns are ignored; repeated rows give
+compares with the text read that way. A very long text is a batch of its own. Extra columns are ignored; repeated rows give
 repeated results; an empty table gives no rows.
 """
 
@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import os
 import struct
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,9 +42,8 @@ THREADS = 2
 # Texts are encoded in batches of so many characters: an encoding takes far more memory.
 BATCH_CHARS = 400_000
 # Words kept from batch to batch (twice as many at most), of at most so many characters each.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 60_000
 KNOWN_CHARS = 100
-WHOLE_CHECK = 64
 WORDS_TOGETHER = 100
 MARK = "▁"
 
@@ -153,7 +151,8 @@ def build_tokenizer(data: bytes):
             unk_token=model.pieces[unknown],
             fuse_unk=True,
             byte_fallback=model.byte_fallback,
-            cache_capacity=50_000,
+            # Words are kept here, not in the library.
+            cache_capacity=0 if splits_at_spaces(model) else 10_000,
         )
     elif model.model_type == UNIGRAM:
         core = models.Unigram(
@@ -218,37 +217,55 @@ class _Coder:
                 MARK, prepend_scheme="never", split=True
             )
             self.begins = np.array([p.startswith(MARK) for p in self.model.pieces])
-        self.bytes_of = [
-            bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
-            for p, k in zip(self.model.pieces, self.model.kinds, strict=True)
-        ]
-        # Ids as 32-bit integers; words that do not come back or differ are noted.
+            pieces = [
+                bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(MARK, " ").encode()
+                for p, k in zip(self.model.pieces, self.model.kinds, strict=True)
+            ]
+            # All pieces in a row, and where each of them begins.
+            self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
+            self.piece_sizes = np.array([len(p) for p in pieces], np.int32)
+            self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
+        # Ids as 32-bit integers; words on which the libraries differ are noted.
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.lost: set[str] = set()
         self.unequal: set[str] = set()
 
     def code(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str, bool, bool]]:
         """Ids, decoded text, round trip and parity of each text."""
         words = [self._words(t) for t in texts]
         self._learn({w for own in words if own for w in own})
-        by_whole = [
-            own is None or self._chosen(t) or (self.lost and not self.lost.isdisjoint(own))
-            for t, own in zip(texts, words, strict=True)
+        known, unequal = self.recent, self.unequal
+        put = [
+            np.frombuffer(b"".join([known[w] for w in own]), np.int32) for own in words if own
         ]
-        whole = self._whole([t for t, w in zip(texts, by_whole, strict=True) if w])
-        known = self.recent
-        for text, own, is_whole in zip(texts, words, by_whole, strict=True):
-            back, equal = text, True
-            if own is not None:
-                ids = np.frombuffer(b"".join([known[w] for w in own]), np.int32)
-                equal = not self.unequal or self.unequal.isdisjoint(own)
-            if is_whole:
-                other, back, same = next(whole)
-                equal = equal and same and (own is None or np.array_equal(ids, other))
-                ids = other
+        joined = zip(put, self._decoded(put), strict=True)
+        whole = self._whole([t for t, own in zip(texts, words, strict=True) if not own])
+        for text, own in zip(texts, words, strict=True):
+            if own:
+                ids, back = next(joined)
+                equal = not unequal or unequal.isdisjoint(own)
+            else:
+                ids, back, equal = next(whole)
             yield ids, back, back == self._plain(text), equal
 
+    def _decoded(self, coded: list[np.ndarray]) -> list[str]:
+        """The text of each list of ids."""
+        if not coded:
+            return []
+        ids = np.concatenate(coded)
+        sizes = self.piece_sizes[ids]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        # For each byte its place among all pieces: its piece's start and its distance from there.
+        places = np.repeat((self.piece_starts[ids] - (ends - sizes)).astype(np.int32), sizes)
+        places += np.arange(len(places), dtype=np.int32)
+        data = self.piece_bytes[places].tobytes()
+        bounds = ends[np.cumsum([len(c) for c in coded]) - 1].tolist()
+        # The space before the first word is the model's, not the text's.
+        return [
+            data[a:b].decode("utf-8", "replace").removeprefix(" ")
+            for a, b in zip([0, *bounds], bounds, strict=False)
+        ]
+
     def _words(self, text: str) -> list[str] | None:
         """The words of a text that may be put together from them; None: it may not."""
         if not self.by_word or not text or MARK in text:
@@ -256,20 +273,15 @@ class _Coder:
         words = text.split(" ")
         return None if "" in words else words
 
-    def _chosen(self, text: str) -> bool:
-        return zlib.crc32(text.encode("utf-8", "surrogatepass")) % WHOLE_CHECK == 0
-
     def _learn(self, different: set[str]) -> None:
         """Code the words that are not known; afterwards all of them are in ``recent``."""
         if len(self.recent) > KNOWN_WORDS:
-            odd = self.lost | self.unequal
             self.older = {
                 w: ids
                 for w, ids in self.recent.items()
-                if len(w) <= KNOWN_CHARS and w not in odd
+                if len(w) <= KNOWN_CHARS and w not in self.unequal
             }
             self.recent = {}
-            self.lost.clear()
             self.unequal.clear()
         new = []
         for word in different.difference(self.recent):
@@ -280,12 +292,9 @@ class _Coder:
                 self.recent[word] = ids
         expected = self.check.encode(new, num_threads=self.threads)
         for word, ids, other in zip(new, self._word_ids(new), expected, strict=True):
-            own = np.frombuffer(ids, np.int32).tolist()
             self.recent[word] = ids
-            if own != other:
+            if np.frombuffer(ids, np.int32).tolist() != other:
                 self.unequal.add(word)
-            if b"".join([self.bytes_of[i] for i in own]) != b" " + word.encode():
-                self.lost.add(word)
 
     def _word_ids(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each word, many words to a text: pieces with a marker begin a word."""
