@@ -88,7 +88,8 @@ def pattern_spans(text: str) -> list[Span]:
     spans: list[Span] = [(a, b, "email") for a, b in _emails(text)] if "@" in text else []
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            parts = [p.lstrip("0") for p in m.group().split(".")]
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
                 spans.append((*m.span(), "ip"))
         for m in _CARD.finditer(text):
             digits = m.end() - m.start()
