@@ -17,13 +17,15 @@ down to the uniform distribution over bytes. Probabilities of all texts therefor
 one.
 
 Sizes: the tree grows with the corpus; all symbols seen after a retained context are kept.
-As long as it takes at most ``TREE_BYTES``, it is sent to every task. Beyond that it stays a
-written table: tasks get the probabilities of the symbols in context that make up at least
-``COMMON_KEY_SHARE`` of all symbols, which bounds their number; each document's other ones
-are counted and joined with the probabilities that Spark puts together from the table. Words
-are treated alike: those that make up at least ``COMMON_SHARE`` of all tokens are sent, the
-rarer ones of each document, and only these, are joined with their counts. Counting, tests
-and joins are Spark jobs over all training texts; nothing else reaches the driver.
+It is a written table, one row per context. As many contexts as ``TREE_BYTES`` hold, the most
+frequent ones, are sent to every task; as a context is never more frequent than its suffixes,
+the suffixes of a context that is sent are sent too. Of the others tasks get a filter of fixed
+size. A symbol whose context may be among those (a few in a thousand, as they are the rarest)
+is left open: each document's open symbols are counted and joined with the probabilities that
+Spark puts together from the table. Words are treated alike: those that make up at least
+``COMMON_SHARE`` of all tokens are sent, the rarer ones of each document, and only these, are
+joined with their counts. Counting, tests and joins are Spark jobs over all training texts;
+nothing else reaches the driver. Very long texts are scored whole, as a block of their own.
 
 Defined results: a null or empty text is the end symbol alone; a null id is not held out;
 without any training text every distribution is uniform, all counts are 0 and ``base_score``
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,10 +52,14 @@ from fundmart.llm.base import held_out, named, query, table, text_of, written
 FOLDS = 7
 DEPTH = 5
 LEAST_COUNT = 4
-# A larger tree is not sent to tasks; a (context, symbol) pair takes up to 32 bytes.
-TREE_BYTES = 128 << 20
+# Tasks get the most frequent contexts up to this size; a (context, symbol) pair takes up to
+# 32 bytes.
+TREE_BYTES = 64 << 20
 PAIR_BYTES = 32
-COMMON_KEY_SHARE = 1e-6
+# Contexts are sent by classes of their count, so many for each doubling.
+CLASSES = 4
+# Bits of the filter of those that are not sent.
+FILTER_BITS = 26
 # Marks the code of a symbol whose context reaches back to the beginning of its word.
 BEGUN = 1 << 62
 # The shortest contexts belong to many symbols and are repeated so many times for the join.
@@ -158,12 +165,24 @@ def _suffix(column: str, length):
     )
 
 
+def _distributions(pairs: DataFrame, *keys: str) -> DataFrame:
+    """One row per context, from its symbols and their counts: total, kinds, dist.
+
+    A context has 256 symbols at most.
+    """
+    return pairs.groupBy(*keys).agg(
+        F.sum("n").alias("total"),
+        F.count(F.lit(1)).alias("kinds"),
+        F.collect_list(F.struct("symbol", "n")).alias("dist"),
+    )
+
+
 def retained_contexts(
     counts: DataFrame, words: DataFrame, depth: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The tree's distributions: (length, context, symbol, n, total, kinds) for lengths 0 (the
-    root) to ``depth``, and (begin, symbol, n, total, kinds, context: the hash of begin) for the
-    longer contexts; and those, with their parent but no hash, for all frequent ones.
+) -> tuple[DataFrame, DataFrame]:
+    """The tree's distributions: (length, context, total, kinds, dist) for lengths 0 (the root)
+    to ``depth``, and (begin, context: the hash of begin, total, kinds, dist) for the longer
+    contexts; ``dist`` holds each symbol and its count.
 
     ``counts``: code, n; ``words``: word, c.
     """
@@ -184,27 +203,23 @@ def retained_contexts(
         .groupBy("at.length", "at.context", "symbol")
         .agg(F.sum("n").alias("n"))
     )
-    pairs = written(pairs, "tree-pairs")
-    totals = pairs.groupBy("length", "context").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
+    # The root stays however small the corpus.
+    frequent = (F.col("total") >= LEAST_COUNT) | (F.col("length") == 0)
+    contexts = written(
+        _distributions(pairs, "length", "context").filter(frequent), "tree-contexts"
     )
-    frequent = written(totals.filter(F.col("total") >= LEAST_COUNT), "tree-contexts")
-    inside = written(pairs.join(frequent, ["length", "context"]), "tree-frequent")
 
     # A frequent context's suffixes are frequent too.
-    child = inside.filter("length > 0").withColumn(
-        "parent", _suffix("context", F.col("length") - 1)
-    )
-    tested = _diverging(
-        child, inside.withColumn("length", F.col("length") + 1), ["length", "parent"]
-    )
+    child = contexts.filter("length > 0").withColumn("above", F.col("length") - 1)
+    child = child.withColumn("parent", _suffix("context", F.col("above")))
+    tested = _diverging(child, contexts, ["above", "parent"])
     chain = F.transform(
         F.sequence(F.lit(0), F.col("length")),
         lambda k: F.struct(k.alias("length"), _suffix("context", k).alias("context")),
     )
-    starts, starts_kept = _word_contexts(words, inside, depth)
+    long = _word_contexts(words, contexts, depth)
     # The suffixes of contexts from the beginning of a word stay too.
-    below = starts_kept.select(F.lit(depth).alias("length"), F.col("parent").alias("context"))
+    below = long.select(F.lit(depth).alias("length"), F.col("parent").alias("context")).distinct()
     closed = (
         tested.select("length", "context")
         .unionByName(below)
@@ -212,40 +227,39 @@ def retained_contexts(
         .select("at.length", "at.context")
         .distinct()
     )
-    # The root stays however small the corpus.
-    root = pairs.filter("length = 0").join(totals.filter("length = 0"), ["length", "context"])
-    kept = inside.filter("length > 0").join(closed, ["length", "context"], "left_semi")
-    columns = ["symbol", "n", "total", "kinds"]
-    kept = root.unionByName(kept).select("length", "context", *columns)
-    long = starts.join(starts_kept, "begin", "left_semi").select("begin", *columns)
-    long = _begin_hashes(long)
-    return written(kept, "tree-kept"), written(long, "tree-kept-words"), starts
-
-
-def _diverging(child: DataFrame, above: DataFrame, on: list[str]) -> DataFrame:
-    """The contexts of ``child`` that pass the test against their ``parent`` in ``above``."""
-    names = [c for c in child.columns if c not in ("symbol", "n")]
-    parents = above.select(
-        *[c for c in on if c != "parent"],
-        F.col("context").alias("parent"),
-        "symbol",
-        (F.col("n") / F.col("total")).alias("q"),
+    root = contexts.filter("length = 0")
+    kept = contexts.filter("length > 0").join(closed, ["length", "context"], "left_semi")
+    kept = written(root.unionByName(kept.select(root.columns)), "tree-kept")
+    return kept, long
+
+
+def _diverging(child: DataFrame, contexts: DataFrame, on: list[str]) -> DataFrame:
+    """The contexts of ``child`` that pass the test against their parent in ``contexts``.
+
+    ``on``: the parent's length and code in ``child``.
+    """
+    above = contexts.select(
+        F.col("length").alias(on[0]),
+        F.col("context").alias(on[1]),
+        F.col("total").alias("total_above"),
+        F.map_from_entries("dist").alias("n_above"),
     )
-    p = F.col("n") / F.col("total")
-    evidence = F.col("divergence") * F.col("total")
-    return (
-        child.join(parents, [*on, "symbol"])
-        .groupBy(*names)
-        .agg(F.sum(p * F.log(p / F.col("q"))).alias("divergence"))
-        .filter(evidence >= F.col("kinds") / 2 * F.log("total"))
+    p = lambda x: x["n"] / F.col("total")
+    q = lambda x: F.col("n_above")[x["symbol"]] / F.col("total_above")
+    # A text's last word ends with the text, which its own contexts count as a space: a space
+    # that the parent never saw adds nothing.
+    divergence = F.aggregate(
+        "dist",
+        F.lit(0.0),
+        lambda sum_, x: sum_ + F.coalesce(p(x) * F.log(p(x) / q(x)), F.lit(0.0)),
     )
+    passed = divergence * F.col("total") >= F.col("kinds") / 2 * F.log("total")
+    return child.join(above, on).filter(passed).select(child.columns)
 
 
-def _word_contexts(
-    words: DataFrame, inside: DataFrame, depth: int
-) -> tuple[DataFrame, DataFrame]:
-    """Contexts longer than ``depth`` that begin with their word: (begin, symbol, n, total,
-    kinds, parent), and the ones to retain. ``words``: word, c.
+def _word_contexts(words: DataFrame, contexts: DataFrame, depth: int) -> DataFrame:
+    """The contexts longer than ``depth`` that begin with their word and are retained: (begin,
+    context: its hash, parent, total, kinds, dist). ``words``: word, c.
     """
     length = F.octet_length("word")
     rows = words.filter(length >= depth).select(
@@ -258,21 +272,15 @@ def _word_contexts(
         "c",
     )
     pairs = pairs.groupBy("begin", "symbol").agg(F.sum("c").alias("n"))
-    pairs = written(pairs, "tree-word-pairs")
-    totals = pairs.groupBy("begin").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
-    )
-    frequent = totals.filter(F.col("total") >= LEAST_COUNT)
     last = F.substring("begin", F.octet_length("begin") - depth + 1, F.lit(depth))
-    starts = written(
-        pairs.join(frequent, "begin").withColumn(
-            "parent", F.conv(F.hex(last), 16, 10).cast("long")
-        ),
-        "tree-word-contexts",
+    frequent = (
+        _distributions(pairs, "begin")
+        .filter(F.col("total") >= LEAST_COUNT)
+        .withColumn("parent", F.conv(F.hex(last), 16, 10).cast("long"))
+        .withColumn("above", F.lit(depth))
     )
-    above = inside.filter(F.col("length") == depth)
-    kept = _diverging(starts, above, ["parent"]).select("begin", "parent")
-    return starts, written(kept, "tree-word-kept")
+    kept = _diverging(frequent, contexts.filter(F.col("length") == depth), ["above", "parent"])
+    return written(_begin_hashes(kept.drop("above")), "tree-kept-words")
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,91 +304,141 @@ def _pair_code(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         return contexts * np.uint64(PAIR) + symbols.astype(np.uint64)
 
 
-def _level(context: np.ndarray, pair: np.ndarray, n, total, kinds) -> tuple:
+def _level(rows: pa.Table, hashed: bool) -> tuple:
     """Sorted contexts, what each leaves to its suffix, and its sorted pairs' own part."""
-    weight = total + kinds
-    order = np.argsort(context, kind="stable")
-    contexts, first = np.unique(context[order], return_index=True)
-    own = n / weight
-    left = 1.0 - np.add.reduceat(own[order], first) if len(first) else np.zeros(0)
-    by_pair = np.argsort(pair)
-    return contexts, left, pair[by_pair], own[by_pair]
+    rows = rows.combine_chunks()
+    lists = rows.column("dist").combine_chunks()
+    pairs = lists.flatten()
+    contexts = rows.column("context").to_numpy().view(np.uint64)
+    total = rows.column("total").to_numpy().astype(np.float64)
+    kinds = rows.column("kinds").to_numpy().astype(np.int64)
+    symbol = pairs.field("symbol").to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(len(contexts)), kinds)
+    own = pairs.field("n").to_numpy(zero_copy_only=False) / (total + kinds)[of]
+    symbol = symbol.astype(np.uint64)
+    codes = _pair_code(contexts[of], symbol) if hashed else (contexts[of] << np.uint64(8)) | symbol
+    order, by_pair = np.argsort(contexts), np.argsort(codes)
+    return contexts[order], (kinds / (total + kinds))[order], codes[by_pair], own[by_pair]
 
 
 def _find(sorted_codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each code, and whether it is there."""
+    if not len(sorted_codes):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     place = np.searchsorted(sorted_codes, wanted)
     place[place == len(sorted_codes)] = 0
     return place, sorted_codes[place] == wanted
 
 
+def _filter_bits(length: int | np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """The bit of each context in the filter."""
+    with np.errstate(over="ignore"):
+        mixed = (contexts ^ (np.uint64(length) * np.uint64(PAIR))) * np.uint64(STEP)
+    return mixed >> np.uint64(64 - FILTER_BITS)
+
+
 class Tree:
-    """Retained contexts per length, sorted, with their distributions as flat arrays."""
+    """Retained contexts per length, sorted, with their distributions as flat arrays.
+
+    ``others`` is a filter of the contexts that are not here, or None if all of them are.
+    """
 
-    def __init__(self, depth: int, root: np.ndarray, levels: list[tuple]) -> None:
+    def __init__(
+        self, depth: int, root: np.ndarray, levels: list[tuple], others: np.ndarray | None = None
+    ) -> None:
         # One level per length up to the depth, and one for all contexts that are longer.
-        self.depth, self.root, self.levels = depth, root, levels
+        self.depth, self.root, self.levels, self.others = depth, root, levels, others
 
     @classmethod
-    def of(cls, rows: pa.Table, starts: pa.Table, depth: int = DEPTH) -> Tree:
+    def of(
+        cls, rows: pa.Table, starts: pa.Table, depth: int, others: np.ndarray | None = None
+    ) -> Tree:
         """From the rows of ``retained_contexts``."""
-
-        def numbers(of: pa.Table, *names: str) -> list[np.ndarray]:
-            return [of.column(c).to_numpy().astype(np.float64) for c in names]
-
-        length = rows.column("length").to_numpy()
-        context = rows.column("context").to_numpy().astype(np.uint64)
-        symbol = rows.column("symbol").to_numpy().astype(np.uint64)
-        n, total, kinds = numbers(rows, "n", "total", "kinds")
         root = np.full(256, 1 / 256)
-        here = length == 0
-        if here.any():
-            weight = total[here][0] + kinds[here][0]
-            root *= kinds[here][0] / weight
-            root[symbol[here].astype(np.int64)] += n[here] / weight
-        levels = []
-        for k in range(1, depth + 1):
-            here = length == k
-            pair = (context[here] << np.uint64(8)) | symbol[here]
-            levels.append(_level(context[here], pair, n[here], total[here], kinds[here]))
-        hashes = starts.column("context").to_numpy().view(np.uint64)
-        pairs = _pair_code(hashes, starts.column("symbol").to_numpy())
-        levels.append(_level(hashes, pairs, *numbers(starts, "n", "total", "kinds")))
-        return cls(depth, root, levels)
-
-    def probabilities(self, codes: np.ndarray) -> np.ndarray:
-        """Probability of the symbol in each code, from its longest suffix within the depth."""
+        for row in rows.filter(pc.equal(rows.column("length"), 0)).to_pylist():
+            weight = row["total"] + row["kinds"]
+            root *= row["kinds"] / weight
+            for pair in row["dist"]:
+                root[pair["symbol"]] += pair["n"] / weight
+        levels = [
+            _level(rows.filter(pc.equal(rows.column("length"), k)), False)
+            for k in range(1, depth + 1)
+        ]
+        return cls(depth, root, [*levels, _level(starts, True)], others)
+
+    def _elsewhere(self, length: int, contexts: np.ndarray) -> np.ndarray:
+        """Whether contexts that are not here may be among the others."""
+        if self.others is None:
+            return np.zeros(len(contexts), bool)
+        bits = _filter_bits(length, contexts)
+        cells = self.others[(bits >> np.uint64(6)).astype(np.int64)]
+        return (cells >> (bits & np.uint64(63))) & np.uint64(1) == 1
+
+    def probabilities(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of the symbol in each code, from its longest suffix within the depth, and
+        whether that suffix may not be here."""
         p = self.root[(codes & np.uint64(255)).astype(np.int64)]
+        left_open = np.zeros(len(codes), bool)
         rows = np.arange(len(codes))
         for k, (contexts, left, pairs, own) in enumerate(self.levels[: self.depth], 1):
-            if not len(contexts):
-                break
             wanted = codes[rows] & np.uint64((1 << 8 * (k + 1)) - 1)
             place, known = _find(contexts, wanted >> np.uint64(8))
             # Retained contexts have retained suffixes: the others end here.
+            left_open[rows[~known]] = self._elsewhere(k, wanted[~known] >> np.uint64(8))
             rows, wanted, place = rows[known], wanted[known], place[known]
+            if not len(rows):
+                break
             at, there = _find(pairs, wanted)
             p[rows] = p[rows] * left[place] + np.where(there, own[at], 0.0)
-        return p
+        return p, left_open
 
-    def longer(self, p: np.ndarray, data: np.ndarray) -> np.ndarray:
-        """The probabilities with the contexts that reach back to the word's beginning."""
+    def longer(self, p: np.ndarray, left_open: np.ndarray, data: np.ndarray) -> None:
+        """Put the contexts that reach back to the word's beginning on the probabilities."""
         contexts, left, pairs, own = self.levels[self.depth]
-        if len(contexts):
-            hashes, before = word_hashes(data)
-            rows = np.flatnonzero((before >= self.depth) & (before <= LONGEST))
-            place, known = _find(contexts, hashes[rows])
-            rows, place = rows[known], place[known]
+        hashes, before = word_hashes(data)
+        rows = np.flatnonzero((before >= self.depth) & (before <= LONGEST))
+        place, known = _find(contexts, hashes[rows])
+        left_open[rows[~known]] |= self._elsewhere(self.depth + 1, hashes[rows[~known]])
+        rows, place = rows[known], place[known]
+        if len(rows):
             at, there = _find(pairs, _pair_code(hashes[rows], data[rows]))
             p[rows] = p[rows] * left[place] + np.where(there, own[at], 0.0)
-        return p
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text."""
+    def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+        """log10 probability of each text without its open symbols, and those as keys (code,
+        begin) with their number ``k``."""
         codes, ends = grams(texts, self.depth)
+        data = np.frombuffer(b"".join(texts), np.uint8)
         different, inverse = np.unique(codes, return_inverse=True)
-        p = self.probabilities(different)[inverse]
-        logs = np.log10(self.longer(p, np.frombuffer(b"".join(texts), np.uint8)))
-        return np.add.reduceat(logs, np.concatenate(([0], ends[:-1])))
+        p, left_open = (x[inverse] for x in self.probabilities(different))
+        self.longer(p, left_open, data)
+        starts = np.concatenate(([0], ends[:-1]))
+        logs = np.where(left_open, 0.0, np.log10(p))
+        return np.add.reduceat(logs, starts), self._keys(codes, data, left_open, starts)
+
+    def _keys(
+        self, codes: np.ndarray, data: np.ndarray, left_open: np.ndarray, starts: np.ndarray
+    ) -> pa.Array:
+        """The open symbols of each text. A key's code is marked if ``begin``, the hash of what
+        its word has before the symbol, belongs to it."""
+        at = np.flatnonzero(left_open)
+        text = np.searchsorted(starts, at, side="right") - 1
+        hashes, before = (x[at] for x in word_hashes(data)) if len(at) else (at, at)
+        begun = (before >= self.depth) & (before <= LONGEST)
+        code = codes[at].astype(np.int64) | np.where(begun, BEGUN, 0)
+        begin = np.where(begun, hashes.astype(np.uint64), np.uint64(0)).view(np.int64)
+        order = np.lexsort((begin, code, text))
+        text, code, begin = text[order], code[order], begin[order]
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (code[1:] != code[:-1]) | (begin[1:] != begin[:-1])
+        first = np.flatnonzero(new)
+        k = np.diff(np.append(first, len(text)))
+        keys = pa.StructArray.from_arrays(
+            [pa.array(code[first]), pa.array(begin[first]), pa.array(k.astype(np.int64))],
+            ["code", "begin", "k"],
+        )
+        offsets = np.searchsorted(text[first], np.arange(len(starts) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), keys)
 
 
 def _begin_hashes(rows: DataFrame) -> DataFrame:
@@ -404,19 +462,21 @@ def key_logs(keys: DataFrame, tree: DataFrame, root: np.ndarray, depth: int) ->
     """log10 probability (``log``) of each key (code, begin), from a tree that is a table.
 
     ``begin`` is the hash of the word's bytes before the symbol if the code is marked as
-    ``BEGUN``; ``tree``: length, context, symbol, n, total, kinds.
+    ``BEGUN``; ``tree``: length, context, total, kinds, dist.
     """
     weight = F.col("total") + F.col("kinds")
     short = F.col("length") <= 2
     salts = F.when(short, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    contexts = (
-        tree.filter("length > 0")
-        .groupBy("length", "context")
-        .agg(
-            F.max(F.col("kinds") / weight).alias("rest"),
-            F.collect_list(F.struct("symbol", (F.col("n") / weight).alias("own"))).alias("own"),
-        )
-        .withColumn("salt", F.explode(salts))
+    shares = F.transform(
+        "dist",
+        lambda x: F.named_struct(F.lit("symbol"), x["symbol"], F.lit("own"), x["n"] / weight),
+    )
+    contexts = tree.filter("length > 0").select(
+        "length",
+        "context",
+        (F.col("kinds") / weight).alias("rest"),
+        shares.alias("own"),
+        F.explode(salts).alias("salt"),
     )
     symbol = F.col("code").bitwiseAND(F.lit(255))
     place = F.array_position(F.col("own.symbol"), symbol).cast("int")
@@ -469,49 +529,6 @@ def key_logs(keys: DataFrame, tree: DataFrame, root: np.ndarray, depth: int) ->
     return begun.unionByName(rest.select("code", "begin", F.log10("p").alias("log")))
 
 
-class CommonKeys:
-    """The log10 probabilities of common symbols in context; others are left to a join."""
-
-    def __init__(self, depth: int, code: np.ndarray, begin: np.ndarray, log: np.ndarray) -> None:
-        mixed = _pair_code(begin.view(np.uint64), code)
-        order = np.argsort(mixed)
-        self.depth, self.mixed = depth, mixed[order]
-        self.code, self.begin, self.log = code[order], begin[order], log[order]
-
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
-        """Each text's sum over its common keys, and its other keys with their counts ``k``."""
-        codes, ends = grams(texts, self.depth)
-        hashes, before = word_hashes(np.frombuffer(b"".join(texts), np.uint8))
-        begun = (before >= self.depth) & (before <= LONGEST)
-        code = codes.astype(np.int64) | np.where(begun, BEGUN, 0)
-        begin = np.where(begun, hashes, np.uint64(0)).view(np.int64)
-        log, known = np.zeros(len(code)), np.zeros(len(code), bool)
-        if len(self.mixed):
-            at, known = _find(self.mixed, _pair_code(begin.view(np.uint64), code))
-            known &= (self.code[at] == code) & (self.begin[at] == begin)
-            log[known] = self.log[at[known]]
-        starts = np.concatenate(([0], ends[:-1]))
-        text = np.repeat(np.arange(len(texts)), ends - starts)[~known]
-        code, begin = code[~known], begin[~known]
-        order = np.lexsort((begin, code, text))
-        text, code, begin = text[order], code[order], begin[order]
-        new = np.ones(len(text), bool)
-        new[1:] = (text[1:] != text[:-1]) | (code[1:] != code[:-1]) | (begin[1:] != begin[:-1])
-        first = np.flatnonzero(new)
-        k = np.diff(np.append(first, len(text)))
-        keys = pa.StructArray.from_arrays(
-            [pa.array(code[first]), pa.array(begin[first]), pa.array(k.astype(np.int64))],
-            ["code", "begin", "k"],
-        )
-        offsets = np.searchsorted(text[first], np.arange(len(texts) + 1)).astype(np.int32)
-        return np.add.reduceat(log, starts), pa.ListArray.from_arrays(pa.array(offsets), keys)
-
-
-def _release(spark: SparkSession) -> None:
-    """Spark deletes shuffle files of finished steps only once the driver's garbage is collected."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def _counted(
     docs: DataFrame, id_col: str, text_col: str, folds: int, depth: int
 ) -> tuple[DataFrame, DataFrame, int]:
@@ -531,23 +548,52 @@ def learn(
 ) -> tuple[Tree, DataFrame, int]:
     """The tree, the counts of all training words, and the number of training texts."""
     counts, words, texts = _counted(docs, id_col, text_col, folds, depth)
-    rows, starts, _ = retained_contexts(counts, words, depth)
-    return Tree.of(rows.toArrow(), starts.toArrow(), depth), words, texts
-
-
-def _common_keys(
-    counts: DataFrame, starts: DataFrame, tree: DataFrame, root: np.ndarray, depth: int
-) -> CommonKeys:
-    """Of ``counts`` and of all frequent contexts from the beginning of a word (``starts``)."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    common = F.col("n") >= COMMON_KEY_SHARE * total
-    codes = counts.filter(common).select("code", F.lit(0).cast("long").alias("begin"))
-    code = F.col("parent") * 256 + F.col("symbol") + BEGUN
-    begun = _begin_hashes(starts.filter(common)).select(
-        code.alias("code"), F.col("context").alias("begin")
-    )
-    logs = key_logs(codes.unionByName(begun), tree, root, depth).toArrow()
-    return CommonKeys(depth, *[logs.column(c).to_numpy() for c in ("code", "begin", "log")])
+    kept, long = retained_contexts(counts, words, depth)
+    return Tree.of(kept.toArrow(), long.toArrow(), depth), words, texts
+
+
+def _filter_of(contexts: DataFrame) -> np.ndarray:
+    """The filter of these contexts (length, context), put together by Spark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column(1).to_numpy().view(np.uint64)
+            bits = np.unique(_filter_bits(batch.column(0).to_numpy().astype(np.uint64), codes))
+            cells, first = np.unique(bits >> np.uint64(6), return_index=True)
+            masks = np.uint64(1) << (bits & np.uint64(63))
+            masks = np.bitwise_or.reduceat(masks, first) if len(first) else masks
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cells.astype(np.int32)), pa.array(masks.view(np.int64))],
+                ["cell", "mask"],
+            )
+
+    cells = contexts.select("length", "context").mapInArrow(run, "cell int, mask long")
+    found = cells.groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits[found.column("cell").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return bits
+
+
+def _sent(stored: DataFrame, depth: int) -> Tree:
+    """The most frequent contexts of a tree (length, context, total, kinds, dist), and a filter
+    of the others. ``stored`` has the longer ones under length ``depth`` + 1."""
+    of_count = F.floor(F.log2(F.col("total") + 1) * CLASSES).cast("int")
+    sizes = stored.groupBy(of_count.alias("class")).agg(F.sum("kinds").alias("pairs")).collect()
+    least, used = None, 0
+    for row in sorted(sizes, key=lambda r: -r["class"]):
+        used += row["pairs"] * PAIR_BYTES
+        if used > TREE_BYTES:
+            break
+        least = row["class"]
+    whole = used <= TREE_BYTES
+    # The root is always sent.
+    here = F.col("length") == 0
+    if least is not None:
+        here = here | (of_count >= least)
+    rows = stored.filter(here).toArrow()
+    longer = pc.equal(rows.column("length"), depth + 1)
+    others = None if whole else _filter_of(stored.filter(~here))
+    return Tree.of(rows.filter(pc.invert(longer)), rows.filter(longer), depth, others)
 
 
 def score_corpus(
@@ -560,19 +606,13 @@ def score_corpus(
     """One row per document: base score by word counts and score by the tree."""
     spark = docs.sparkSession
     counts, words, texts = _counted(docs, id_col, text_col, folds, depth)
-    _release(spark)
-    kept, long, starts = retained_contexts(counts, words, depth)
-    _release(spark)
-    whole = (kept.count() + long.count()) * PAIR_BYTES <= TREE_BYTES
-    if whole:
-        tree = Tree.of(kept.toArrow(), long.toArrow(), depth)
-        model = (tree.depth, tree.root, tree.levels)
-    else:
-        root = Tree.of(kept.filter("length = 0").toArrow(), long.limit(0).toArrow(), depth).root
-        rows = long.withColumn("length", F.lit(depth + 1))
-        stored = kept.unionByName(rows.select(kept.columns))
-        keys = _common_keys(counts, starts, stored, root, depth)
-        model = (depth, keys.code, keys.begin, keys.log)
+    kept, long = retained_contexts(counts, words, depth)
+    stored = kept.unionByName(
+        long.withColumn("length", F.lit(depth + 1)).select(kept.columns)
+    )
+    tree = _sent(stored, depth)
+    model = (tree.depth, tree.root, tree.levels, tree.others)
+    whole = tree.others is None
     sums = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     # The end is a token too.
     n_tokens, n_kinds = (sums[0] or 0) + texts, sums[1] + (texts > 0)
@@ -580,14 +620,14 @@ def score_corpus(
         (F.col("c") >= COMMON_SHARE * n_tokens) & (F.octet_length("word") <= COMMON_BYTES)
     )
     known = {bytes(r["word"]): r["c"] for r in common.toLocalIterator()}
-    # The first is checked or has a proven bound like the other, see above.
+    # Both have a proven bound, see above.
     sent = spark.sparkContext.broadcast((model, known))
     weight = math.log10(n_tokens + n_kinds + 1)
     end_part = math.log10(texts + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = sent.value
-        scorer = Tree(*model) if whole else CommonKeys(*model)
+        scorer = Tree(*model)
         logs = {w: math.log10(c + 1) for w, c in known.items()}
         row = TaskContext.get().partitionId() << 40
         # A document's place in its task names it until its parts are added up.
@@ -597,11 +637,7 @@ def score_corpus(
             for i in range(batch.num_rows)
         )
         for block in _blocks(entries, BLOCK_BYTES if whole else KEY_BLOCK_BYTES):
-            own_texts = [b[-1] for b in block]
-            if whole:
-                scores, keys = scorer.score(own_texts), pa.array([[]] * len(block), types[-1])
-            else:
-                scores, keys = scorer.score(own_texts)
+            scores, keys = scorer.score([b[-1] for b in block])
             out = []
             for (doc_id, is_held, own, _), score in zip(block, scores.tolist(), strict=True):
                 counted = Counter(own)
@@ -644,7 +680,6 @@ def score_corpus(
     )
     # Written once: the row numbers that follow are then fixed.
     scored = written(scored, "tree-scored")
-    _release(spark)
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.k")
     more = (
         rare.join(words, "word")
@@ -657,7 +692,7 @@ def score_corpus(
     scores = scored.drop("rare", "keys")
     if not whole:
         rest = scored.select("row", F.explode("keys").alias("r")).select("row", "r.*")
-        logs = key_logs(rest.select("code", "begin").distinct(), stored, root, depth)
+        logs = key_logs(rest.select("code", "begin").distinct(), stored, tree.root, depth)
         rest = (
             rest.join(logs, ["code", "begin"])
             .groupBy("row")

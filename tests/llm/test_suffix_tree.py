@@ -73,10 +73,11 @@ def test_contexts_are_kept_by_their_count_however_large_the_corpus(spark):
     rows += [(code(six), 3_000) for six in (b"abcdef", b"bcdef ", b"bcdefz")]
     counts = spark.createDataFrame(rows, "code long, n long")
     words = spark.createDataFrame([(bytearray(b"abcdef"), 3_000)], "word binary, c long")
-    kept, long, _ = suffix_tree.retained_contexts(counts, words, 5)
-    found = {(r["length"], r["context"], r["symbol"], r["n"]) for r in kept.collect()}
+    kept, long = suffix_tree.retained_contexts(counts, words, 5)
+    found = {(r["length"], r["context"], *d) for r in kept.collect() for d in r["dist"]}
     assert (1, ord("e"), ord("f"), 3_000) in found
-    assert [(bytes(r["begin"]), r["symbol"]) for r in long.collect()] == [(b"abcdef", 0x20)]
+    found = [(bytes(r["begin"]), [d["symbol"] for d in r["dist"]]) for r in long.collect()]
+    assert found == [(b"abcdef", [0x20])]
 
 
 def test_a_tree_that_is_not_sent_scores_alike(spark, monkeypatch):
@@ -84,9 +85,8 @@ def test_a_tree_that_is_not_sent_scores_alike(spark, monkeypatch):
     rows = texts() + [doc(400 + i, t) for i, t in enumerate(more)]
     df = spark.createDataFrame(rows, DOCS)
     usual = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score_corpus(df).collect())
-    monkeypatch.setattr(suffix_tree, "TREE_BYTES", 0)
-    for share in (0.002, 2.0):
-        monkeypatch.setattr(suffix_tree, "COMMON_KEY_SHARE", share)
+    for size in (0, 3_000, 40_000):
+        monkeypatch.setattr(suffix_tree, "TREE_BYTES", size)
         other = sorted((r["doc_id"], r["score"]) for r in suffix_tree.score_corpus(df).collect())
         assert [u[0] for u in usual] == [o[0] for o in other]
         assert [u[1] for u in usual] == pytest.approx([o[1] for o in other], rel=1e-9)
@@ -100,20 +100,91 @@ def test_distributions_add_up_and_follow_their_definition(spark):
     rows = texts()
     tree, _, _ = suffix_tree.learn(spark.createDataFrame(rows, DOCS))
     assert sum(len(level[0]) for level in tree.levels) > 20
+
+    def last(data):
+        p, left_open = tree.probabilities(suffix_tree.grams([data])[0])
+        tree.longer(p, left_open, np.frombuffer(data, np.uint8))
+        assert not left_open.any()
+        return p[-1]
+
     for before in (b"", b"the ", b"xq", b"wonder", b"on wonderf", b"the cat"):
-        total = 0.0
-        for symbol in range(256):
-            data = before + bytes([symbol])
-            p = tree.probabilities(suffix_tree.grams([data])[0])
-            total += tree.longer(p, np.frombuffer(data, np.uint8))[-1]
-        assert total == pytest.approx(1.0)
-    score = tree.score([b"the cat\n"])[0]
-    parts = []
-    for i in range(8):
-        data = b"the cat\n"[: i + 1]
-        p = tree.probabilities(suffix_tree.grams([data])[0])
-        parts.append(math.log10(tree.longer(p, np.frombuffer(data, np.uint8))[-1]))
-    assert score == pytest.approx(sum(parts))
+        assert sum(last(before + bytes([s])) for s in range(256)) == pytest.approx(1.0)
+    score = tree.score([b"the cat\n"])[0][0]
+    assert score == pytest.approx(sum(math.log10(last(b"the cat\n"[: i + 1])) for i in range(8)))
+
+
+class BruteTree:
+    """The tree by its definition, from all training texts at once."""
+
+    def __init__(self, rows, depth=5, longest=24, least=4):
+        self.depth, self.longest = depth, longest
+        after = {}
+        for text in self.training(rows):
+            data = b"\n" * depth + text
+            for i in range(depth, len(data)):
+                for k in range(depth + 1):
+                    after.setdefault((k, data[i - k : i]), Counter())[data[i]] += 1
+            for word in text.split():
+                for k in range(depth, min(len(word), longest) + 1):
+                    symbol = word[k] if k < len(word) else 0x20
+                    after.setdefault(("word", word[:k]), Counter())[symbol] += 1
+        total = {key: sum(own.values()) for key, own in after.items()}
+
+        def diverges(key, parent):
+            own, above = after[key], after[parent]
+            divergence = sum(
+                n / total[key] * math.log(n / total[key] / (above[s] / total[parent]))
+                for s, n in own.items()
+                if above[s]
+            )
+            return divergence * total[key] >= len(own) / 2 * math.log(total[key])
+
+        kept = {(0, b"")}
+        for key in after:
+            if total[key] < least or key[0] == 0:
+                continue
+            parent = key[1][-depth:] if key[0] == "word" else key[1][1:]
+            if diverges(key, (len(parent), parent)):
+                kept.add(key)
+                kept |= {(k, parent[len(parent) - k :]) for k in range(len(parent) + 1)}
+        self.after = {key: after[key] for key in kept if key in after}
+
+    @staticmethod
+    def training(rows):
+        for r in rows:
+            if r[0] is None or zlib.crc32(str(r[0]).encode()) % 7 != 2:
+                yield suffix_tree.normalised(r[1] or "")[1]
+
+    def score(self, text):
+        data, sum_ = suffix_tree.normalised(text or "")[1], 0.0
+        padded = b"\n" * self.depth + data
+        start = 0
+        for i, symbol in enumerate(data):
+            chain = [(k, padded[i + self.depth - k : i + self.depth]) for k in range(self.depth + 1)]
+            if self.depth <= i - start <= self.longest:
+                chain.append(("word", data[start:i]))
+            p = 1 / 256
+            for key in chain:
+                own = self.after.get(key)
+                if own:
+                    p = (own[symbol] + len(own) * p) / (sum(own.values()) + len(own))
+            sum_ += math.log10(p)
+            if symbol == 0x20:
+                start = i + 1
+        return sum_
+
+
+@pytest.mark.parametrize("size", [64 << 20, 20_000])
+def test_scores_equal_a_tree_built_by_definition(spark, monkeypatch, size):
+    monkeypatch.setattr(suffix_tree, "TREE_BYTES", size)
+    more = ["Wonderful" * 5 + " x", "cat " + "wonderwonder" * 9, "", "été wonderful été", None]
+    rows = texts() + [doc(400 + i, t) for i, t in enumerate(more)]
+    tree = BruteTree(rows)
+    found = suffix_tree.score_corpus(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(found) == len(rows)
+    by_id = {r[0]: tree.score(r[1]) for r in rows}
+    for r in found:
+        assert r["score"] == pytest.approx(by_id[r["doc_id"]], rel=1e-9)
 
 
 def test_codes_and_hashes():
