@@ -52,10 +52,12 @@ from fundmart.llm.base import held_out, named, query, table, text_of, written
 FOLDS = 7
 DEPTH = 5
 LEAST_COUNT = 4
-# Tasks get the most frequent contexts up to this size; a (context, symbol) pair takes up to
-# 32 bytes.
-TREE_BYTES = 64 << 20
-PAIR_BYTES = 32
+# Tasks get the most frequent contexts up to this size. A context and each of its pairs with a
+# symbol are two numbers.
+TREE_BYTES = 96 << 20
+PAIR_BYTES = CONTEXT_BYTES = 16
+# Symbols in context whose probabilities a task remembers.
+KNOWN_CODES = 500_000
 # Contexts are sent by classes of their count, so many for each doubling.
 CLASSES = 4
 # Bits of the filter of those that are not sent.
@@ -305,20 +307,19 @@ def _pair_code(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
 
 
 def _level(rows: pa.Table, hashed: bool) -> tuple:
-    """Sorted contexts, what each leaves to its suffix, and its sorted pairs' own part."""
-    rows = rows.combine_chunks()
-    lists = rows.column("dist").combine_chunks()
-    pairs = lists.flatten()
+    """Sorted contexts, what each leaves to its suffix, and its sorted pairs' own part.
+
+    ``rows``: context, rest, symbols and owns (one list each).
+    """
     contexts = rows.column("context").to_numpy().view(np.uint64)
-    total = rows.column("total").to_numpy().astype(np.float64)
-    kinds = rows.column("kinds").to_numpy().astype(np.int64)
-    symbol = pairs.field("symbol").to_numpy(zero_copy_only=False)
-    of = np.repeat(np.arange(len(contexts)), kinds)
-    own = pairs.field("n").to_numpy(zero_copy_only=False) / (total + kinds)[of]
-    symbol = symbol.astype(np.uint64)
-    codes = _pair_code(contexts[of], symbol) if hashed else (contexts[of] << np.uint64(8)) | symbol
+    rest = rows.column("rest").to_numpy()
+    lists = rows.column("symbols").combine_chunks()
+    of = np.repeat(contexts, lists.value_lengths().to_numpy())
+    symbols = lists.flatten().to_numpy().astype(np.uint64)
+    own = rows.column("owns").combine_chunks().flatten().to_numpy()
+    codes = _pair_code(of, symbols) if hashed else (of << np.uint64(8)) | symbols
     order, by_pair = np.argsort(contexts), np.argsort(codes)
-    return contexts[order], (kinds / (total + kinds))[order], codes[by_pair], own[by_pair]
+    return contexts[order], rest[order], codes[by_pair], own[by_pair]
 
 
 def _find(sorted_codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,23 +349,30 @@ class Tree:
     ) -> None:
         # One level per length up to the depth, and one for all contexts that are longer.
         self.depth, self.root, self.levels, self.others = depth, root, levels, others
+        # Codes that were asked for before, sorted, with what was found.
+        self.known = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, bool)
 
     @classmethod
-    def of(
-        cls, rows: pa.Table, starts: pa.Table, depth: int, others: np.ndarray | None = None
-    ) -> Tree:
-        """From the rows of ``retained_contexts``."""
+    def of(cls, stored: DataFrame, depth: int, others: np.ndarray | None = None) -> Tree:
+        """From contexts as ``_stored`` has them."""
+        weight = F.col("total") + F.col("kinds")
+        rows = stored.select(
+            "length",
+            "context",
+            (F.col("kinds") / weight).alias("rest"),
+            F.transform("dist", lambda x: x["symbol"].cast("smallint")).alias("symbols"),
+            F.transform("dist", lambda x: x["n"] / weight).alias("owns"),
+        ).toArrow()
+
+        def level(k: int) -> pa.Table:
+            return rows.filter(pc.equal(rows.column("length"), k))
+
         root = np.full(256, 1 / 256)
-        for row in rows.filter(pc.equal(rows.column("length"), 0)).to_pylist():
-            weight = row["total"] + row["kinds"]
-            root *= row["kinds"] / weight
-            for pair in row["dist"]:
-                root[pair["symbol"]] += pair["n"] / weight
-        levels = [
-            _level(rows.filter(pc.equal(rows.column("length"), k)), False)
-            for k in range(1, depth + 1)
-        ]
-        return cls(depth, root, [*levels, _level(starts, True)], others)
+        for row in level(0).to_pylist():
+            root *= row["rest"]
+            root[row["symbols"]] += row["owns"]
+        levels = [_level(level(k), k > depth) for k in range(1, depth + 2)]
+        return cls(depth, root, levels, others)
 
     def _elsewhere(self, length: int, contexts: np.ndarray) -> np.ndarray:
         """Whether contexts that are not here may be among the others."""
@@ -374,6 +382,24 @@ class Tree:
         cells = self.others[(bits >> np.uint64(6)).astype(np.int64)]
         return (cells >> (bits & np.uint64(63))) & np.uint64(1) == 1
 
+    def remembered(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``probabilities`` of sorted codes, of which most were asked for before."""
+        known, p, left_open = self.known
+        if len(known) + len(codes) > 2 * KNOWN_CODES:
+            known, p, left_open = known[:0], p[:0], left_open[:0]
+        place = np.searchsorted(known, codes)
+        new = np.ones(len(codes), bool)
+        inside = place < len(known)
+        new[inside] = known[place[inside]] != codes[inside]
+        if new.any():
+            found = self.probabilities(codes[new])
+            at = place[new]
+            known = np.insert(known, at, codes[new])
+            p, left_open = (np.insert(x, at, y) for x, y in zip((p, left_open), found, strict=True))
+            place = np.searchsorted(known, codes)
+        self.known = known, p, left_open
+        return p[place], left_open[place]
+
     def probabilities(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probability of the symbol in each code, from its longest suffix within the depth, and
         whether that suffix may not be here."""
@@ -397,12 +423,20 @@ class Tree:
         contexts, left, pairs, own = self.levels[self.depth]
         hashes, before = word_hashes(data)
         rows = np.flatnonzero((before >= self.depth) & (before <= LONGEST))
-        place, known = _find(contexts, hashes[rows])
-        left_open[rows[~known]] |= self._elsewhere(self.depth + 1, hashes[rows[~known]])
-        rows, place = rows[known], place[known]
-        if len(rows):
-            at, there = _find(pairs, _pair_code(hashes[rows], data[rows]))
-            p[rows] = p[rows] * left[place] + np.where(there, own[at], 0.0)
+        # Words repeat: each different symbol in context is looked up once.
+        mixed = _pair_code(hashes[rows], data[rows])
+        different, first, inverse = np.unique(mixed, return_index=True, return_inverse=True)
+        wanted = hashes[rows[first]]
+        place, known = _find(contexts, wanted)
+        elsewhere = ~known
+        elsewhere[~known] = self._elsewhere(self.depth + 1, wanted[~known])
+        at, there = _find(pairs, different)
+        keeps, adds = np.ones(len(different)), np.zeros(len(different))
+        keeps[known] = left[place[known]]
+        here = known & there
+        adds[here] = own[at[here]]
+        left_open[rows] |= elsewhere[inverse]
+        p[rows] = p[rows] * keeps[inverse] + adds[inverse]
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
         """log10 probability of each text without its open symbols, and those as keys (code,
@@ -410,7 +444,7 @@ class Tree:
         codes, ends = grams(texts, self.depth)
         data = np.frombuffer(b"".join(texts), np.uint8)
         different, inverse = np.unique(codes, return_inverse=True)
-        p, left_open = (x[inverse] for x in self.probabilities(different))
+        p, left_open = (x[inverse] for x in self.remembered(different))
         self.longer(p, left_open, data)
         starts = np.concatenate(([0], ends[:-1]))
         logs = np.where(left_open, 0.0, np.log10(p))
@@ -549,7 +583,13 @@ def learn(
     """The tree, the counts of all training words, and the number of training texts."""
     counts, words, texts = _counted(docs, id_col, text_col, folds, depth)
     kept, long = retained_contexts(counts, words, depth)
-    return Tree.of(kept.toArrow(), long.toArrow(), depth), words, texts
+    return Tree.of(_stored(kept, long, depth), depth), words, texts
+
+
+def _stored(kept: DataFrame, long: DataFrame, depth: int) -> DataFrame:
+    """The whole tree: length (``depth`` + 1 for all longer ones), context, total, kinds, dist."""
+    longer = long.withColumn("length", F.lit(depth + 1))
+    return kept.unionByName(longer.select(kept.columns))
 
 
 def _filter_of(contexts: DataFrame) -> np.ndarray:
@@ -576,12 +616,13 @@ def _filter_of(contexts: DataFrame) -> np.ndarray:
 
 def _sent(stored: DataFrame, depth: int) -> Tree:
     """The most frequent contexts of a tree (length, context, total, kinds, dist), and a filter
-    of the others. ``stored`` has the longer ones under length ``depth`` + 1."""
+    of the others."""
     of_count = F.floor(F.log2(F.col("total") + 1) * CLASSES).cast("int")
-    sizes = stored.groupBy(of_count.alias("class")).agg(F.sum("kinds").alias("pairs")).collect()
+    size = F.col("kinds") * PAIR_BYTES + CONTEXT_BYTES
+    sizes = stored.groupBy(of_count.alias("class")).agg(F.sum(size).alias("bytes")).collect()
     least, used = None, 0
     for row in sorted(sizes, key=lambda r: -r["class"]):
-        used += row["pairs"] * PAIR_BYTES
+        used += row["bytes"]
         if used > TREE_BYTES:
             break
         least = row["class"]
@@ -590,10 +631,8 @@ def _sent(stored: DataFrame, depth: int) -> Tree:
     here = F.col("length") == 0
     if least is not None:
         here = here | (of_count >= least)
-    rows = stored.filter(here).toArrow()
-    longer = pc.equal(rows.column("length"), depth + 1)
     others = None if whole else _filter_of(stored.filter(~here))
-    return Tree.of(rows.filter(pc.invert(longer)), rows.filter(longer), depth, others)
+    return Tree.of(stored.filter(here), depth, others)
 
 
 def score_corpus(
@@ -607,9 +646,7 @@ def score_corpus(
     spark = docs.sparkSession
     counts, words, texts = _counted(docs, id_col, text_col, folds, depth)
     kept, long = retained_contexts(counts, words, depth)
-    stored = kept.unionByName(
-        long.withColumn("length", F.lit(depth + 1)).select(kept.columns)
-    )
+    stored = _stored(kept, long, depth)
     tree = _sent(stored, depth)
     model = (tree.depth, tree.root, tree.levels, tree.others)
     whole = tree.others is None
