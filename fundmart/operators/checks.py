@@ -22,25 +22,23 @@ def empty_counts(df: DataFrame, group: list[str], fields: list[str]) -> DataFram
     return unpivot(counts, group, fields, "veld", "aantal").filter("aantal > 0")
 
 
-def unknown_codes(
-    df: DataFrame, group: list[str], lists: dict[str, list[str]]
-) -> DataFrame:
-    """Codes outside their list, per group, field and code, with their number.
+def _unknown(field: str, valid: list[str]) -> Column:
+    """The codes of a field that are not in its list, as (veld, code); null if there are none.
 
-    All fields go through in one pass. A value that is itself a listed code (the
-    usual case) is settled by a literal set test; only the rest is split up.
+    A value that is itself a listed code (the usual case) is settled by a literal set
+    test; only the rest is split up.
     """
+    known = ", ".join("'" + code.replace("'", "\\'") + "'" for code in valid)
+    return F.expr(
+        f"""CASE WHEN `{field}` NOT IN ({known}) THEN transform(
+        filter(split(`{field}`, '{LIST_SEPARATOR}'), c -> c NOT IN ({known})),
+        c -> named_struct('veld', '{field}', 'code', c)) END"""
+    )
 
-    def findings(field: str, valid: list[str]) -> Column:
-        known = ", ".join("'" + code.replace("'", "\\'") + "'" for code in valid)
-        return F.expr(
-            f"""CASE WHEN `{field}` NOT IN ({known}) THEN transform(
-            filter(split(`{field}`, '{LIST_SEPARATOR}'), c -> c NOT IN ({known})),
-            c -> named_struct('veld', '{field}', 'code', c)) END"""
-        )
 
-    arrays = [findings(f, valid) for f, valid in lists.items()]
-    found = F.flatten(F.array_compact(F.array(*arrays)))
+def _counted(df: DataFrame, group: list[str], findings: list[Column]) -> DataFrame:
+    """Findings (arrays of (veld, code)) per group, field and code, in one pass."""
+    found = F.flatten(F.array_compact(F.array(*findings)))
     return (
         df.select(*group, F.explode(found).alias("_f"))
         .groupBy(*group, F.col("_f.veld").alias("veld"), F.col("_f.code").alias("code"))
@@ -48,6 +46,28 @@ def unknown_codes(
     )
 
 
+def unknown_codes(
+    df: DataFrame, group: list[str], lists: dict[str, list[str]]
+) -> DataFrame:
+    """Codes outside their list, per group, field and code, with their number."""
+    return _counted(df, group, [_unknown(f, valid) for f, valid in lists.items()])
+
+
+def field_findings(
+    df: DataFrame, group: list[str], required: list[str], lists: dict[str, list[str]]
+) -> DataFrame:
+    """Empty required fields (``code`` is null) and codes outside their list, per group, field
+    and code, with their number: one pass for all fields of a table."""
+    empty = [
+        F.expr(
+            f"CASE WHEN `{f}` IS NULL THEN "
+            f"array(named_struct('veld', '{f}', 'code', CAST(NULL AS STRING))) END"
+        )
+        for f in required
+    ]
+    return _counted(df, group, empty + [_unknown(f, valid) for f, valid in lists.items()])
+
+
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how many rows share their key with another row."""
     return (

@@ -58,6 +58,30 @@ def number_rows(
     return rows.join(small_side(starts), same).select(*columns, value.alias(number))
 
 
+def positions(df: DataFrame, number: str) -> DataFrame:
+    """The rows of a sorted table with their 0-based place in it.
+
+    A row's place is its place in its own partition plus the rows of the partitions before
+    it; nothing is sorted again. Written, so that partitions and places stay as they are.
+    """
+    place = F.monotonically_increasing_id()
+    rows = df.withColumns(
+        {
+            RANGE: F.shiftright(place, PLACE_BITS).cast("int"),
+            PLACE: place.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)),
+        }
+    )
+    rows = written(rows, "positions")
+    # One row per partition.
+    sizes = rows.groupBy(F.col(RANGE).alias("_of")).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = W.orderBy("_of").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+    starts = F.broadcast(sizes.select("_of", before))
+    value = (F.col("_before") + F.col(PLACE)).alias(number)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return rows.join(starts, F.col(RANGE) == F.col("_of")).select(*columns, value)
+
+
 def fact_key(prefix: str, delivery: Column, row: Column) -> Column:
     return F.concat_ws(":", F.lit(prefix), delivery, row.cast("string"))
 

@@ -64,7 +64,8 @@ def _digits(number: Column) -> Column:
 
 def _place(value: Column, names: list[str]) -> Column:
     """Position of a name in the declared order, as sortable text."""
-    return _digits(F.array_position(F.array(*[F.lit(n) for n in names]), value))
+    listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    return _digits(F.array_position(listed, value))
 
 
 def _rs_place(record_type: Column) -> Column:
@@ -159,37 +160,39 @@ def _per_record_type(tables: dict[str, DataFrame], deliveries: DataFrame, build)
     return [p for p in parts if p is not None]
 
 
-def required_fields(tables: dict[str, DataFrame], deliveries: DataFrame) -> list[DataFrame]:
-    def build(df: DataFrame, rs: str, record) -> DataFrame:
-        empty = checks.empty_counts(df, [LABEL], record.required())
-        return _messages(
-            empty,
-            "Verplicht veld",
-            F.lit(rs),
-            F.format_string(EMPTY_FIELD, "veld"),
-            F.col("aantal"),
-            _rs_place(F.lit(rs)),
-            _place(F.col("veld"), record.required()),
-        )
-
-    return _per_record_type(tables, deliveries, build)
+EMPTY_CHECK, CODE_CHECK = "Verplicht veld", "Codelijst"
 
 
-def code_lists(tables: dict[str, DataFrame], deliveries: DataFrame) -> list[DataFrame]:
+def field_checks(tables: dict[str, DataFrame], deliveries: DataFrame) -> list[DataFrame]:
+    """Empty required fields and unknown codes: one scan and one aggregate per record type."""
     def build(df: DataFrame, rs: str, record) -> DataFrame | None:
+        required = record.required()
         lists = {f: codes(name) for f, name in record.code_lists().items()}
-        if not lists:
+        if not required and not lists:
             return None
-        return _messages(
-            checks.unknown_codes(df, [LABEL], lists),
-            "Codelijst",
+        found = checks.field_findings(df, [LABEL], required, lists)
+
+        def either(empty: Column, unknown: Column) -> Column:
+            return F.when(F.col("code").isNull(), empty).otherwise(unknown)
+
+        number, severity = (
+            either(F.lit(of[EMPTY_CHECK]), F.lit(of[CODE_CHECK]))
+            for of in ({c: str(i) for i, c in enumerate(SEVERITY)}, SEVERITY)
+        )
+        values = (
+            either(F.lit(EMPTY_CHECK), F.lit(CODE_CHECK)),
             F.lit(rs),
-            F.format_string(UNKNOWN_CODE, "veld", "code"),
-            F.col("aantal"),
-            _rs_place(F.lit(rs)),
-            _place(F.col("veld"), list(lists)),
-            F.col("code"),
+            either(
+                F.format_string(EMPTY_FIELD, "veld"), F.format_string(UNKNOWN_CODE, "veld", "code")
+            ),
+            F.col("aantal").cast("bigint"),
+            severity,
         )
+        field = either(_place(F.col("veld"), required), _place(F.col("veld"), list(lists)))
+        # An empty field has no code, which leaves no trace in the place.
+        place = F.concat_ws("/", number, _rs_place(F.lit(rs)), field, F.col("code"))
+        named = [v.alias(name) for name, v in zip(MESSAGE_COLUMNS, values, strict=True)]
+        return found.select(LABEL, *named, place.alias(ORDER))
 
     return _per_record_type(tables, deliveries, build)
 
@@ -251,8 +254,7 @@ def check_deliveries(
             reading(reader),
             record_counts(deliveries, tables[TRAILER], counts),
             single_rows(counts),
-            *required_fields(tables, deliveries),
-            *code_lists(tables, deliveries),
+            *field_checks(tables, deliveries),
             header_differences(deliveries, tables[HEADER]),
         ]
     )

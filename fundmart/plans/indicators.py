@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundmart.functions.text import lacks_code, share
+from fundmart.functions.text import code_array, lacks_code, share
 from fundmart.layouts import LABEL, STATUS
 from fundmart.operators.merge import common_values, newest_per_group, stack_tables
 from fundmart.plans.star import FACT_ID, FACT_SOURCE, PERSON_ID
@@ -98,15 +98,15 @@ def not_funded_reasons(
     df: DataFrame,
     bridge: DataFrame,
     statuses: DataFrame,
-    key: str | list[str] = FACT_ID,
+    key: str = FACT_ID,
     funded: str = "Bekostigingsindicatie",
 ) -> DataFrame:
-    """Assessed rows without funding, counted per status code and group."""
-    key = [key] if isinstance(key, str) else key
-    refused = df.filter(F.col("Beoordeeld") & ~F.col(funded)).select(*key)
-    reasons = statuses.filter(~F.col("Bekostigd"))
+    """Assessed rows without funding, counted per status code and group, from the status
+    bridge: for facts that do not carry their status list, or whose keys repeat."""
+    refused = df.filter(F.col("Beoordeeld") & ~F.col(funded)).select(key)
+    names = statuses.filter(~F.col("Bekostigd"))
     return (
-        bridge.join(small_side(reasons), "Code")
+        bridge.join(small_side(names), "Code")
         .join(refused, key, "left_semi")
         .groupBy("Groep", "Code", "Omschrijving")
         .agg(F.count("*").alias("Aantal"))
@@ -114,15 +114,30 @@ def not_funded_reasons(
     )
 
 
-def reasons(df: DataFrame, star: Star, deliveries: list[str] | None = None) -> DataFrame:
-    """``deliveries``, where given, are the ones that ``df`` was made of: the bridge is
-    stored per delivery, so only their folders are read. Fact keys must then hold their
-    delivery, as those of a built star do."""
-    bridge, statuses = star["fact_status"], star["dim_status"]
-    if deliveries is None:
-        return not_funded_reasons(df, bridge, statuses)
-    own = bridge.filter(F.col(LABEL).isin(deliveries))
-    return not_funded_reasons(df, own, statuses, [LABEL, FACT_ID])
+def reasons(
+    df: DataFrame,
+    star: Star,
+    status: str = STATUS,
+    funded: str = "Bekostigingsindicatie",
+) -> DataFrame:
+    """The same for the facts of a star, whose keys are unique.
+
+    The facts carry their own status list: it is taken apart behind the filter, so neither
+    the status bridge nor a join on the fact key is needed. Codes are counted before they
+    meet their names.
+    """
+    refused = df.filter(F.col("Beoordeeld") & ~F.col(funded))
+    counts = (
+        refused.select(F.explode(code_array(F.col(status))).alias("Code"))
+        .groupBy("Code")
+        .agg(F.count("*").alias("Aantal"))
+    )
+    names = star["dim_status"].filter(~F.col("Bekostigd"))
+    return (
+        counts.join(small_side(names.select("Code", "Groep", "Omschrijving")), "Code")
+        .select("Groep", "Code", "Omschrijving", "Aantal")
+        .orderBy(F.desc("Aantal"), "Code")
+    )
 
 
 def per_programme(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,22 +110,32 @@ def refuse_duplicate_labels(stacked: dict[str, DataFrame]) -> None:
         )
 
 
+def labels_of(stacked: dict[str, DataFrame]) -> DataFrame:
+    """Every delivery that has rows in some prepared table.
+
+    The label is the partition of the tables, so no column is read.
+    """
+    parts = [df.select(LABEL).distinct() for df in stacked.values()]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def outdated_labels(stacked: dict[str, DataFrame]) -> DataFrame:
     """Deliveries whose stored messages are not complete with their severities.
 
     A delivery from before severities has no message count, or its messages read
-    back without a severity; both show in the rows, without opening each file.
+    back without a severity, or it has no ``LEVERING`` row at all; all of it shows in
+    the rows, without opening each file.
     """
-    kept = (
-        stacked[MESSAGES].filter(F.col("Ernst").isNotNull()).groupBy(LABEL).agg(F.count("*").alias("_n"))
-        if MESSAGES in stacked
-        else None
-    )
-    df = stacked[DELIVERY].select(LABEL, MESSAGE_COUNT)
-    if kept is None:
-        df = df.withColumn("_n", F.lit(0))
+    df = labels_of(stacked)
+    if DELIVERY in stacked:
+        df = df.join(stacked[DELIVERY].select(LABEL, MESSAGE_COUNT), LABEL, "left")
     else:
-        df = df.join(kept, LABEL, "left")
+        df = df.withColumn(MESSAGE_COUNT, F.lit(None).cast("bigint"))
+    if MESSAGES in stacked:
+        graded = stacked[MESSAGES].filter(F.col("Ernst").isNotNull())
+        df = df.join(graded.groupBy(LABEL).agg(F.count("*").alias("_n")), LABEL, "left")
+    else:
+        df = df.withColumn("_n", F.lit(0))
     complete = F.coalesce(F.col("_n"), F.lit(0)) >= F.col(MESSAGE_COUNT)
     return df.filter(~F.coalesce(complete, F.lit(False))).select(LABEL)
 
@@ -135,7 +145,7 @@ def stored_messages(spark: SparkSession, stacked: dict[str, DataFrame]) -> DataF
     outdated delivery. Rows without a severity are dropped."""
     schema = f"Bron string, {', '.join(f'{c} string' for c in MESSAGE_COLUMNS)}, {ORDER} string"
     schema = schema.replace("Aantal string", "Aantal bigint")
-    if DELIVERY not in stacked:
+    if not stacked:
         return spark.createDataFrame([], schema)
     old = outdated_labels(stacked).select(
         F.col(LABEL).alias("Bron"),
@@ -152,16 +162,13 @@ def stored_messages(spark: SparkSession, stacked: dict[str, DataFrame]) -> DataF
     return kept.select(F.col(LABEL).alias("Bron"), *MESSAGE_COLUMNS, ORDER).unionByName(old)
 
 
-@cache
-def _star_schemas(spark: SparkSession) -> dict[str, T.StructType]:
-    return {name: df.schema for name, df in build_star(spark, {}).items()}
-
-
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame] | None:
     """All star tables with their fixed schemas, or none when one is missing."""
     if not all(path_exists(spark, f"{folder}/{name}") for name in STAR_TABLES):
         return None
+    # The schemas of a star of no deliveries; nothing runs.
+    schemas = {name: df.schema for name, df in build_star(spark, {}).items()}
     return {
         name: spark.read.schema(schema).parquet(f"{folder}/{name}").select(schema.names)
-        for name, schema in _star_schemas(spark).items()
+        for name, schema in schemas.items()
     }

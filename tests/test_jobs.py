@@ -1,6 +1,7 @@
 import hashlib
 import json
 import os
+import shutil
 
 import pytest
 
@@ -261,6 +262,25 @@ def test_outdated_delivery_is_an_error(spark, single, tmp_path):
     assert read_star(spark, str(tmp_path / "out" / "datamodel"))["fact_deelname"].count() == 3
 
 
+def test_delivery_without_its_own_row_is_outdated(spark, single, tmp_path):
+    """Folders from before the delivery table, and a part of one whose row is gone."""
+    target = tmp_path / "prep"
+    for day in (21, 22):
+        path = write_file(tmp_path, _name(day), ANALYSIS)
+        jobs.run_pipeline(spark, str(path), str(target), key=KEY, fail_on_errors=False)
+    old, new = _name(21)[:-4], _name(22)[:-4]
+    shutil.rmtree(target / "LEVERING" / f"levering={old}")
+    stacked = stack_prepared(spark, [str(target)])
+    found = stored_messages(spark, stacked).filter("Controle = 'Prepared-map'")
+    assert rows(found, "Bron", "Recordsoort", "Ernst") == [(old, "VALIDATIE", "error")]
+    without = {n: df for n, df in stacked.items() if n != "LEVERING"}
+    found = stored_messages(spark, without).filter("Controle = 'Prepared-map'")
+    assert rows(found, "Bron") == [(old,), (new,)]
+    renamed = stack_prepared(spark, [str(target)], ["own name"])
+    assert rows(stored_messages(spark, {"BRD": renamed["BRD"]}), "Bron") == [("own name",)]
+    assert stored_messages(spark, {}).count() == 0
+
+
 def test_stack_refuses_wrong_folders(spark, single, tmp_path):
     target = str(single[1])
     with pytest.raises(FileNotFoundError):

@@ -127,6 +127,10 @@ def test_checks(spark):
         [("d", "a,b", None), ("d", "a,", "x"), ("e", None, "y")], "g string, s string, v string"
     )
     assert rows(checks.empty_counts(df, ["g"], ["s", "v"])) == [("d", "v", 1), ("e", "s", 1)]
+    both = checks.field_findings(df, ["g"], ["s", "v"], {"s": ["a"], "v": ["x"]})
+    apart = rows(checks.unknown_codes(df, ["g"], {"s": ["a"], "v": ["x"]}))
+    apart += [("d", "v", None, 1), ("e", "s", None, 1)]
+    assert rows(both) == sorted(apart, key=str)
     assert rows(checks.unknown_codes(df, ["g"], {"s": ["a"], "v": ["x"]})) == [
         ("d", "s", "", 1), ("d", "s", "b", 1), ("e", "v", "y", 1),
     ]

@@ -142,14 +142,17 @@ def test_indicators_without_their_delivery(spark):
     assert ind.reasons(base, star).count() == 0
 
 
-def test_reasons_read_the_chosen_deliveries_only(standard):
+def test_reasons_read_the_facts_of_the_chosen_deliveries_only(standard):
     star = standard[1].star
     base = ind.fact_base(star, "fact_deelname", [PROVISIONAL])
-    found = ind.reasons(base, star, [PROVISIONAL])
+    found = ind.reasons(base, star)
     assert rows(found, "Code", "Aantal") == [("na", 1), ("ti", 1)]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "fact_status" in line]
+    assert "fact_status" not in plan and "SortMergeJoin" not in plan
+    scans = [line for line in plan.splitlines() if "fact_deelname" in line]
     assert scans and all("levering" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+    # One shuffle counts the codes; what is sorted afterwards is a row per code.
+    assert plan.count("hashpartitioning") == 1
 
 
 def test_plans_prune_and_stay_in_the_jvm(standard):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fundmart.functions.decode import decode
 from fundmart.layouts import load_layout
+from fundmart.operators.numbering import positions
 from fundmart.plans import indicators as ind
 from fundmart.plans import star as s
 from fundmart.session import Stage
@@ -103,8 +104,23 @@ def reasons(spark: SparkSession, folder: str) -> DataFrame:
     known = s.code_list(spark, "bekostigingstatus")
     tables["dim_status"] = s.dim_status(tables["fact_status"], known, s.codes("bekostigingstatus"))
     base = ind.fact_base(tables, "fact_deelname", _CHOSEN)
-    # Keys of these facts do not hold their delivery, so the whole bridge is needed.
-    return ind.reasons(base, tables)
+    # Keys of these facts repeat, and a bridge row counts if any fact with its key does.
+    return ind.not_funded_reasons(base, tables["fact_status"], tables["dim_status"])
+
+
+@query(
+    f"""WITH {_SQL_FACTS}, {SQL_DIM_STATUS},
+codes AS (SELECT unnest(string_split("CodeBekostigingstatus", ',')) AS "Code" FROM base
+ WHERE "Beoordeeld" AND NOT "Bekostigingsindicatie")
+SELECT "Groep", "Code", "Omschrijving", count(*) AS "Aantal"
+FROM codes JOIN dim_status USING ("Code") WHERE NOT "Bekostigd" GROUP BY ALL"""
+)
+def fact_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``reasons``, from the facts' own status lists."""
+    tables = _star(spark, folder)
+    known = s.code_list(spark, "bekostigingstatus")
+    tables["dim_status"] = s.dim_status(tables["fact_status"], known, s.codes("bekostigingstatus"))
+    return ind.reasons(ind.fact_base(tables, "fact_deelname", _CHOSEN), tables)
 
 
 @query(
@@ -168,6 +184,58 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
     return ind.with_share(ind.totals_per_source(parts, "jaar", "bekostigd"))
 
 
+# The order of results: a row's place in the sorted result, beside what it is sorted by.
+@query(
+    f"""WITH {_SQL_FACTS}, {SQL_DIM_STATUS},
+codes AS (SELECT unnest(string_split("CodeBekostigingstatus", ',')) AS "Code" FROM base
+ WHERE "Beoordeeld" AND NOT "Bekostigingsindicatie"),
+counted AS (SELECT "Code", count(*) AS "Aantal" FROM codes JOIN dim_status USING ("Code")
+ WHERE NOT "Bekostigd" GROUP BY 1)
+SELECT row_number() OVER (ORDER BY "Aantal" DESC, "Code") - 1 AS plaats, "Code", "Aantal"
+FROM counted"""
+)
+def reasons_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    return positions(fact_reasons(spark, folder), "plaats").select("plaats", "Code", "Aantal")
+
+
+@query(
+    f"""WITH {_SQL_FACTS},
+programmes AS (SELECT "Opleidingscode" AS code, count(*) FILTER ("Bekostigingsindicatie")
+ / count(*) AS aandeel FROM base WHERE "Beoordeeld" GROUP BY 1, "Opleidingsniveau")
+SELECT row_number() OVER (ORDER BY aandeel) - 1 AS plaats, aandeel AS "AandeelBekostigd"
+FROM programmes"""
+)
+def lowest_share_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Programmes of one share may change places."""
+    found = share_per_group(spark, folder)
+    return positions(found, "plaats").select("plaats", "AandeelBekostigd")
+
+
+@query(
+    f"""WITH {_SQL_FACTS},
+programmes AS (SELECT "Opleidingscode", "Opleidingsniveau", count(*) AS "Totaal" FROM base
+ WHERE "Beoordeeld" GROUP BY 1, 2)
+SELECT row_number() OVER (ORDER BY "Opleidingscode" NULLS FIRST) - 1 AS plaats, "Opleidingscode"
+FROM programmes"""
+)
+def programmes_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    base = ind.fact_base(_star(spark, folder), "fact_deelname", _CHOSEN)
+    return positions(ind.per_programme(base), "plaats").select("plaats", "Opleidingscode")
+
+
+@query(
+    f"""WITH before AS (SELECT {_KEYS}, {_BEFORE} AS "Voorlopig" FROM orders),
+after AS (SELECT {_KEYS}, {_AFTER} AS "Definitief" FROM orders),
+counted AS (SELECT jaar, count(*) AS "Aantal"
+ FROM before JOIN after USING (jaar, o_custkey, o_orderpriority)
+ WHERE "Voorlopig" IS DISTINCT FROM "Definitief" GROUP BY jaar, "Voorlopig", "Definitief")
+SELECT row_number() OVER (ORDER BY jaar, "Aantal" DESC) - 1 AS plaats, jaar, "Aantal" FROM counted"""
+)
+def transitions_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes of one year that are equally frequent may change places."""
+    return positions(transitions(spark, folder), "plaats").select("plaats", "jaar", "Aantal")
+
+
 # The flagship: raw lines of a delivery per year, all the way to a share per
 # institution and programme.
 _INSTITUTION = "CASE WHEN o_custkey % 90 < 60 THEN '10XX' ELSE '71AA' END"
