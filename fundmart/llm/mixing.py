@@ -2,10 +2,11 @@
 
 Each source gets a target in words. A document is taken a whole number of times: the
 certain copies are the whole part of target / source size, and one more copy goes to a
-sample with the fractional part as inclusion probability. For the sample, documents are
-ranked by random odds divided by inclusion odds, ``(u / (1 - u)) / (p / (1 - p))``, and
-the first ones are taken until the source's remaining words are used up; the last one
-only if that comes nearer. ``u`` is a hash of the id, so reruns agree.
+sample whose fixed size is the rest of the target, in words. Inclusion ``p`` is proportional
+to a document's size; sizes for which that would exceed 1 are certain, and the others are
+scaled anew. Documents are ranked by random odds divided by inclusion odds, ``(u / (1 - u)) /
+(p / (1 - p))``, and the first ones are taken until the rest is used up; the last one only if
+that comes nearer. ``u`` is a hash of the id, so reruns agree.
 
 Nothing ranks a whole source in one task. Words are summed per source and bin of the
 rank (256 bins, then 256 inside the bin where the target is reached), and only the rows
@@ -14,7 +15,8 @@ threshold per source, which each document compares itself with.
 
 Defined results: a null text has size 0 and is taken 0 times its size; null is a source
 of its own, the last one; a null id ranks like an empty one; rows that repeat an id and
-a size share one rank and one verdict. An empty table gives no rows.
+a size share one rank and one verdict. Very long texts are counted whole. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -75,6 +77,38 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
     )
 
 
+def with_scales(targets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Targets with what is ``left`` of them after whole copies, and the ``scale`` that makes
+    inclusion proportional to size.
+
+    A document's inclusion is its size times the scale, and 1 where that would be more: the
+    largest sizes are certain, and the scale is such that the others are expected to bring
+    the rest of the words. The window runs over the different sizes of a source.
+    """
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
+    targets = targets.withColumn("copies", F.coalesce(F.floor(ratio), F.lit(0)).cast("long"))
+    targets = targets.withColumn("left", F.col("target") - F.col("copies") * F.col("source_size"))
+    counts = sizes.filter("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("c.source").eqNullSafe(F.col("t.source"))
+    words, squares = F.col("size") * F.col("n"), F.col("size") * F.col("size") * F.col("n")
+    down = Window.partitionBy("source").orderBy(F.desc("size"))
+    larger = F.sum(words).over(down) - words
+    rest = F.sum(squares).over(Window.partitionBy("source")) - F.sum(squares).over(down) + squares
+    scales = (
+        counts.alias("c")
+        .join(targets.alias("t"), same)
+        .select("c.*", "t.left")
+        .select("source", "size", ((F.col("left") - larger) / rest).alias("scale"))
+        # The largest size that is not certain; all larger ones are.
+        .filter(F.col("scale") * F.col("size") < 1)
+        .groupBy("source")
+        .agg(F.max_by("scale", "size").alias("scale"))
+    )
+    same = F.col("t.source").eqNullSafe(F.col("s.source"))
+    joined = targets.alias("t").join(scales.alias("s"), same, "left")
+    return joined.select("t.*", F.coalesce("s.scale", F.lit(0.0)).alias("scale"))
+
+
 def _beside(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Rows with their source's figures, without bringing a source's rows together.
 
@@ -96,17 +130,15 @@ def _beside(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _ranked(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Each document with its source's figures, its rank and the bin of its rank."""
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
     u = (F.col("draw") + F.lit(0.5)) / F.lit(float(16**DRAW_DIGITS))
     share = F.col("inclusion") / (1 - F.col("inclusion"))
     at = F.floor(F.col("odds") / (1 + F.col("odds")) * (BINS * BINS)).cast("int")
+    odds = F.when(F.col("inclusion") >= 1, 0.0).when(F.col("inclusion") > 0, u / (1 - u) / share)
     return (
         _beside(rows, sources)
-        .withColumn("copies", F.coalesce(F.floor(ratio), F.lit(0)).cast("long"))
-        .withColumn("inclusion", F.coalesce(ratio - F.floor(ratio), F.lit(0.0)))
-        .withColumn("left", F.col("target") - F.col("copies") * F.col("source_size"))
+        .withColumn("inclusion", F.col("scale") * F.col("size"))
         # Nothing beyond the whole copies: past every bin.
-        .withColumn("odds", F.when(F.col("inclusion") > 0, u / (1 - u) / share))
+        .withColumn("odds", odds)
         .withColumn("bin", F.coalesce(F.least(at, F.lit(BINS * BINS - 1)), F.lit(BINS * BINS)))
         .withColumn("rank", F.struct("odds", "draw", "doc_id", "size"))
     )
@@ -195,7 +227,8 @@ def mix(
 ) -> DataFrame:
     """One row per document: size, its source's size and target, and the words taken."""
     rows = written(_sized(docs, id_col, text_col, source_col), "mix-sizes")
-    targets = written(source_targets(rows, weights, share, most), "mix-targets")
+    targets = source_targets(rows, weights, share, most)
+    targets = written(with_scales(targets, rows), "mix-targets")
     cuts = written(source_cuts(rows, targets), "mix-thresholds")
     return _copies(rows, cuts).select(
         "doc_id",
@@ -218,7 +251,8 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: each document as often as it is taken, with all its columns."""
     rows = written(_sized(docs, id_col, text_col, source_col), "mix-sizes")
-    targets = written(source_targets(rows, weights, share, most), "mix-targets")
+    targets = source_targets(rows, weights, share, most)
+    targets = written(with_scales(targets, rows), "mix-targets")
     cuts = written(source_cuts(rows, targets), "mix-thresholds")
     whole = docs.select(
         F.struct(*[named(c) for c in docs.columns]).alias("row"),
@@ -253,20 +287,37 @@ f AS (
 t AS (
  SELECT source, source_size,
   least(max(level) OVER () * weight, (2 * source_size)::DOUBLE) AS target FROM f),
+l AS (
+ SELECT *, target - whole * source_size AS rest FROM (SELECT *, CASE WHEN source_size > 0
+  THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t)),
+h AS (
+ SELECT source, size, count(*) AS n FROM d WHERE size > 0 GROUP BY ALL),
+g AS (
+ SELECT h.source, size, (rest - (sum(size * n) OVER w - size * n)::DOUBLE)
+  / (sum(size * size * n) OVER (PARTITION BY h.source) - sum(size * size * n) OVER w
+   + size * size * n)::DOUBLE AS scale
+ FROM h JOIN l ON h.source IS NOT DISTINCT FROM l.source
+ WINDOW w AS (PARTITION BY h.source ORDER BY size DESC)),
+k AS (
+ SELECT source, arg_max(scale, size) AS scale FROM g WHERE scale * size < 1 GROUP BY source),
+p AS (
+ SELECT d.*, l.* EXCLUDE (source), coalesce(k.scale, 0) * size AS inclusion,
+  (draw + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+ FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source
+ LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source),
+o AS (
+ SELECT *, CASE WHEN inclusion >= 1 THEN 0::DOUBLE
+  WHEN inclusion > 0 THEN u / (1 - u) / (inclusion / (1 - inclusion)) END AS odds FROM p),
 r AS (
- SELECT d.doc_id, d.size, t.source_size, t.target,
-  CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
-  sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id
-   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
- FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
- CAST(size * whole + CASE WHEN source_size > 0 AND target / source_size > whole
-   AND 2 * before + size <= 2 * (target - whole * source_size)
-  THEN size ELSE 0 END AS BIGINT) AS taken,
- CAST(whole + CASE WHEN source_size > 0 AND target / source_size > whole
-   AND 2 * before + size <= 2 * (target - whole * source_size)
-  THEN 1 ELSE 0 END AS BIGINT) AS copies
-FROM r
+ SELECT *, sum(CASE WHEN odds IS NOT NULL THEN size END) OVER (
+  PARTITION BY source ORDER BY odds NULLS LAST, draw, doc_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before FROM o),
+c AS (
+ SELECT *, whole + CASE WHEN odds IS NOT NULL AND 2 * before + size <= 2 * rest
+  THEN 1 ELSE 0 END AS copies FROM r)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken,
+ CAST(copies AS BIGINT) AS copies
+FROM c
 """)
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))

@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from math import floor
+from math import floor, inf
 
 import pytest
 
@@ -36,9 +36,21 @@ def brute_mix(rows):
     for s in order:
         ratio = target[s] / sizes[s] if sizes[s] else 0
         left, before = target[s] - floor(ratio) * sizes[s], 0
-        own = sorted((d for d in docs if d[1] == s), key=lambda d: (d[3], d[0] or -1, d[2]))
-        for d in own:
-            extra = ratio > floor(ratio) and 2 * before + d[2] <= 2 * left
+        own = [d for d in docs if d[1] == s]
+        # Certain sizes are taken out until the others are all below 1.
+        rest, words = [d[2] for d in own if d[2]], left
+        while rest and words / sum(n * n for n in rest) * max(rest) >= 1:
+            largest = max(rest)
+            words -= largest * rest.count(largest)
+            rest = [n for n in rest if n < largest]
+        scale = words / sum(n * n for n in rest) if rest else 0.0
+
+        def odds(d, scale=scale):
+            u, p = (d[3] + 0.5) / 16**13, scale * d[2]
+            return 0.0 if p >= 1 else u / (1 - u) / (p / (1 - p)) if p > 0 else inf
+
+        for d in sorted(own, key=lambda d: (odds(d), d[3], d[0] or -1, d[2])):
+            extra = odds(d) < inf and 2 * before + d[2] <= 2 * left
             before += d[2]
             out.append((d[0], d[2], sizes[s], target[s], d[2] * (floor(ratio) + extra)))
     return out
@@ -81,6 +93,18 @@ def test_taken_words_come_near_the_target(spark):
         assert all(r["taken"] <= 2 * r["size"] for r in own)
 
 
+def test_larger_documents_are_likelier(spark):
+    """Of documents that are not certain, inclusion follows the size."""
+    rows = [doc(i, "w " * (50 if i % 2 else 150), "b") for i in range(4000)]
+    rows += [doc(4000 + i, "w " * 300, "a") for i in range(2000)]
+    found = mixing.mix(spark.createDataFrame(rows, DOCS), share=0.5).filter("doc_id < 4000")
+    found = found.collect()
+    extra = {n: [r["copies"] for r in found if r["size"] == n] for n in (50, 150)}
+    rates = {n: sum(own) / len(own) for n, own in extra.items()}
+    assert 0 < rates[150] < 1
+    assert rates[150] == pytest.approx(3 * rates[50], rel=0.15)
+
+
 def test_documents_are_repeated_as_often_as_taken(spark, empty):
     df = spark.createDataFrame(many(), DOCS)
     mixed = mixing.mixed_documents(df)
