@@ -51,16 +51,14 @@ WORD_PRECISION = 0.8
 STEM_PRECISION = 0.95
 STEM_LENGTHS = (4, 5, 6)
 STEM_WORDS = 4
-MAX_ENTRIES = 5_000
 BASE_SCORE = 0.02
 # Bounds between the classes of hits, by the share of toxic documents among those with it.
 CLASSES = (0.6, 0.8, 0.9, 0.96)
 WINDOW = 6
 QUOTED, REPORTED = 0.5, 0.25
-# Words longer than this match nothing; the limit keeps the state cache small.
-LONGEST_WORD = 60
-# Words whose strength is remembered by a task.
-KNOWN_WORDS = 300_000
+# Words whose strength is remembered by a task, of at most so many letters each.
+KNOWN_WORDS = 100_000
+KNOWN_LETTERS = 60
 
 # Reporting verbs, second persons and quotation marks of the four languages.
 REPORTING = frozenset(
@@ -157,9 +155,6 @@ class Automaton:
 
     def match(self, text: str) -> tuple[str, int] | None:
         """The nearest entry and its edits; a beginning counts as no edit."""
-        whole = len(text) <= LONGEST_WORD
-        if not whole:
-            text = text[: max(STEM_LENGTHS)]
         at = 0
         for char in text:
             if self.stem_at[at] is not None:
@@ -171,7 +166,7 @@ class Automaton:
             if after < 0:
                 return None
             at = after
-        found = [self.word_at[at]] if whole and self.word_at[at] else []
+        found = [self.word_at[at]] if self.word_at[at] else []
         if self.stem_at[at] is not None:
             found.append((0, self.stem_at[at]))
         if not found:
@@ -214,7 +209,8 @@ class Lexicon:
                 value = self.words.get(found[0]) or self.stems[found[0]]
             if len(self.known) > KNOWN_WORDS:
                 self.known.clear()
-            self.known[word] = value
+            if len(word) <= KNOWN_LETTERS:
+                self.known[word] = value
         return value
 
 
@@ -401,7 +397,8 @@ def _choose(counts: DataFrame, base: float) -> Lexicon:
 
     def entries(rows: DataFrame, key: str, precision: float) -> list:
         good = rows.filter((F.col("t") > 0) & (part >= precision) & sure)
-        return good.orderBy(F.desc("t"), key).limit(MAX_ENTRIES).collect()
+        # As many as the bounded sample brings forth.
+        return good.orderBy(F.desc("t"), key).collect()
 
     words = {
         r["word"]: (r["t"] + base) / (r["n"] + 1) for r in entries(counts, "word", WORD_PRECISION)
@@ -427,14 +424,15 @@ def _choose(counts: DataFrame, base: float) -> Lexicon:
             yield batch.filter(pa.array(near, pa.bool_()))
 
     near = counts.select("word", "t", "n").mapInArrow(forms, "word string, t long, n long")
-    # A few forms per entry lie within one or two edits; the most frequent ones are kept.
-    rows = near.orderBy(F.desc("n"), "word").limit(MAX_ENTRIES * 4).collect()
-    rare_t = rare_n = 0
-    for r in rows:
-        if r["n"] >= 3:
+    often = F.col("n") >= 3
+    near = near.persist()
+    try:
+        for r in near.filter(often).collect():
             lexicon.forms[r["word"]] = (r["t"] + base) / (r["n"] + 1)
-        else:
-            rare_t, rare_n = rare_t + r["t"], rare_n + r["n"]
+        rare = near.filter(~often).agg(F.sum("t"), F.sum("n")).first()
+    finally:
+        near.unpersist()
+    rare_t, rare_n = rare[0] or 0, rare[1] or 0
     # Forms that are as toxic as any document tell nothing.
     lexicon.forms = {w: p if p >= 2 * base else 0.0 for w, p in lexicon.forms.items()}
     lexicon.rare_form = (rare_t + 1) / (rare_n + 2)
