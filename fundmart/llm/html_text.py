@@ -8,10 +8,15 @@ second pass an undecided block inherits the label of the nearest block that the
 decided by its words, within the same article; on a tie the good one counts. Without any
 such neighbour it stays in, as it has no sign of being boilerplate.
 
-Where a page marks its article (article or main), only blocks inside count as text.
+Where a page marks its article (article or main), only blocks inside count as text. An article
+is never dropped for its own names or those of what stands around it, comments excepted; a
+form around all of a page's text is no form. Names are read as whole words of a class, id or
+role, which count by their last part (``site-footer``), unless they tell of something else
+(``has-sidebar``) or stand on the frame of a page (``page sidebar-right``).
 
 Defined results: a null or empty page gives an empty text, and so does a page of
-boilerplate only; broken markup is read as far as it goes; ``n_chars`` counts code points;
+boilerplate only; broken markup is read as far as it goes; very long pages are read whole, in
+time in proportion to their length; ``n_chars`` counts code points;
 repeated rows give repeated results; an empty table gives no rows; extra columns are
 ignored.
 """
@@ -77,6 +82,13 @@ BOILERPLATE_NAMES = frozenset(
 TEXT_NAMES = frozenset("article articlebody body content entry main post story text".split())
 COMMENT_NAMES = frozenset("comment commentlist comments disqus replies reply".split())
 PAGE_TAGS = frozenset(("html", "body"))
+# First parts of names that tell of something else, last parts that tell where a
+# thing stands, and names of the frame of a page.
+OTHERS = frozenset("has have no not with without show hide is".split())
+SIDES = frozenset("left right top bottom primary secondary main first second list area".split())
+FRAMES = frozenset("page site wrapper wrap container layout body app root".split())
+# Boilerplate that an article inside does not undo.
+FIRM_TAGS = frozenset("aside dialog footer menu nav".split())
 OPEN_ENDED = frozenset(("p", "li", "dt", "dd", "option", "tr", "td", "th"))
 
 SCHEMA = "page_id {id}, url {url}, text string, n_chars long"
@@ -88,6 +100,7 @@ _TOKEN = re.compile(r"[^\W\d_]+")
 class Block:
     article: int  # 0: outside any
     boilerplate: bool
+    form: bool
     parts: list[str] = field(default_factory=list)
     link_chars: int = 0
     text: str = ""
@@ -99,9 +112,16 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # Open tags with what they add: (tag, boilerplate, article number or 0, dropped).
-        self.open: list[tuple[str, bool, int, bool]] = []
-        self.boilerplate = self.dropped = self.links = self.articles = self.breaks = 0
+        # Open tags with what they add: (tag, kind of boilerplate, article number or 0, dropped).
+        self.open: list[tuple[str, int, int, bool]] = []
+        # Where each tag, the last block and the last container are open.
+        self.places: dict[str, list[int]] = {}
+        self.block_places: list[int] = []
+        self.container_places: list[int] = []
+        # Open boilerplate by kind: none, by name, firm, forms.
+        self.kinds = [0, 0, 0, 0]
+        self.outside: list[list[int]] = []
+        self.dropped = self.links = self.articles = self.breaks = 0
         self.article = [0]
         self.now: Block | None = None
 
@@ -110,30 +130,46 @@ class _Blocks(HTMLParser):
         self.breaks = 0
 
     def _names(self, attrs) -> set[str]:
+        """Whole names, and the boilerplate that a name of several parts tells of."""
         names: set[str] = set()
         for key, value in attrs:
             if key in ("class", "id", "role", "itemprop") and value:
-                names.update(_NAME.findall(value.lower()))
+                names.update(value.lower().split())
+        framed = not names.isdisjoint(FRAMES)
+        for name in list(names):
+            parts = _NAME.findall(name)
+            if len(parts) < 2 or parts[0] in OTHERS:
+                continue
+            names.add(parts[-1])
+            if not framed and (parts[-1] in SIDES or parts[-1].isdigit()):
+                names.add(parts[0])
         return names
 
-    def _is_boilerplate(self, tag: str, attrs) -> bool:
+    def _is_boilerplate(self, tag: str, attrs) -> int:
+        """0: no; 1: by its names; 2: firmly; 3: a form."""
         if tag in PAGE_TAGS:
-            return False
-        if tag in BOILERPLATE_TAGS or (tag == "header" and not self.article[-1]):
-            return True
+            return 0
+        names = self._names(attrs)
+        if names & COMMENT_NAMES:
+            return 2
         found = {k: (v or "").lower() for k, v in attrs}
         if "hidden" in found or found.get("aria-hidden") == "true":
-            return True
+            return 2
         if "display:none" in found.get("style", "").replace(" ", ""):
-            return True
-        names = self._names(attrs)
+            return 2
+        if tag in ("article", "main"):
+            return 0
+        if tag in FIRM_TAGS:
+            return 2
+        if tag == "form":
+            return 3
+        if tag == "header" and not self.article[-1]:
+            return 1
         bad = names & BOILERPLATE_NAMES
         if self.article[-1]:
             # An article's own header or title bar is part of it.
             bad -= {"banner", "header", "masthead"}
-        if tag not in ("article", "main") and bad & COMMENT_NAMES:
-            return True
-        return bool(bad) and not names & TEXT_NAMES
+        return 1 if bad and not names & TEXT_NAMES else 0
 
     def handle_starttag(self, tag, attrs) -> None:
         if tag == "br":
@@ -149,25 +185,31 @@ class _Blocks(HTMLParser):
             self.links = 1
         if tag in VOID_TAGS:
             return
-        if tag in OPEN_ENDED:
+        if tag in OPEN_ENDED and self.places.get(tag):
             # A new one ends the one before it, unless a container stands between.
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == tag:
-                    self._pop(i)
-                    break
-                if self.open[i][0] in BLOCK_TAGS and self.open[i][0] not in OPEN_ENDED:
-                    break
-        boilerplate, dropped = self._is_boilerplate(tag, attrs), tag in DROPPED_TAGS
+            at = self.places[tag][-1]
+            if not self.container_places or self.container_places[-1] < at:
+                self._pop(at)
+        kind, dropped = self._is_boilerplate(tag, attrs), tag in DROPPED_TAGS
         article = 0
-        if tag in ("article", "main") and not boilerplate and not self.article[-1]:
+        if tag in ("article", "main") and not kind and not self.article[-1]:
             self.articles += 1
             article = self.articles
             self.article.append(article)
-        self.boilerplate += boilerplate
+            # Only firm boilerplate around an article counts inside.
+            self.outside.append(self.kinds)
+            self.kinds = [0, 0, self.kinds[2], 0]
+        self.kinds[kind] += 1
         self.dropped += dropped
-        if boilerplate:
+        if kind:
             self._cut()
-        self.open.append((tag, boilerplate, article, dropped))
+        at = len(self.open)
+        self.open.append((tag, kind, article, dropped))
+        self.places.setdefault(tag, []).append(at)
+        if tag in BLOCK_TAGS:
+            self.block_places.append(at)
+            if tag not in OPEN_ENDED:
+                self.container_places.append(at)
 
     def handle_startendtag(self, tag, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -175,27 +217,31 @@ class _Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def _pop(self, to: int) -> None:
-        for _, boilerplate, article, dropped in self.open[to:]:
-            self.boilerplate -= boilerplate
+        while len(self.open) > to:
+            tag, kind, article, dropped = self.open.pop()
+            self.places[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.block_places.pop()
+                if tag not in OPEN_ENDED:
+                    self.container_places.pop()
+            self.kinds[kind] -= 1
             self.dropped -= dropped
             if article:
                 self.article.pop()
-            if boilerplate:
+                self.kinds = self.outside.pop()
+            if kind:
                 self._cut()
-        del self.open[to:]
 
     def handle_endtag(self, tag) -> None:
         if tag in BLOCK_TAGS:
             self._cut()
         if tag == "a" or tag in BLOCK_TAGS:
             self.links = 0
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._pop(i)
-                return
-            # An inline end tag does not reach beyond the block that it stands in.
-            if tag not in BLOCK_TAGS and self.open[i][0] in BLOCK_TAGS:
-                return
+        places = self.places.get(tag)
+        # An inline end tag does not reach beyond the block that it stands in.
+        inside = tag in BLOCK_TAGS or not self.block_places
+        if places and (inside or self.block_places[-1] < places[-1]):
+            self._pop(places[-1])
 
     def handle_data(self, data) -> None:
         if self.dropped:
@@ -203,7 +249,7 @@ class _Blocks(HTMLParser):
         if self.now is None:
             if not data.strip():
                 return
-            self.now = Block(self.article[-1], self.boilerplate > 0)
+            self.now = Block(self.article[-1], any(self.kinds[1:3]), self.kinds[3] > 0)
             self.blocks.append(self.now)
         if data.strip():
             self.breaks = 0
@@ -248,13 +294,18 @@ def _nearest(labels: list[str]) -> list[bool]:
 def extract(html: str) -> str:
     """The main text of a page: its blocks in page order, one per line."""
     parser = _Blocks()
-    parser.feed(html)
+    # What no tag can end behind the last bracket is no tag.
+    end = html.rfind(">") + 1
+    parser.feed(html[:end])
+    parser.feed(html[end:].replace("<", "&lt;"))
     parser.close()
     blocks = []
     for block in parser.blocks:
         block.text = " ".join("".join(block.parts).split())
         if block.text and not block.boilerplate:
             blocks.append(block)
+    outside = [b for b in blocks if not b.form]
+    blocks = outside or blocks
     if any(b.article for b in blocks):
         blocks = [b for b in blocks if b.article]
     kept = []
