@@ -3,8 +3,9 @@
 A text is read as lower-case words joined by single spaces. A notice may be found with a
 few edits, ``k``; cut into ``k + 1`` pieces, at least one piece must then stand there
 unchanged (pigeonhole). All pieces of all notices are sought at once as exact seeds, each
-seed points to the place where its notice would lie, and bounded-error matching of the
-regex library verifies that place by itself and reports the span with the fewest edits.
+seed points to the place where its notice would lie; if an edit bound says that it may be
+there, bounded-error matching of the regex library verifies that place by itself and reports
+the span with the fewest edits.
 Where notices overlap, the one with the smaller share of edits wins; the places of the
 others are searched again beside it. No seed, place or match is left out, however many
 there are.
@@ -12,8 +13,8 @@ there are.
 The base phrases are found exactly, as words that stand consecutively.
 
 Defined results: a null or empty text has no words and no labels; ``first_word`` and
-``last_word`` are null without a base place; repeated rows give repeated results; an empty
-table gives no rows; extra columns are ignored.
+``last_word`` are null without a base place; very long texts are scanned whole; repeated rows
+give repeated results; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,6 +88,34 @@ def seeds(notice: str, edits: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
+class EditBound:
+    """Whether some part of a text is within so many edits of a notice.
+
+    The columns of the edit matrix are kept as bits of two whole numbers (Myers), which is far
+    cheaper than a search for the best match.
+    """
+
+    def __init__(self, notice: str, edits: int) -> None:
+        self.size, self.edits, self.places = len(notice), edits, {}
+        for i, char in enumerate(notice):
+            self.places[char] = self.places.get(char, 0) | 1 << i
+
+    def holds(self, text: str, a: int, b: int) -> bool:
+        every, last = (1 << self.size) - 1, 1 << (self.size - 1)
+        more, less, distance = every, 0, self.size
+        for i in range(a, b):
+            equal = self.places.get(text[i], 0)
+            cross = equal | less
+            level = (((equal & more) + more) ^ more) | equal
+            up, down = less | (every & ~(level | more)), more & level
+            distance += 1 if up & last else -1 if down & last else 0
+            if distance <= self.edits:
+                return True
+            up, down = (up << 1) & every, (down << 1) & every
+            more, less = down | (every & ~(cross | up)), up & cross
+        return False
+
+
 class Scanner:
     """Seeds of all notices in one automaton, and a bounded-error pattern per notice."""
 
@@ -101,6 +130,7 @@ class Scanner:
             regex.compile(f"(?b)(?:{regex.escape(text)}){{e<={k}}}")
             for (_, text), k in zip(notices, self.edits, strict=True)
         ]
+        self.bounds = [EditBound(text, k) for (_, text), k in zip(notices, self.edits, strict=True)]
         at_seed: dict[str, list[tuple[int, int]]] = {}
         for i, ((_, text), k) in enumerate(zip(notices, self.edits, strict=True)):
             for offset, piece in seeds(text, k):
@@ -154,7 +184,7 @@ class Scanner:
     def _search(self, heap: list[tuple], joined: str, i: int, a: int, b: int) -> None:
         """Put the best match of notice ``i`` between ``a`` and ``b``, if any, on the heap."""
         label, text = self.notices[i]
-        if b - a < len(text) - self.edits[i]:
+        if b - a < len(text) - self.edits[i] or not self.bounds[i].holds(joined, a, b):
             return
         found = self.patterns[i].search(joined, a, b)
         if found and found.end() > found.start():
