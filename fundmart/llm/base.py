@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,8 +56,23 @@ def held_out(id_col: str, parts: int) -> Column:
     return F.coalesce(remainder == 2, F.lit(False))
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
 def _scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/fundmart-llm-{spark.sparkContext.applicationId}"
+    own = f"{shared_folder(spark)}/fundmart-llm-{spark.sparkContext.applicationId}"
+    return _FOLDER.get() or own
+
+
+@contextmanager
+def own_folder(spark: SparkSession) -> Iterator[Callable[[], None]]:
+    """Tables written inside go to a folder of their own; the call that it gives removes them."""
+    folder = f"{_scratch(spark)}/{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield lambda: remove_folder(spark, folder)
+    finally:
+        _FOLDER.reset(token)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

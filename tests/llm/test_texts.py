@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -426,3 +427,90 @@ def test_rejected_documents_go(spark, lexicon, edge):
     assert kept.columns == edge.columns
     ids = {r["doc_id"] for r in kept.collect()}
     assert not any(i % 5 == 0 for i in ids) and len(ids) == 480
+
+
+# Slow pages and texts, and articles inside other things
+
+
+PROSE = "This is the text of the article and it has many of the words that a text has to have. " * 2
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="has-sidebar"><article><p>%s</p></article></div>',
+        '<main class="no-sidebar"><p>%s</p></main>',
+        '<div class="page sidebar-right"><div class="post"><p>%s</p></div></div>',
+        '<div id="search-page"><p>%s</p></div>',
+        '<div class="page-header-fixed"><article><p>%s</p></article></div>',
+        '<article class="featured promo"><p>%s</p></article>',
+        '<form id="aspnetForm"><div><p>%s</p></div></form>',
+    ],
+)
+def test_article_is_not_dropped_for_its_wrapper(page):
+    others = '<div class="site-footer"><p>%s</p></div><div class="sidebar-right"><p>%s</p></div>'
+    comment = '<div class="comments"><article class="comment"><p>%s</p></article></div>'
+    html = (page + others + comment) % ((PROSE,) * 4)
+    assert html_text.extract(html) == PROSE.strip()
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<b>" * 20_000 + "</i>" * 20_000,
+        "<i><div>" + "<b>" * 20_000 + "</i>" * 20_000,
+        "<a " * 20_000,
+        "<a " * 20_000 + ">",
+        "<li>" * 20_000 + "</b>" * 20_000,
+        "<!--" * 20_000,
+        "<a href='" * 20_000 + ">",
+    ],
+)
+def test_broken_pages_take_time_in_proportion(html):
+    start = time.process_time()
+    html_text.extract(html)
+    assert time.process_time() - start < 5
+
+
+def test_edit_bound_equals_brute_force():
+    rnd = random.Random(4)
+
+    def distance(notice, text):
+        """Least edits between the notice and any part of the text."""
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(notice, 1):
+            new = [i]
+            for j, d in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return min(row)
+
+    for _ in range(300):
+        notice = "".join(rnd.choice("ab ") for _ in range(rnd.randint(1, 80)))
+        text = "".join(rnd.choice("ab ") for _ in range(rnd.randint(1, 100)))
+        if rnd.random() < 0.5:
+            text = text[:20] + notice[: rnd.randint(0, 80)] + text[20:]
+        least = distance(notice, text)
+        for edits in {max(least - 1, 0), least, least + 1}:
+            found = licenses.EditBound(notice, edits).holds(text, 0, len(text))
+            assert found == (least <= edits)
+
+
+def test_repeated_pieces_of_a_notice_are_quick():
+    start = time.process_time()
+    result = licenses.Scanner().scan("permission to use copy modify " * 2000)
+    assert time.process_time() - start < 5 and result[5] == ""
+
+
+def test_addresses_of_very_many_digits():
+    found = private_data.pattern_spans("0" * 5000 + ".1.1.1 and 1.2.3." + "0" * 4400 + "1")
+    assert [f for f in found if f[2] == "ip"] == [(0, 5006, "ip"), (5011, 9418, "ip")]
+    assert private_data.pattern_spans("1.2.3." + "9" * 5000) == []
+
+
+def test_words_of_any_length_meet_the_automaton():
+    entry = "x" * 80 + "y"
+    automaton = toxicity.Automaton({entry: 1.0}, {})
+    assert automaton.match(entry) == (entry, 0)
+    assert automaton.match(entry.replace("y", "z"))[1] == 1
+    assert automaton.match("q" * 100_000) is None
