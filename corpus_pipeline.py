@@ -3,14 +3,21 @@
 ``STAGES`` are (name, function) pairs; a function takes (spark, docs, folder) and returns
 a DataFrame. All but the last return the columns of documents. ``run`` writes what each
 stage returns to the shared folder and reads it back as the next one's documents, so a
-lost executor costs no more than the stage it worked on.
+lost executor costs no more than the stage it worked on. The tables of a stage are removed
+once the next one is written; those of the last two stay until ``clear_written``, as the
+result is lazy.
+
+Defined results: a document without a text passes as one with an empty text, and keeps its
+null up to the last stage; of a group a document with an id stays before one without; very
+long texts go through whole; of repeated rows one stays; extra columns are passed on; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundmart.llm.base import table, written
+from fundmart.llm.base import own_folder, table, written
 from fundmart.llm.exact_dedup import keep_one_copy
 from fundmart.llm.mixing import mixed_documents
 from fundmart.llm.sentencepiece import encode_decode
@@ -56,7 +63,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs, previous = table(spark, folder, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, folder), "stage-" + name.split()[0].lower())
+        with own_folder(spark) as remove_own:
+            result = stage(spark, docs, folder)
+        with own_folder(spark) as remove:
+            docs = written(result, "stage-" + name.split()[0].lower())
+        # What the stage wrote on its way, and what it read, has served.
+        remove_own()
+        if previous is not None:
+            previous()
+        previous = remove
     return STAGES[-1][1](spark, docs, folder)
