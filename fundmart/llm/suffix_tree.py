@@ -68,11 +68,11 @@ BEGUN = 1 << 62
 SALTS = 64
 # Contexts from the beginning of a word have at most so many bytes of it.
 LONGEST = 24
-COMMON_SHARE = 1e-5
+COMMON_SHARE = 2e-6
 # Longer words are never sent to every task, however common.
 COMMON_BYTES = 64
 # Texts are taken together until they have so many bytes.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 # Finding a text's other keys takes more memory a byte.
 KEY_BLOCK_BYTES = 1 << 18
 # White space, so no word contains it.
@@ -656,16 +656,15 @@ def score_corpus(
     common = words.filter(
         (F.col("c") >= COMMON_SHARE * n_tokens) & (F.octet_length("word") <= COMMON_BYTES)
     )
-    known = {bytes(r["word"]): r["c"] for r in common.toLocalIterator()}
+    known = {bytes(r["word"]): math.log10(r["c"] + 1) for r in common.toLocalIterator()}
     # Both have a proven bound, see above.
     sent = spark.sparkContext.broadcast((model, known))
     weight = math.log10(n_tokens + n_kinds + 1)
     end_part = math.log10(texts + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = sent.value
+        model, logs = sent.value
         scorer = Tree(*model)
-        logs = {w: math.log10(c + 1) for w, c in known.items()}
         row = TaskContext.get().partitionId() << 40
         # A document's place in its task names it until its parts are added up.
         entries = (
@@ -675,34 +674,37 @@ def score_corpus(
         )
         for block in _blocks(entries, BLOCK_BYTES if whole else KEY_BLOCK_BYTES):
             scores, keys = scorer.score([b[-1] for b in block])
-            out = []
+            out, rare, numbers, bounds = [], [], [], [0]
             for (doc_id, is_held, own, _), score in zip(block, scores.tolist(), strict=True):
                 counted = Counter(own)
-                base, n_known, rare = end_part, int(texts > 0), []
+                base, n_known = end_part, int(texts > 0)
                 for word, k in counted.items():
                     value = logs.get(word)
                     if value is None:
-                        rare.append({"word": word, "k": k})
+                        rare.append(word)
+                        numbers.append(k)
                     else:
                         base += k * value
                         n_known += k
                 n = len(own) + 1
-                out.append((row, doc_id, is_held, n, n_known, base - n * weight, score, rare))
+                out.append((row, doc_id, is_held, n, n_known, base - n * weight, score))
+                bounds.append(len(rare))
                 row += 1
             columns = list(zip(*out, strict=True))
             arrays = [
                 pa.array([x.as_py() for x in c] if k in (1, 2) else c, t)
-                for k, (c, t) in enumerate(zip(columns, types[:-1], strict=True))
+                for k, (c, t) in enumerate(zip(columns, types, strict=True))
             ]
-            yield pa.RecordBatch.from_arrays([*arrays, keys], names)
+            pairs = [pa.array(rare, pa.binary()), pa.array(numbers, pa.int64())]
+            pairs = pa.StructArray.from_arrays(pairs, ["word", "k"])
+            rare_lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([*arrays, rare_lists, keys], names)
 
     names = [
         "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "keys"
     ]
     types = [
-        pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-        pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())])),
-        pa.list_(pa.struct([("code", pa.int64()), ("begin", pa.int64()), ("k", pa.int64())])),
+        pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()
     ]
     rows = docs.select(
         named(id_col).cast("long").alias("doc_id"),
