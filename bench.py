@@ -41,6 +41,7 @@ HEADLINE = [
     "fact_base",
     "funnel",
     "reasons",
+    "fact_reasons",
     "share_per_group",
     "transitions",
     "history",
