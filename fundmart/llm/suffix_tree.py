@@ -37,7 +37,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ LEAST_COUNT = 4
 # symbol are two numbers.
 TREE_BYTES = 96 << 20
 PAIR_BYTES = CONTEXT_BYTES = 16
-# Symbols in context whose probabilities a task remembers.
+# Symbols in context that a task remembers, of each of the two kinds.
 KNOWN_CODES = 500_000
 # Contexts are sent by classes of their count, so many for each doubling.
 CLASSES = 4
@@ -71,10 +72,10 @@ LONGEST = 24
 COMMON_SHARE = 2e-6
 # Longer words are never sent to every task, however common.
 COMMON_BYTES = 64
-# Texts are taken together until they have so many bytes.
-BLOCK_BYTES = 1 << 20
-# Finding a text's other keys takes more memory a byte.
-KEY_BLOCK_BYTES = 1 << 18
+# Texts are taken together until they have so many bytes: larger blocks combine more counts,
+# smaller ones keep what scoring sorts near the processor.
+COUNT_BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
 # White space, so no word contains it.
 END = 0x0A
 SPACE = 0x20
@@ -110,7 +111,7 @@ def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarra
     return codes[keep], np.cumsum(lengths)
 
 
-def _blocks(rows: Iterator[tuple], most: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
+def _blocks(rows: Iterator[tuple], most: int) -> Iterator[list[tuple]]:
     """Rows (last item: bytes) in groups of about ``most`` bytes."""
     block, size = [], 0
     for row in rows:
@@ -129,7 +130,7 @@ def count_corpus(docs: DataFrame, folds: int, id_col: str, text_col: str, depth:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (normalised(t.as_py()) for batch in batches for t in batch.column(0))
-        for block in _blocks(texts):
+        for block in _blocks(texts, COUNT_BLOCK_BYTES):
             words: Counter[bytes] = Counter()
             for own, _ in block:
                 words.update(own)
@@ -285,12 +286,20 @@ def _word_contexts(words: DataFrame, contexts: DataFrame, depth: int) -> DataFra
     return written(_begin_hashes(kept.drop("above")), "tree-kept-words")
 
 
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return tuple(
+            np.cumprod(np.full(size, step, np.uint64), dtype=np.uint64) for step in (STEP, BACK)
+        )
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each byte: a hash of what its word has before it, and how many bytes that is."""
     n = len(data)
+    # Blocks are about equally long, so the powers of one serve the others.
+    powers, inverse = _powers(1 << max(n, BLOCK_BYTES).bit_length())
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(n + 1, STEP, np.uint64), dtype=np.uint64)
-        inverse = np.cumprod(np.full(n + 1, BACK, np.uint64), dtype=np.uint64)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
         at = np.arange(n)
@@ -338,6 +347,40 @@ def _filter_bits(length: int | np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mixed >> np.uint64(64 - FILTER_BITS)
 
 
+class Memory:
+    """What ``find`` gives for sorted codes, most of which were asked for before."""
+
+    def __init__(self, find: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, ...]]) -> None:
+        self.find, self.codes, self.values = find, np.zeros(0, np.uint64), ()
+
+    def __call__(self, codes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``others`` has one item more for each code, which ``find`` needs too."""
+        if len(self.codes) + len(codes) > 2 * KNOWN_CODES:
+            self.codes = self.codes[:0]
+            self.values = tuple(x[:0] for x in self.values)
+        place = np.searchsorted(self.codes, codes)
+        new = np.ones(len(codes), bool)
+        inside = place < len(self.codes)
+        new[inside] = self.codes[place[inside]] != codes[inside]
+        if new.any() or not self.values:
+            found = self.find(codes[new], others[new])
+            old = self.values or tuple(x[:0] for x in found)
+            slots = place[new] + np.arange(np.count_nonzero(new))
+            stays = np.ones(len(self.codes) + len(slots), bool)
+            stays[slots] = False
+
+            def merged(before: np.ndarray, added: np.ndarray) -> np.ndarray:
+                both = np.empty(len(stays), added.dtype)
+                both[stays], both[slots] = before, added
+                return both
+
+            self.codes = merged(self.codes, codes[new])
+            self.values = tuple(merged(x, y) for x, y in zip(old, found, strict=True))
+            # Each code has moved behind the new ones before it.
+            place += np.cumsum(new) - new
+        return tuple(x[place] for x in self.values)
+
+
 class Tree:
     """Retained contexts per length, sorted, with their distributions as flat arrays.
 
@@ -349,8 +392,8 @@ class Tree:
     ) -> None:
         # One level per length up to the depth, and one for all contexts that are longer.
         self.depth, self.root, self.levels, self.others = depth, root, levels, others
-        # Codes that were asked for before, sorted, with what was found.
-        self.known = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, bool)
+        self.within = Memory(lambda codes, _: self.probabilities(codes))
+        self.beyond = Memory(self._changes)
 
     @classmethod
     def of(cls, stored: DataFrame, depth: int, others: np.ndarray | None = None) -> Tree:
@@ -382,24 +425,6 @@ class Tree:
         cells = self.others[(bits >> np.uint64(6)).astype(np.int64)]
         return (cells >> (bits & np.uint64(63))) & np.uint64(1) == 1
 
-    def remembered(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``probabilities`` of sorted codes, of which most were asked for before."""
-        known, p, left_open = self.known
-        if len(known) + len(codes) > 2 * KNOWN_CODES:
-            known, p, left_open = known[:0], p[:0], left_open[:0]
-        place = np.searchsorted(known, codes)
-        new = np.ones(len(codes), bool)
-        inside = place < len(known)
-        new[inside] = known[place[inside]] != codes[inside]
-        if new.any():
-            found = self.probabilities(codes[new])
-            at = place[new]
-            known = np.insert(known, at, codes[new])
-            p, left_open = (np.insert(x, at, y) for x, y in zip((p, left_open), found, strict=True))
-            place = np.searchsorted(known, codes)
-        self.known = known, p, left_open
-        return p[place], left_open[place]
-
     def probabilities(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probability of the symbol in each code, from its longest suffix within the depth, and
         whether that suffix may not be here."""
@@ -418,23 +443,32 @@ class Tree:
             p[rows] = p[rows] * left[place] + np.where(there, own[at], 0.0)
         return p, left_open
 
-    def longer(self, p: np.ndarray, left_open: np.ndarray, data: np.ndarray) -> None:
-        """Put the contexts that reach back to the word's beginning on the probabilities."""
+    def _changes(
+        self, codes: np.ndarray, hashes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the context with each hash leaves of its suffix's probability and what it adds,
+        for the symbol in each (pair) code, and whether the context may not be here."""
         contexts, left, pairs, own = self.levels[self.depth]
-        hashes, before = word_hashes(data)
-        rows = np.flatnonzero((before >= self.depth) & (before <= LONGEST))
-        # Words repeat: each different symbol in context is looked up once.
-        mixed = _pair_code(hashes[rows], data[rows])
-        different, first, inverse = np.unique(mixed, return_index=True, return_inverse=True)
-        wanted = hashes[rows[first]]
-        place, known = _find(contexts, wanted)
+        place, known = _find(contexts, hashes)
+        at, there = _find(pairs, codes)
         elsewhere = ~known
-        elsewhere[~known] = self._elsewhere(self.depth + 1, wanted[~known])
-        at, there = _find(pairs, different)
-        keeps, adds = np.ones(len(different)), np.zeros(len(different))
+        elsewhere[~known] = self._elsewhere(self.depth + 1, hashes[~known])
+        keeps, adds = np.ones(len(codes)), np.zeros(len(codes))
         keeps[known] = left[place[known]]
         here = known & there
         adds[here] = own[at[here]]
+        return keeps, adds, elsewhere
+
+    def longer(self, p: np.ndarray, left_open: np.ndarray, data: np.ndarray) -> None:
+        """Put the contexts that reach back to the word's beginning on the probabilities."""
+        hashes, before = word_hashes(data)
+        rows = np.flatnonzero((before >= self.depth) & (before <= LONGEST))
+        hashes = hashes[rows]
+        # Words repeat: each different symbol in context is looked up once.
+        different, inverse = np.unique(_pair_code(hashes, data[rows]), return_inverse=True)
+        wanted = np.zeros(len(different), np.uint64)
+        wanted[inverse] = hashes
+        keeps, adds, elsewhere = self.beyond(different, wanted)
         left_open[rows] |= elsewhere[inverse]
         p[rows] = p[rows] * keeps[inverse] + adds[inverse]
 
@@ -444,7 +478,7 @@ class Tree:
         codes, ends = grams(texts, self.depth)
         data = np.frombuffer(b"".join(texts), np.uint8)
         different, inverse = np.unique(codes, return_inverse=True)
-        p, left_open = (x[inverse] for x in self.remembered(different))
+        p, left_open = (x[inverse] for x in self.within(different, different))
         self.longer(p, left_open, data)
         starts = np.concatenate(([0], ends[:-1]))
         logs = np.where(left_open, 0.0, np.log10(p))
@@ -672,7 +706,7 @@ def score_corpus(
             for batch in batches
             for i in range(batch.num_rows)
         )
-        for block in _blocks(entries, BLOCK_BYTES if whole else KEY_BLOCK_BYTES):
+        for block in _blocks(entries, BLOCK_BYTES):
             scores, keys = scorer.score([b[-1] for b in block])
             out, rare, numbers, bounds = [], [], [], [0]
             for (doc_id, is_held, own, _), score in zip(block, scores.tolist(), strict=True):

@@ -202,3 +202,22 @@ def test_model_beats_word_counts_on_held_out_texts(spark):
     found = suffix_tree.score_corpus(spark.createDataFrame(texts(), DOCS)).collect()
     held = [r for r in found if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_memory_gives_what_was_found(monkeypatch):
+    monkeypatch.setattr(suffix_tree, "KNOWN_CODES", 150)
+    asked = []
+
+    def find(codes, others):
+        asked.append(len(codes))
+        return codes * np.uint64(3) + others, codes % np.uint64(2) == 1
+
+    memory, rng = suffix_tree.Memory(find), np.random.default_rng(1)
+    # Batches that overlap, an empty one, and one beyond what may be remembered.
+    for size in (0, 5, 100, 100, 100, 250, 100, 0):
+        codes = np.unique(rng.integers(0, 400, size).astype(np.uint64))
+        tripled, odd = memory(codes, codes + np.uint64(7))
+        assert tripled.tolist() == [4 * c + 7 for c in codes.tolist()]
+        assert odd.tolist() == [c % 2 == 1 for c in codes.tolist()]
+        assert (np.diff(memory.codes.astype(np.int64)) > 0).all()
+    assert sum(asked) < 5 + 4 * 100 + 250
