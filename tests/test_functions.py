@@ -101,7 +101,7 @@ def test_labels_and_assessment(spark):
 
 @pytest.mark.parametrize("key", [TEST_KEY.encode(), b"s" * 64, b"long" * 40])
 def test_pseudonym_equals_the_standard(spark, key):
-    values = ["012345678", "531904462", "é"]
+    values = ["012345678", "246813577", "é"]
     df = spark.createDataFrame([(v,) for v in [*values, "", None]], "x string")
     got = [r[0] for r in df.select(p.pseudonym(F.col("x"), key)).collect()]
     expected = [hmac.new(key, v.encode(), hashlib.sha256).hexdigest() for v in values]

@@ -24,9 +24,10 @@ from fundmart.sources.records import route
 
 from .conftest import (
     ANALYSIS,
-    BRD_OWN,
     HISTORY,
     HISTORY_NAME,
+    LAWYER_ELSEWHERE,
+    NURSE,
     PROVISIONAL_NAME,
     TEST_KEY,
     VLP,
@@ -38,8 +39,8 @@ from .conftest import (
 KEY = TEST_KEY.encode()
 
 
-def _name(day: int, brin: str = "99XX", year: int = 2025) -> str:
-    return f"VLPBEK_{year}_202401{day:02d}_{brin}.csv"
+def _name(day: int, brin: str = "27KM", year: int = 2026) -> str:
+    return f"VLPBEK_{year}_202503{day:02d}_{brin}.csv"
 
 
 @pytest.fixture(scope="module")
@@ -50,30 +51,30 @@ def broken(spark, tmp_path_factory):
     files = {
         _name(1): ANALYSIS,
         _name(2): [VLP, "", "XYZ|x", "XYZ|y", *ANALYSIS[1:]],
-        _name(3): changed(ANALYSIS, BRD_OWN, BRD_OWN + "|| extra"),
-        _name(4): changed(ANALYSIS, "SLR|1|3|1", "SLR|1|4|x"),
-        _name(5): changed(ANALYSIS, "LAAG|50982|HBO-BA|B|20230901|20240831|J|S|VT|20230915|12|TECHNIEK|BEKOSTIGD|N|B|N|J|J", "LAAG||HBO-BA|B|20230901|20240831|J|S|VT|20230915|12|TECHNIEK|BEKOSTIGD|N|B|N|J|J"),
-        _name(6): changed(ANALYSIS, "N|na,ti", "N|na,QQ"),
+        _name(3): changed(ANALYSIS, NURSE, NURSE + "|| extra"),
+        _name(4): changed(ANALYSIS, "SLR|2|5|2", "SLR|2|6|x"),
+        _name(5): changed(ANALYSIS, "|39255|HBO-MA|M|2024", "||HBO-MA|M|2024"),
+        _name(6): changed(ANALYSIS, "nr,oc,nl", "nr,QQ"),
         _name(7, "00AA"): ANALYSIS,
-        _name(8, year=2024): ANALYSIS,
+        _name(8, year=2025): ANALYSIS,
         _name(9): ANALYSIS[1:],
-        _name(11): changed(ANALYSIS, BRD_OWN, BRD_OWN.replace("20230901", "20230000")),
+        _name(11): changed(ANALYSIS, NURSE, NURSE.replace("20240201", "20240200")),
         _name(13): ANALYSIS[:-1],
         _name(14): [VLP, *ANALYSIS],
-        _name(15): [*ANALYSIS, "SLR|1|3|1"],
+        _name(15): [*ANALYSIS, "SLR|2|5|2"],
     }
     for name, lines in files.items():
         write_file(raw, name, lines)
-    write_file(raw, _name(12), changed(ANALYSIS, "V31a", "INSé02"), encoding="latin-1")
+    write_file(raw, _name(12), changed(ANALYSIS, "D-44", "Dé-44"), encoding="latin-1")
     write_file(raw, _name(10), ["", "  ", ""])
     (raw / _name(16)).write_bytes(b"")
     write_file(raw / "z nog eens", _name(1).lower(), ANALYSIS)
-    write_file(raw, "VLPBEK_2025_20240117_99XX (1).csv", ANALYSIS)
+    write_file(raw, f"{_name(17)[:-4]} (1).csv", ANALYSIS)
     outcome = jobs.process_folder(spark, str(raw), str(base / "prep"), str(base / "out"), KEY)
     return base, outcome
 
 
-def _messages(broken, day, brin="99XX", year=2025):
+def _messages(broken, day, brin="27KM", year=2026):
     source = _name(day, brin, year)[:-4]
     found = broken[1].messages.filter(f"Bron = '{source}'")
     return rows(found, "Controle", "Recordsoort", "Melding", "Aantal", "Ernst")
@@ -91,12 +92,12 @@ def test_clean_delivery_has_no_messages(broken):
         (
             4,
             [
-                ("Aantal records", "BRD", "SLR meldt 4, gevonden 3", 1, "error"),
-                ("Aantal records", "BRR", "SLR meldt None, gevonden 1", 1, "error"),
+                ("Aantal records", "BRD", "SLR meldt 6, gevonden 5", 1, "error"),
+                ("Aantal records", "BRR", "SLR meldt None, gevonden 2", 1, "error"),
                 ("Verplicht veld", "SLR", "AantalBRRrecords is leeg", 1, "error"),
             ],
         ),
-        (5, [("Verplicht veld", "BRD", "Opleidingscode is leeg", 3, "error")]),
+        (5, [("Verplicht veld", "BRD", "Opleidingscode is leeg", 2, "error")]),
         (6, [("Codelijst", "BRD", "CodeBekostigingstatus: onbekende code 'qq'", 1, "warning")]),
         (11, [("Verplicht veld", "BRD", "DatumInschrijving is leeg", 1, "error")]),
         (12, []),
@@ -111,10 +112,10 @@ def test_one_defect_one_message(broken, day, expected):
 
 def test_name_against_header(broken):
     assert _messages(broken, 7, "00AA") == [
-        ("BRIN", "VLP", "BRIN in bestandsnaam (00AA) wijkt af van VLP (99XX)", 1, "error")
+        ("BRIN", "VLP", "BRIN in bestandsnaam (00AA) wijkt af van VLP (27KM)", 1, "error")
     ]
-    assert _messages(broken, 8, year=2024) == [
-        ("Bekostigingsjaar", "VLP", "Jaar in bestandsnaam (2024) wijkt af van VLP (2025)", 1, "warning")
+    assert _messages(broken, 8, year=2025) == [
+        ("Bekostigingsjaar", "VLP", "Jaar in bestandsnaam (2025) wijkt af van VLP (2026)", 1, "warning")
     ]
 
 
@@ -138,11 +139,11 @@ def test_values_survive(spark, broken):
     base, outcome = broken
     enrolments = read_table(spark, str(base / "prep"), "BRD")
     bad = enrolments.filter("DatumInschrijving_Ruw is not null").collect()
-    assert [(r["DatumInschrijving"], r["DatumInschrijving_Ruw"]) for r in bad] == [(None, "20230000")]
-    latin = enrolments.filter("Inschrijvingvolgnummer = 'INSé02'").collect()
+    assert [(r["DatumInschrijving"], r["DatumInschrijving_Ruw"]) for r in bad] == [(None, "20240200")]
+    latin = enrolments.filter("Inschrijvingvolgnummer = 'Dé-44'").collect()
     assert len(latin) == 1 and latin[0]["levering"] == _name(12)[:-4]
     unknown = enrolments.filter(f"levering = '{_name(2)[:-4]}'")
-    assert rows(unknown, "_regelnr", "_rijnr") == [(6, 0), (7, 1), (9, 2)]
+    assert rows(unknown, "_regelnr", "_rijnr") == [(11, 3), (13, 4), (5, 0), (7, 1), (9, 2)]
     assert outcome.star["dim_status"].filter("Code = 'qq'").count() == 1
 
 
@@ -159,7 +160,7 @@ def test_report_follows_its_contract(spark, broken, standard):
     assert labels[:13] == sorted(labels[:13]) and len(labels) == 17
     assert "Eén rij" in (broken[0] / "out" / "quality.json").read_text(encoding="utf-8")
     cover = {(c["levering"], c["recordsoort"]): c["rijen"] for c in report["dekking"]}
-    assert cover[_name(13)[:-4], "SLR"] == 0 and cover[_name(1)[:-4], "BRD"] == 3
+    assert cover[_name(13)[:-4], "SLR"] == 0 and cover[_name(1)[:-4], "BRD"] == 5
     four = next(d for d in report["leveringen"] if d["levering"] == _name(4)[:-4])
     assert [m["controle"] for m in four["meldingen"]] == ["Aantal records", "Aantal records", "Verplicht veld"]
 
@@ -186,7 +187,7 @@ def test_nothing_readable_is_written(broken):
     base, _ = broken
     for path in [*(base / "prep").rglob("*"), *(base / "out").rglob("*")]:
         if path.is_file():
-            assert b"531904462" not in path.read_bytes() and b"604417988" not in path.read_bytes(), path
+            assert b"246813577" not in path.read_bytes() and b"918273702" not in path.read_bytes(), path
 
 
 def test_checksum_is_of_the_bytes(spark, standard):
@@ -228,7 +229,7 @@ def single(spark, tmp_path_factory):
 
 def test_single_file(spark, single):
     _, target, first, _ = single
-    assert table_totals(first.tables) == (7, 8)
+    assert table_totals(first.tables) == (7, 12)
     assert first.labels == [PROVISIONAL_NAME[:-4]]
     stacked = stack_prepared(spark, [str(target)])
     assert stacked["LEVERING"].count() == 2
@@ -237,18 +238,18 @@ def test_single_file(spark, single):
 
 def test_rerun_replaces_only_its_own_delivery(spark, single):
     base, target, _, path = single
-    write_file(base, PROVISIONAL_NAME, changed([VLP, *ANALYSIS[2:4], "SLR|0|2|0"], "99XX|V17a", "99XX|NEW001"))
+    write_file(base, PROVISIONAL_NAME, changed([VLP, NURSE, LAWYER_ELSEWHERE, "SLR|0|2|0"], "27KM|A-100", "27KM|NEW-1"))
     jobs.run_pipeline(spark, str(path), str(target), key=KEY)
     stacked = stack_prepared(spark, [str(target)])
     assert stacked["BRD"].count() == 2
     assert stacked["BRR"].count() == 0 and stacked["BLB"].count() == 0
-    assert stacked["HRD"].count() == 2
+    assert stacked["HRD"].count() == 4
     assert (target / "notes" / "mine.parquet").read_text() == "mine"
 
 
 def test_outdated_delivery_is_an_error(spark, single, tmp_path):
     base, _, _, _ = single
-    path = write_file(tmp_path, _name(21), changed(ANALYSIS, "N|na,ti", "N|na,zz"))
+    path = write_file(tmp_path, _name(21), changed(ANALYSIS, "nr,oc,nl", "nr,zz"))
     target = str(tmp_path / "prep")
     jobs.run_pipeline(spark, str(path), target, key=KEY)
     old = read_table(spark, target, "VALIDATIE").drop("Ernst", "_orde")
@@ -259,7 +260,7 @@ def test_outdated_delivery_is_an_error(spark, single, tmp_path):
     with pytest.raises(QualityError):
         jobs.run_star(spark, [target], str(tmp_path / "out"))
     assert read_status(spark, str(tmp_path / "out" / "quality.json")) == ("fail", 1)
-    assert read_star(spark, str(tmp_path / "out" / "datamodel"))["fact_deelname"].count() == 3
+    assert read_star(spark, str(tmp_path / "out" / "datamodel"))["fact_deelname"].count() == 5
 
 
 def test_delivery_without_its_own_row_is_outdated(spark, single, tmp_path):
@@ -301,7 +302,7 @@ def test_one_label_per_folder(spark, tmp_path):
         jobs.run_pipeline(spark, str(path), str(tmp_path / f"p{i}"), key=KEY)
     stacked = stack_prepared(spark, [str(tmp_path / "p1"), str(tmp_path / "p2")], ["2024", "2025"])
     assert rows(stacked["LEVERING"], "levering") == [("2024",), ("2025",)]
-    assert stacked["BRD"].count() == 6
+    assert stacked["BRD"].count() == 10
 
 
 def test_wrong_input(spark, tmp_path):
@@ -317,7 +318,7 @@ def test_wrong_input(spark, tmp_path):
 
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
     good = write_file(tmp_path, _name(23), ANALYSIS)
-    bad = write_file(tmp_path, _name(24), changed(ANALYSIS, "SLR|1|3|1", "SLR|1|4|1"))
+    bad = write_file(tmp_path, _name(24), changed(ANALYSIS, "SLR|2|5|2", "SLR|2|7|2"))
     monkeypatch.delenv(KEY_ENV, raising=False)
     prep = str(tmp_path / "prep")
     assert cli.run(["verwerk", str(good), prep], spark) == 1
@@ -326,7 +327,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     key_file.write_text(TEST_KEY)
     monkeypatch.setenv(KEY_ENV, TEST_KEY)
     assert cli.run(["verwerk", str(good), prep, "--sleutelbestand", str(key_file)], spark) == 0
-    assert "7 tabellen, 8 rijen" in capsys.readouterr().out
+    assert "7 tabellen, 12 rijen" in capsys.readouterr().out
     assert cli.run(["verwerk", str(bad), prep], spark) == 3
     assert cli.run(["verwerk", str(bad), prep, "--allow-quality-errors"], spark) == 0
     assert "toegestaan" in capsys.readouterr().out
@@ -348,12 +349,12 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
 def test_download_of_a_table(spark, standard, tmp_path):
     write_csv(standard[1].star["dim_instelling"], str(tmp_path / "download"))
     back = spark.read.option("header", True).csv(str(tmp_path / "download"))
-    assert rows(back) == [("38QD", "false"), ("99XX", "true")]
+    assert rows(back) == [("05RZ", "false"), ("27KM", "true")]
 
 
 def test_csv_runs_into_one_folder_keep_their_columns(spark, tmp_path):
     """A second delivery without raw dates must not shift the columns of the first."""
-    odd = changed(ANALYSIS, "|20230625||||||1", "|2023x625||||||1")
+    odd = changed(ANALYSIS, "|20150703||", "|2015x703||")
     first = write_file(tmp_path, _name(1), odd)
     second = write_file(tmp_path, _name(2), ANALYSIS)
     target = str(tmp_path / "csv")
@@ -361,12 +362,12 @@ def test_csv_runs_into_one_folder_keep_their_columns(spark, tmp_path):
         result = jobs.run_pipeline(
             spark, str(path), target, fmt="csv", pseudonymise=False, fail_on_errors=False
         )
-    rows_back = {r["levering"]: r for r in result.tables["BLB"].collect()}
+    rows_back = {r["levering"]: r for r in result.tables["BLB"].filter("VerbruikBA = 4").collect()}
     assert list(rows_back) == [_name(2)[:-4]]
-    assert rows_back[_name(2)[:-4]]["DatumGraadBehaaldBa_Ruw"] is None
-    both = read_csv_table(spark, target, "BLB")
-    raw = {r["levering"]: r["DatumGraadBehaaldBa_Ruw"] for r in both.collect()}
-    assert raw == {_name(1)[:-4]: "2023x625", _name(2)[:-4]: None}
+    assert rows_back[_name(2)[:-4]]["DatumGraadBehaaldAD_Ruw"] is None
+    both = read_csv_table(spark, target, "BLB").filter("VerbruikBA = 4")
+    raw = {r["levering"]: r["DatumGraadBehaaldAD_Ruw"] for r in both.collect()}
+    assert raw == {_name(1)[:-4]: "2015x703", _name(2)[:-4]: None}
     with pytest.raises(ValueError, match="andere map"):
         jobs.run_pipeline(spark, str(second), target, fmt="parquet", pseudonymise=False)
 
@@ -409,11 +410,11 @@ def test_public_key_is_refused_for_real_files(spark, tmp_path, monkeypatch):
     monkeypatch.delenv(KEY_ENV, raising=False)
     write_file(tmp_path / "raw", _name(1), ANALYSIS)
     arguments = (spark, str(tmp_path / "raw"), str(tmp_path / "p"), str(tmp_path / "o"))
-    outcome = jobs.process_folder(*arguments, demo_key="d" * 64, demo_brin="99XX")
+    outcome = jobs.process_folder(*arguments, demo_key="d" * 64, demo_brin="27KM")
     assert outcome.labels == [_name(1)[:-4]]
-    write_file(tmp_path / "raw", _name(2, brin="38QD"), changed(ANALYSIS, "VLP|99XX", "VLP|38QD"))
-    with pytest.raises(ValueError, match="38QD"):
-        jobs.process_folder(*arguments, demo_key="d" * 64, demo_brin="99XX")
+    write_file(tmp_path / "raw", _name(2, brin="05RZ"), changed(ANALYSIS, "VLP|27KM", "VLP|05RZ"))
+    with pytest.raises(ValueError, match="05RZ"):
+        jobs.process_folder(*arguments, demo_key="d" * 64, demo_brin="27KM")
 
 
 def test_job_has_no_python_in_its_lines(spark, tmp_path):

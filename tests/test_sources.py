@@ -17,16 +17,16 @@ from .conftest import ANALYSIS, PROVISIONAL_NAME, rows, write_file
 @pytest.mark.parametrize(
     "name,kind",
     [
-        ("VLPBEK_2025_20240115_99XX.csv", "VLPBEK"),
-        ("vlpbek_2025_20240115_99xx.CSV", "VLPBEK"),
-        ("DEFBEK_ 2025_20240115_99XX.csv", "DEFBEK"),
-        ("HISBEK_2024_20250301_99XX.Csv", "HISBEK"),
-        ("VLPBEK_2025_20240230_99XX.csv", None),
-        ("VLPBEK_2025_20240115_99XX (1).csv", None),
-        ("VLPBEK_2025_20240115_99XX.txt", None),
-        ("XXXBEK_2025_20240115_99XX.csv", None),
-        ("VLPBEK__2025_20240115_99XX.csv", None),
-        ("VLPBEK_2025_20240115_9XXX.csv", None),
+        ("VLPBEK_2026_20250122_27KM.csv", "VLPBEK"),
+        ("vlpbek_2026_20250122_27km.CSV", "VLPBEK"),
+        ("DEFBEK_ 2026_20250122_27KM.csv", "DEFBEK"),
+        ("HISBEK_2025_20250411_27KM.Csv", "HISBEK"),
+        ("VLPBEK_2026_20250230_27KM.csv", None),
+        ("VLPBEK_2026_20250122_27KM (1).csv", None),
+        ("VLPBEK_2026_20250122_27KM.txt", None),
+        ("XXXBEK_2026_20250122_27KM.csv", None),
+        ("VLPBEK__2026_20250122_27KM.csv", None),
+        ("VLPBEK_2026_20250122_2KMX.csv", None),
         (".csv", None),
     ],
 )
@@ -38,19 +38,19 @@ def test_file_names(spark, name, kind):
 def test_listing_recognised_and_not(spark, tmp_path):
     raw = tmp_path / "raw [1]"
     write_file(raw, PROVISIONAL_NAME, ANALYSIS)
-    write_file(raw / "sub map", "DEFBEK_ 2025_20240715_99XX.CSV", ANALYSIS)
-    write_file(raw, "VLPBEK_2025_20240115_99XX (1).csv", ANALYSIS)
+    write_file(raw / "sub map", "DEFBEK_ 2026_20250903_27KM.CSV", ANALYSIS)
+    write_file(raw, "VLPBEK_2026_20250122_27KM (1).csv", ANALYSIS)
     (raw / "readme.txt").write_text("x")
     found = find_files(spark, str(raw)).collect()
-    assert [r["Bestandsnaam"] for r in found] == [PROVISIONAL_NAME, "DEFBEK_ 2025_20240715_99XX.CSV"]
-    assert found[1]["levering"] == "DEFBEK_ 2025_20240715_99XX"
+    assert [r["Bestandsnaam"] for r in found] == [PROVISIONAL_NAME, "DEFBEK_ 2026_20250903_27KM.CSV"]
+    assert found[1]["levering"] == "DEFBEK_ 2026_20250903_27KM"
     odd = unrecognised_files(spark, str(raw)).collect()
-    assert [r["Bestandsnaam"] for r in odd] == ["VLPBEK_2025_20240115_99XX (1).csv"]
+    assert [r["Bestandsnaam"] for r in odd] == ["VLPBEK_2026_20250122_27KM (1).csv"]
     assert list_files(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_first_path_wins_among_duplicates(spark):
-    paths = ["b/VLPBEK_2025_20240115_99XX.csv", "a/vlpbek_2025_20240115_99xx.csv", "a/z/other.csv"]
+    paths = ["b/VLPBEK_2026_20250122_27KM.csv", "a/vlpbek_2026_20250122_27km.csv", "a/z/other.csv"]
     df = spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in paths], "pad string, naam string")
     got = {r["pad"]: (r["Eerste"], r["Dubbel"]) for r in mark_duplicates(df, "naam", "pad").collect()}
     assert got[paths[0]] == (paths[1], True)
@@ -63,7 +63,7 @@ def test_line_numbers_over_many_blocks(spark, tmp_path):
     rng = random.Random(7)
     expected = {}
     paths = []
-    for i, name in enumerate(("VLPBEK_2025_20240115_99XX.csv", "HISBEK_2024_20250301_99XX.csv")):
+    for i, name in enumerate(("VLPBEK_2026_20250122_27KM.csv", "HISBEK_2025_20250411_27KM.csv")):
         kinds = [["BLB", "BRD", "BRR", "", "XYZ"], ["HRD", "HRR", "", "XYZ", "BRD"]][i]
         known = [["BLB", "BRD", "BRR"], ["HRD", "HRR"]][i]
         seen: dict[str, int] = {}
@@ -129,15 +129,15 @@ def test_short_and_long_rows(spark):
 
 
 def test_guard_needs_name_and_header(spark, tmp_path):
-    good = write_file(tmp_path, "VLPBEK_2025_20240115_99XX.csv", ANALYSIS)
-    renamed = write_file(tmp_path, "DEFBEK_2025_20240115_99XX.csv", ["VLP|38QD|2025|20240115"])
-    other = write_file(tmp_path, "VLPBEK_2025_20240115_38QD.csv", ANALYSIS)
-    empty = tmp_path / "HISBEK_2024_20250301_99XX.csv"
+    good = write_file(tmp_path, "VLPBEK_2026_20250122_27KM.csv", ANALYSIS)
+    renamed = write_file(tmp_path, "DEFBEK_2026_20250122_27KM.csv", ["VLP|05RZ|2026|20250122"])
+    other = write_file(tmp_path, "VLPBEK_2026_20250122_05RZ.csv", ANALYSIS)
+    empty = tmp_path / "HISBEK_2025_20250411_27KM.csv"
     empty.write_text("")
     paths = [str(p) for p in (good, renamed, other, empty)]
     files = delivery_files(files_at(spark, paths))
     first = first_lines(raw_lines(spark, paths))
-    got = {r["Bestandsnaam"]: r["synthetic"] for r in with_guard(files, first, "99XX").collect()}
+    got = {r["Bestandsnaam"]: r["synthetic"] for r in with_guard(files, first, "27KM").collect()}
     assert got == {good.name: True, renamed.name: False, other.name: False, empty.name: False}
 
 
@@ -151,10 +151,10 @@ def test_person_fields_have_a_fixed_place():
 def test_hidden_person_fields_in_staged_lines(spark, tmp_path):
     from fundmart.functions.pseudonym import pseudonym
 
-    path = write_file(tmp_path, PROVISIONAL_NAME, [*ANALYSIS, "XYZ|531904462|"])
+    path = write_file(tmp_path, PROVISIONAL_NAME, [*ANALYSIS, "XYZ|246813577|"])
     key = b"k" * 64
     staged = route(text_lines(raw_lines(spark, [str(path)]), []), key)
     text = staged.select(F.to_json(F.struct("*"))).collect()
-    assert not any("531904462" in r[0] or "604417988" in r[0] for r in text)
-    expected = spark.range(1).select(pseudonym(F.lit("531904462"), key)).first()[0]
+    assert not any("246813577" in r[0] or "918273702" in r[0] for r in text)
+    expected = spark.range(1).select(pseudonym(F.lit("246813577"), key)).first()[0]
     assert any(expected in r[0] for r in text)

@@ -10,9 +10,9 @@ from fundmart.sources.prepared import stack_prepared
 
 from .conftest import rows
 
-PROVISIONAL = "VLPBEK_2025_20240115_99XX"
-FINAL = "DEFBEK_2025_20240715_99XX"
-HISTORIC = "HISBEK_2024_20250301_99XX"
+PROVISIONAL = "VLPBEK_2026_20250122_27KM"
+FINAL = "DEFBEK_2026_20250903_27KM"
+HISTORIC = "HISBEK_2025_20250411_27KM"
 
 
 def test_tables_and_grain(standard):
@@ -20,9 +20,9 @@ def test_tables_and_grain(standard):
     star = outcome.star
     assert list(star) == list(STAR_TABLES)
     assert {n: df.count() for n, df in star.items()} == {
-        "dim_levering": 3, "dim_persoon": 2, "dim_instelling": 2, "dim_opleiding": 1,
-        "dim_status": 34, "fact_deelname": 8, "fact_resultaat": 3, "fact_status": 12,
-        "fact_loopbaan": 2,
+        "dim_levering": 3, "dim_persoon": 4, "dim_instelling": 2, "dim_opleiding": 2,
+        "dim_status": 34, "fact_deelname": 14, "fact_resultaat": 6, "fact_status": 24,
+        "fact_loopbaan": 4,
     }
     assert check_tables(star).count() == 0
 
@@ -30,39 +30,44 @@ def test_tables_and_grain(standard):
 def test_facts(standard):
     star = standard[1].star
     got = rows(star["fact_deelname"], "_feit_id", "Recordsoort", "BRIN", "Bekostigingsjaar")
-    assert (f"D:{PROVISIONAL}:0", "BRD", "99XX", 2025) in got
-    assert (f"D:{PROVISIONAL}:2", "BRD", "99XX", 2025) in got
-    assert (f"D:{HISTORIC}:1", "HRD", "99XX", 2024) in got
-    assert (f"D:{HISTORIC}:0", "HRD", "99XX", 2023) in got
+    place = ["27KM", "27KM", "05RZ", "27KM", "27KM"]
+    own = [(f"D:{PROVISIONAL}:{i}", "BRD", brin, 2026) for i, brin in enumerate(place)]
+    assert [r for r in got if PROVISIONAL in r[0]] == own
+    past = [(f"D:{HISTORIC}:{i}", "HRD", "27KM", year) for i, year in enumerate((2022, 2023, 2023, 2024))]
+    assert [r for r in got if HISTORIC in r[0]] == past
     assert star["fact_deelname"].columns[:5] == ["_feit_id", "levering", "_persoon_id", "Recordsoort", "BRIN"]
     assert len(star["fact_deelname"].columns) == 27
     assert len(star["fact_resultaat"].columns) == 24
     assert len(star["fact_loopbaan"].columns) == 26
-    assert {60.0, 60.5} <= {r[0] for r in star["fact_deelname"].select("ECTS").distinct().collect()} | {60.5}
-    assert rows(star["fact_deelname"].filter("ECTSBekostigd = 60.5"), "_feit_id") == [(f"D:{HISTORIC}:0",)]
+    points = rows(star["fact_deelname"].filter("ECTS is not null"), "_feit_id", "ECTS", "ECTSBekostigd")
+    assert [r[1:] for r in points] == [(48.0, 42.5), (60.0, 30.0), (12.0, 0.0), (60.0, 0.0)]
 
 
 def test_bridge_and_career(standard):
     star = standard[1].star
-    late = star["fact_status"].filter(f"_feit_id = 'D:{PROVISIONAL}:2'")
-    assert rows(late, "Bron", "Code") == [("deelname", "na"), ("deelname", "ti")]
-    career = star["fact_loopbaan"].filter(f"levering = '{PROVISIONAL}'").first()
-    assert career["VerbruikBA"] == 1
-    assert career["AantalBekostigdeInschrijvingenMa"] is None
-    assert career["AantalBekostigdeInschrijvingenMa_NVT"] is True
+    refused = star["fact_status"].filter(f"_feit_id = 'D:{PROVISIONAL}:3'")
+    assert rows(refused, "Bron", "Code") == [("deelname", c) for c in ("nl", "nr", "oc")]
+    career = star["fact_loopbaan"].filter(f"levering = '{PROVISIONAL}' and VerbruikBA = 4").first()
+    assert career["VerbruikAD"] == 2 and career["VerbruikMALG"] is None
+    assert career["AantalBekostigdeInschrijvingenBaLG"] is None
+    assert career["AantalBekostigdeInschrijvingenBaLG_NVT"] is True
     assert career["VerbruikAD_NVT"] is False
 
 
 def test_dimensions(standard):
     star = standard[1].star
-    assert rows(star["dim_instelling"]) == [("38QD", False), ("99XX", True)]
-    person = star["dim_persoon"].filter("Burgerservicenummer is not null").first()
-    assert person["_persoon_id"] == person["Burgerservicenummer"]
-    assert person["DatumGraadBehaaldBa"] == datetime.date(2023, 6, 25)
-    assert [person[c] for c in degree_dates()].count(None) == 5
+    assert rows(star["dim_instelling"]) == [("05RZ", False), ("27KM", True)]
+    person = star["dim_persoon"].filter("Onderwijsnummer is null").collect()
+    assert [p["_persoon_id"] for p in person] == [p["Burgerservicenummer"] for p in person]
+    dates = [person[0][c] for c in degree_dates()]
+    assert dates == [datetime.date(2015, 7, 3), None, datetime.date(2018, 8, 31), None, None, None]
+    person = star["dim_persoon"].filter("Burgerservicenummer is null").collect()
+    assert [p["_persoon_id"] for p in person] == [p["Onderwijsnummer"] for p in person]
+    programmes = rows(star["dim_opleiding"], "Opleidingscode", "Opleidingsniveau", "OpleidingOnderdeel")
+    assert programmes == [("39255", "HBO-MA", "GEZONDHEIDSZORG"), ("60301", "WO-BA", "RECHT")]
     delivery = star["dim_levering"].filter(f"levering = '{HISTORIC}'").first()
-    assert delivery["SoortLevering"] == "HISBEK" and delivery["Bekostigingsjaar"] == 2024
-    assert delivery["DatumAanmaak"] == datetime.date(2025, 3, 1)
+    assert delivery["SoortLevering"] == "HISBEK" and delivery["Bekostigingsjaar"] == 2025
+    assert delivery["DatumAanmaak"] == datetime.date(2025, 4, 11)
     assert delivery["Gepseudonimiseerd"] is True and len(delivery["Sha256"]) == 64
 
 
@@ -101,9 +106,9 @@ def test_contracts_by_breaking(standard):
 
     broken = {**star, "fact_resultaat": star["fact_resultaat"].withColumn("BRIN", F.lit(None).cast("string"))}
     assert rows(check_tables(broken), "Controle", "Melding", "Aantal") == [
-        ("Lege sleutel", "BRIN is leeg", 3)
+        ("Lege sleutel", "BRIN is leeg", 6)
     ]
-    broken = {**star, "dim_instelling": star["dim_instelling"].filter("BRIN <> '38QD'")}
+    broken = {**star, "dim_instelling": star["dim_instelling"].filter("BRIN <> '05RZ'")}
     assert rows(check_tables(broken), "Controle", "Recordsoort", "Melding") == [
         ("Koppeling", "fact_deelname", "2 waarden van BRIN ontbreken in dim_instelling")
     ]
@@ -115,20 +120,28 @@ def test_indicators(standard):
     star = standard[1].star
     assert ind.has_kind(star, "HISBEK") and not ind.has_kind(star, "XXXBEK")
     assert ind.current_deliveries(star, ind.PROVISIONAL) == [PROVISIONAL]
-    assert ind.comparable_years(star) == [2025]
+    assert ind.comparable_years(star) == [2026]
     base = ind.fact_base(star, "fact_deelname", [PROVISIONAL])
-    assert rows(base, "BRIN", "SoortLevering", "Opleidingsniveau") == [("99XX", "VLPBEK", "HBO-BA")] * 2
+    assert rows(base, "BRIN", "SoortLevering", "Opleidingsniveau") == [
+        ("27KM", "VLPBEK", level) for level in ("HBO-MA", "HBO-MA", "WO-BA", "WO-BA")
+    ]
     assert {r[0]: r[1] for r in ind.funnel(base).collect()} == {
-        "In bestand": 2, "Beoordeeld": 2, "Bekostigd": 1,
+        "In bestand": 4, "Beoordeeld": 4, "Bekostigd": 2,
     }
-    assert rows(ind.reasons(base, star), "Code", "Aantal") == [("na", 1), ("ti", 1)]
-    assert rows(ind.per_programme(base)) == [("50982", "HBO-BA", 2, 1, 0.5)]
-    assert rows(ind.provisional_to_final(star)) == [(2025, "na,ti", "pi", 1)]
+    assert rows(ind.reasons(base, star), "Code", "Aantal") == [(c, 1) for c in ("ng", "nl", "nr", "oc")]
+    assert rows(ind.per_programme(base)) == [
+        ("39255", "HBO-MA", 2, 1, 0.5), ("60301", "WO-BA", 2, 1, 0.5)
+    ]
+    assert rows(ind.provisional_to_final(star)) == [
+        (2026, "ng", "pd", 1), (2026, "nl,nr,oc", "nr", 1)
+    ]
     assert [tuple(r) for r in ind.history(star).collect()] == [
-        (2023, "deelname", 1, 1), (2024, "deelname", 1, 0), (2024, "resultaat", 1, 1),
+        (2022, "deelname", 1, 1), (2023, "deelname", 2, 1), (2023, "resultaat", 1, 0),
+        (2024, "deelname", 1, 0), (2024, "resultaat", 1, 1),
     ]
-    assert ind.fact_base(star, "fact_deelname", [PROVISIONAL], ["WO-BA"]).count() == 0
-    assert [r[0] for r in ind.level_choices(star).collect()] == ["HBO-BA"]
+    assert ind.fact_base(star, "fact_deelname", [PROVISIONAL], ["HBO-O"]).count() == 0
+    assert ind.fact_base(star, "fact_deelname", [PROVISIONAL], ["WO-BA"]).count() == 2
+    assert [r[0] for r in ind.level_choices(star).collect()] == ["HBO-MA", "WO-BA"]
 
 
 def test_indicators_without_their_delivery(spark):
@@ -146,7 +159,7 @@ def test_reasons_read_the_facts_of_the_chosen_deliveries_only(standard):
     star = standard[1].star
     base = ind.fact_base(star, "fact_deelname", [PROVISIONAL])
     found = ind.reasons(base, star)
-    assert rows(found, "Code", "Aantal") == [("na", 1), ("ti", 1)]
+    assert rows(found, "Code", "Aantal") == [(c, 1) for c in ("ng", "nl", "nr", "oc")]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "fact_status" not in plan and "SortMergeJoin" not in plan
     scans = [line for line in plan.splitlines() if "fact_deelname" in line]
