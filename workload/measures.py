@@ -280,8 +280,9 @@ def raw_lines_to_share(spark: SparkSession, folder: str) -> DataFrame:
     )
     # Prepared tables are written once, as the job does: what follows reads columns.
     tables = {"LEVERING": stage.write(delivery, "LEVERING"), "BRD": stage.write(typed, "BRD")}
-    deliveries = s.dim_delivery(spark, tables)
-    enrolments = s.facts(spark, tables, s.ENROLMENTS, "D", deliveries)
+    specs = s.table_specs()
+    deliveries = s.table_of_records(spark, tables, specs["dim_levering"])
+    enrolments = s.table_of_records(spark, tables, specs["fact_deelname"], deliveries)
     sources = [(enrolments, "BRIN"), (deliveries, "BrinOntvanger")]
     institutions = s.dim_institution(sources, deliveries.select("BrinOntvanger"))
     star = {
