@@ -1,24 +1,25 @@
 """Personal data by information-theoretic sanitisation.
 
 E-mail addresses, IP addresses, card and phone numbers are found by pattern; their values
-are the protected entities. The corpus then tells what else gives an entity away: for each
-word near an entity's places, counts over all documents give the pointwise mutual
-information of word and entity, and its share of the entity's information content says how
-much of the entity the word discloses (1: the word is found with the entity only). Words
-above ``GENERALISE`` are generalised to a placeholder and words above ``REMOVE`` removed,
-wherever they stand in a document with that entity. A word must have been seen with the
-entity in ``LEAST_CONTEXTS`` different surroundings, so copies of one text prove nothing.
-
-One pass finds the patterns and writes narrow rows, with the text only where there is an
-entity. A second pass counts in how many documents each candidate word stands; which words
-are candidates is sent along as a bitmap of fixed size, and false ones drop out at the join.
-Entities and words are combined before every shuffle. All searches take time in proportion
-to the text, however it looks.
+are the protected entities. The corpus then tells what else gives an entity away: counts
+over all documents give the pointwise mutual information of an entity and each word of the
+documents that hold it, and its share of the entity's information content says how much of
+the entity the word discloses (1: the word is found with the entity only). Words from
+``GENERALISE`` on are generalised to a placeholder and words from ``REMOVE`` on removed,
+wherever they stand, also in documents without the entity. A word must have been seen with
+the entity in ``LEAST_CONTEXTS`` different surroundings of the entity (the ``WINDOW`` words on
+each side of its places), so copies of one text prove nothing.
+
+One pass finds the patterns and writes one row per document. The words of documents with an
+entity that has been seen often enough are paired with it and combined before the shuffle. A
+second pass counts in how many documents each paired word stands, a third finds the places of
+disclosing words. Which words matter is sent along as a bitmap of bounded size; false ones drop
+out at the join. No pass takes longer than in proportion to the text, however it looks.
 
 Defined results: a null or empty text has no spans; matches that fail their check are
 dropped and not tried again; spans do not overlap within a kind; a word span never overlaps
 a pattern's; repeated rows each get their own, equal result, whatever their ids; an empty
-table gives no rows; extra columns are ignored.
+table gives no rows; extra columns are ignored; very long texts go through whole.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,17 @@ from fundmart.llm.base import named, query, table, text_of, written
 
 # The kinds in the order that counts and digests use.
 KINDS = ("email", "ip", "card", "phone")
-TERM = "term"
+# Kinds of the words that the method adds.
+GENERALISED = "generalised"
+REMOVED = "removed"
 WINDOW = 8
 LEAST_CONTEXTS = 2
 GENERALISE = 0.6
 REMOVE = 0.8
-BITS = 1 << 22
+# Bits of the bitmap that is sent: so many for a word, between these sizes.
+BITS_A_WORD = 16
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 25
+KNOWN = 300_000
 SEED = 42
 
 # The patterns. Runs of digits are tried from their beginning only, which
@@ -116,57 +122,57 @@ def entity(text: str, span: Span) -> str:
     return f"{span[2]}:{value.lower()}"
 
 
-def surroundings(text: str, spans: list[Span], window: int = WINDOW) -> dict[str, list[list[str]]]:
-    """Per entity the words around each of its places, patterns left out."""
+def words_outside(text: str, spans: list[Span]) -> list[Span]:
+    """(start, end, word in lower case) for the words that touch no pattern."""
     words, at = [], 0
     for m in _TERM.finditer(text):
         while at < len(spans) and spans[at][1] <= m.start():
             at += 1
         if at == len(spans) or m.end() <= spans[at][0]:
-            words.append((m.start(), m.group().lower()))
+            words.append((*m.span(), m.group().lower()))
+    return words
+
+
+def surroundings(text: str, spans: list[Span], window: int = WINDOW) -> dict[str, int]:
+    """Per entity a hash of the words around all its places in this text."""
+    words = words_outside(text, spans)
     starts = np.array([w[0] for w in words], np.int64)
-    found: dict[str, list[list[str]]] = {}
+    found: dict[str, set[str]] = {}
     for span in spans:
         first = int(np.searchsorted(starts, span[0]))
         last = int(np.searchsorted(starts, span[1]))
         near = words[max(0, first - window) : first] + words[last : last + window]
-        found.setdefault(entity(text, span), []).append([w for _, w in near])
-    return found
-
-
-def term_spans(text: str, spans: list[Span], terms: dict[str, bool]) -> list[Span]:
-    """Places of disclosing words outside the patterns."""
-    found, at = [], 0
-    for m in _TERM.finditer(text):
-        while at < len(spans) and spans[at][1] <= m.start():
-            at += 1
-        outside = at == len(spans) or m.end() <= spans[at][0]
-        if outside and m.group().lower() in terms:
-            found.append((*m.span(), TERM))
-    return found
+        found.setdefault(entity(text, span), set()).update(w for _, _, w in near)
+    return {e: _hash(" ".join(sorted(near))) >> 1 for e, near in found.items()}
 
 
-def sanitised(text: str, spans: list[Span], terms: dict[str, bool]) -> str:
+def sanitised(text: str, spans: list[Span]) -> str:
     """The text with patterns replaced by their kind; words are removed or generalised."""
     out, at = [], 0
     for a, b, kind in sorted(spans):
         if a < at:
             continue
         out.append(text[at:a])
-        if kind != TERM:
+        if kind in KINDS:
             out.append(f"[{kind.upper()}]")
-        elif not terms[text[a:b].lower()]:
+        elif kind == GENERALISED:
             out.append("[TERM]")
         at = b
     return "".join(out) + text[at:]
 
 
-def _bit(term: str) -> int:
-    return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), SEED) % BITS
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), SEED)
+
 
+def _spans_of(line: str) -> list[Span]:
+    """What ``joined`` wrote."""
+    parts = (p.split(":") for p in line.split(",") if p)
+    return [(int(a), int(b), kind) for kind, a, b in parts]
 
-def _found(docs: DataFrame, id_col: str, text_col: str, all_texts: bool) -> DataFrame:
-    """One row per document: base results, the entities with their surroundings, the text."""
+
+def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: base results, the text, its entities with their surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -178,14 +184,9 @@ def _found(docs: DataFrame, id_col: str, text_col: str, all_texts: bool) -> Data
                 base = joined(spans)
                 counts = Counter(kind for _, _, kind in spans)
                 near = surroundings(text, spans) if spans else {}
-                entities = [
-                    {"entity": e, "context": sorted(set(words))}
-                    for e, places in near.items()
-                    for words in places
-                ]
+                entities = [{"entity": e, "around": around} for e, around in near.items()]
                 digest = hashlib.sha256(base.encode()).hexdigest()
-                kept = text if spans or all_texts else None
-                values = (row, *(counts[k] for k in KINDS), digest, base, kept, entities)
+                values = (row, *(counts[k] for k in KINDS), digest, base, text, entities)
                 for column, v in zip(columns, values, strict=True):
                     column.append(v)
                 row += 1
@@ -196,76 +197,161 @@ def _found(docs: DataFrame, id_col: str, text_col: str, all_texts: bool) -> Data
     schema = (
         f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, n_email long, "
         "n_ip long, n_card long, n_phone long, base_sha256 string, base_spans string, "
-        "text string, entities array<struct<entity: string, context: array<string>>>"
+        "text string, entities array<struct<entity: string, around: long>>"
     )
     names = ["doc_id", "row", *(f"n_{k}" for k in KINDS), "base_sha256", "base_spans", "text"]
     names.append("entities")
     types = [pa.int64()] * 5 + [pa.string()] * 3
-    place = [("entity", pa.string()), ("context", pa.list_(pa.string()))]
+    place = [("entity", pa.string()), ("around", pa.int64())]
     types.append(pa.list_(pa.struct(place)))
     # Written once: the row numbers, which name a row from here on, are then fixed.
     return written(rows.mapInArrow(run, schema), "private-found")
 
 
-def disclosing_terms(places: DataFrame, texts: DataFrame, n_documents: int) -> DataFrame:
-    """(entity, term, remove). ``places``: row, entity, context; ``texts``: text."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(places, text, base_spans) to (places, different words outside the patterns)."""
+    for batch in batches:
+        pairs = zip(batch.column(1), batch.column(2).to_pylist(), strict=True)
+        words = [
+            sorted({w for _, _, w in words_outside(text.as_py(), _spans_of(line))})
+            for text, line in pairs
+        ]
+        columns = [batch.column(0), pa.array(words, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, ["places", "words"])
+
+
+class Marked:
+    """Whether a word may be one of those in a table: never wrong for those that are."""
+
+    def __init__(self, terms: DataFrame) -> None:
+        bits = LEAST_BITS
+        while bits < min(MOST_BITS, BITS_A_WORD * terms.count()):
+            bits *= 2
+        # A row for each 64 bits that hold one; Spark's hash is the one that tasks use.
+        cells = (
+            terms.select(F.xxhash64("term").bitwiseAND(F.lit(bits - 1)).alias("bit"))
+            .groupBy(F.expr("shiftright(bit, 6)").alias("cell"))
+            .agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("set"))
+        )
+        marks = np.zeros(bits // 64, np.int64)
+        for row in cells.toLocalIterator():
+            marks[row["cell"]] = row["set"]
+        self.mask = bits - 1
+        self.sent = terms.sparkSession.sparkContext.broadcast(marks.astype("<i8").tobytes())
+
+    def test(self) -> Callable[[str], bool]:
+        """For use in a task: remembers words, but no more than so many."""
+        marks, mask, known = self.sent.value, self.mask, {}
+
+        def marked(term: str) -> bool:
+            found = known.get(term)
+            if found is None:
+                if len(known) > KNOWN:
+                    known.clear()
+                bit = _hash(term) & mask
+                found = known[term] = bool(marks[bit >> 3] >> (bit & 7) & 1)
+            return found
+
+        return marked
+
+
+def paired_words(found: DataFrame) -> DataFrame:
+    """(entity, term, together, with_entity): documents with both, and with the entity."""
+    places = found.select("row", F.explode("entities").alias("e")).select("row", "e.*")
+    seen = places.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("with_entity"), F.count_distinct("around").alias("contexts")
+    )
+    # An entity in fewer surroundings cannot have a word in enough of them.
+    seen = seen.filter(F.col("contexts") >= LEAST_CONTEXTS).drop("contexts")
+    seen = written(seen, "private-entities")
+    of_row = (
+        places.join(seen, "entity")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("entity", "around")).alias("places"))
+    )
+    texts = found.filter(F.size("entities") > 0).select("row", "text", "base_spans")
+    words = (
+        texts.join(of_row, "row")
+        .select("places", "text", "base_spans")
+        .mapInArrow(_words, "places array<struct<entity: string, around: long>>, words array<string>")
+    )
     pairs = (
-        places.withColumn("around", F.xxhash64("context"))
-        .select("row", "entity", "around", F.explode("context").alias("term"))
+        words.select(F.explode("places").alias("p"), "words")
+        .select("p.*", F.explode("words").alias("term"))
         .groupBy("entity", "term", "around")
-        .agg(F.count_distinct("row").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("together"))
         .filter(F.col("contexts") >= LEAST_CONTEXTS)
     )
-    pairs = written(pairs, "private-pairs")
-    of_entity = places.groupBy("entity").agg(F.count_distinct("row").alias("with_entity"))
-    bits = pairs.select(F.col("term")).distinct().mapInArrow(_bits, "bit int").distinct()
-    marks = np.zeros(BITS, np.bool_)
-    marks[[r["bit"] for r in bits.collect()]] = True
-    sent = texts.sparkSession.sparkContext.broadcast(np.packbits(marks).tobytes())
+    return pairs.drop("contexts").join(seen, "entity")
+
+
+def disclosing_terms(found: DataFrame) -> DataFrame:
+    """(entity, term, remove) from the rows of ``_found``."""
+    pairs = written(paired_words(found), "private-pairs")
+    candidates = Marked(pairs.select("term").distinct())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool).tobytes()
-        known: dict[str, bool] = {}
+        marked = candidates.test()
         for batch in batches:
             counts: Counter[str] = Counter()
             for value in batch.column(0):
-                for term in set(_TERM.findall(value.as_py().lower())):
-                    wanted = known.get(term)
-                    if wanted is None:
-                        if len(known) > 300_000:
-                            known.clear()
-                        wanted = known[term] = bool(marked[_bit(term)])
-                    if wanted:
-                        counts[term] += 1
+                counts.update(filter(marked, set(_TERM.findall(value.as_py().lower()))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
                 ["term", "n"],
             )
 
-    if not marks.any():
-        return pairs.select("entity", "term", F.lit(True).alias("remove"))
-    with_term = texts.mapInArrow(count, "term string, n long").groupBy("term").agg(
-        F.sum("n").alias("with_term")
+    with_term = (
+        found.select("text")
+        .mapInArrow(count, "term string, n long")
+        .groupBy("term")
+        .agg(F.sum("n").alias("with_term"))
     )
+    n_documents = F.lit(found.count())
     rate = F.col("together") / F.greatest("with_term", "together")
-    information = F.log(F.lit(n_documents) / F.col("with_entity"))
-    shared = F.log(F.lit(n_documents) * rate / F.col("with_entity"))
+    information = F.log(n_documents / F.col("with_entity"))
+    shared = F.log(n_documents * rate / F.col("with_entity"))
     share = F.when(information > 0, shared / information)
     return (
         pairs.join(with_term, "term")
-        .join(of_entity, "entity")
-        .withColumn("share", share)
-        .filter(F.col("share") >= GENERALISE)
-        .select("entity", "term", (F.col("share") >= REMOVE).alias("remove"))
+        .filter(share >= GENERALISE)
+        .select("entity", "term", (share >= REMOVE).alias("remove"))
     )
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bits = sorted({_bit(t) for t in batch.column(0).to_pylist()})
-        yield pa.RecordBatch.from_arrays([pa.array(bits, pa.int32())], ["bit"])
+def term_places(found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row, places): the spans of ``terms`` (term, remove) in every text, per document."""
+    wanted = Marked(terms.select("term"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = wanted.test()
+        for batch in batches:
+            hits: list[tuple[int, str, list[dict[str, int]]]] = []
+            for row, value, line in zip(*batch.columns, strict=True):
+                text = value.as_py()
+                if not any(map(marked, set(_TERM.findall(text.lower())))):
+                    continue
+                here: dict[str, list[dict[str, int]]] = {}
+                for a, b, word in words_outside(text, _spans_of(line.as_py())):
+                    if marked(word):
+                        here.setdefault(word, []).append({"a": a, "b": b})
+                hits += [(row.as_py(), word, spans) for word, spans in here.items()]
+            columns = zip(*hits, strict=True) if hits else ([], [], [])
+            arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "term", "spans"])
+
+    span = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+    types = [pa.int64(), pa.string(), pa.list_(span)]
+    hits = found.select("row", "text", "base_spans").mapInArrow(
+        find, "row long, term string, spans array<struct<a: long, b: long>>"
+    )
+    return (
+        hits.join(terms, "term")
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("remove", "spans")).alias("places"))
+    )
 
 
 def find_private(
@@ -275,44 +361,29 @@ def find_private(
 
     ``with_text`` adds ``sanitised``, the text without what it must not show.
     """
-    found = _found(docs, id_col, text_col, with_text)
-    places = found.select("row", F.explode("entities").alias("e")).select(
-        "row", "e.entity", "e.context"
-    )
-    texts = docs.select(text_of(text_col).alias("text"))
-    terms = written(disclosing_terms(places, texts, found.count()), "private-terms")
-    of_row = (
-        places.select("row", "entity")
-        .distinct()
-        .join(terms, "entity")
-        .groupBy("row", "term")
-        .agg(F.max("remove").alias("remove"))
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("term", "remove")).alias("terms"))
-    )
-    kept = found.select("row", "base_spans", "text")
-    if with_text:
-        hit = kept.join(of_row, "row", "left")
-    else:
-        hit = kept.filter("text IS NOT NULL").join(of_row, "row")
+    found = _found(docs, id_col, text_col)
+    terms = disclosing_terms(found).groupBy("term").agg(F.max("remove").alias("remove"))
+    places = term_places(found, written(terms, "private-terms"))
+    kept = found.select("row", "base_spans", F.col("text") if with_text else F.lit("").alias("text"))
+    hit = kept.join(places, "row", "left" if with_text else "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans_out, texts_out = [], []
-            for text, terms_here in zip(
-                batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True
-            ):
-                chosen = {t["term"]: t["remove"] for t in terms_here or ()}
-                base = pattern_spans(text)
-                every = sorted(base + term_spans(text, base, chosen), key=lambda s: s[0])
+            for line, text, chosen in zip(*batch.columns[1:], strict=True):
+                every = _spans_of(line.as_py())
+                for term in chosen.as_py() or ():
+                    kind = REMOVED if term["remove"] else GENERALISED
+                    every += [(s["a"], s["b"], kind) for s in term["spans"]]
+                every.sort(key=lambda s: s[0])
                 spans_out.append(joined(every))
-                texts_out.append(sanitised(text, every, chosen) if with_text else None)
+                texts_out.append(sanitised(text.as_py(), every) if with_text else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(spans_out), pa.array(texts_out, pa.string())],
+                [batch.column(0), pa.array(spans_out, pa.string()), pa.array(texts_out, pa.string())],
                 ["row", "all_spans", "sanitised"],
             )
 
-    added = hit.select("row", "text", "terms").mapInArrow(
+    added = hit.select("row", "base_spans", "text", "places").mapInArrow(
         run, "row long, all_spans string, sanitised string"
     )
     result = found.drop("text", "entities").join(added, "row", "left")

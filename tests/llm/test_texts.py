@@ -1,6 +1,7 @@
 """Operators that read each text by itself, against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -239,24 +240,75 @@ def test_patterns_equal_plain_expressions():
         private_data.pattern_spans(t)
 
 
+def brute_terms(texts):
+    """term -> whether it is removed, by plain counts over all documents."""
+    holding, around, together, contexts, with_term = ({} for _ in range(5))
+    for i, text in enumerate(texts):
+        for word in set(re.findall(r"[^\W_]{3,}", text.lower())):
+            with_term[word] = with_term.get(word, 0) + 1
+        spans = private_data.pattern_spans(text)
+        inside = {i for a, b, _ in spans for i in range(a, b)}
+        words = [
+            (m.start(), m.group().lower())
+            for m in re.finditer(r"[^\W_]{3,}", text)
+            if not inside & set(range(*m.span()))
+        ]
+        near = {}
+        for span in spans:
+            before = [w for at, w in words if at < span[0]][-private_data.WINDOW :]
+            after = [w for at, w in words if at >= span[1]][: private_data.WINDOW]
+            near.setdefault(private_data.entity(text, span), set()).update(before + after)
+        for e, seen in near.items():
+            holding[e] = holding.get(e, 0) + 1
+            for word in {w for _, w in words}:
+                together[e, word] = together.get((e, word), 0) + 1
+                contexts.setdefault((e, word), set()).add(frozenset(seen))
+    terms = {}
+    for (e, word), n in together.items():
+        information = math.log(len(texts) / holding[e])
+        if len(contexts[e, word]) < private_data.LEAST_CONTEXTS or information <= 0:
+            continue
+        share = math.log(len(texts) * n / max(with_term[word], n) / holding[e]) / information
+        if share >= private_data.GENERALISE:
+            terms[word] = terms.get(word, False) or share >= private_data.REMOVE
+    return terms
+
+
+def brute_all_spans(text, terms):
+    base = private_data.pattern_spans(text)
+    inside = {i for a, b, _ in base for i in range(a, b)}
+    every = list(base)
+    for m in re.finditer(r"[^\W_]{3,}", text):
+        word = m.group().lower()
+        if word in terms and not inside & set(range(*m.span())):
+            every.append((*m.span(), "removed" if terms[word] else "generalised"))
+    return private_data.joined(sorted(every, key=lambda s: s[0]))
+
+
 def test_words_that_disclose_an_entity(spark, edge, empty):
     fill = ["lorem", "ipsum", "dolor", "amet", "elit", "magna"]
+    far = " ".join(["plain"] * 30)
     rows = [
-        doc(i, f"{fill[i]} Zorblax {fill[i - 1]} wrote from bob@ex.com {fill[i - 2]}. Later zorblax")
+        doc(i, f"Zorblax {far} {fill[i]} {fill[i - 1]} wrote from bob@ex.com {fill[i - 2]}. Later zorblax")
         for i in range(6)
     ]
-    rows += [doc(10 + i, f"somebody wrote from home {w} again") for i, w in enumerate(fill * 4)]
+    rows += [doc(10 + i, f"somebody wrote from home {w} plain again") for i, w in enumerate(fill * 4)]
+    # The name without the address, and copies of one text, which prove nothing.
+    rows += [doc(50, "Yesterday ZORBLAX was here"), doc(51, None)]
+    rows += [doc(60 + i, "quendle phoned from ann@ex.com twice") for i in range(4)]
     df = spark.createDataFrame(rows, DOCS)
     found = {r["doc_id"]: r for r in private_data.find_private(df, with_text=True).collect()}
     text = rows[0][1]
     spans = [(s.split(":")[0], text[int(s.split(":")[1]) : int(s.split(":")[2])])
              for s in found[0]["spans"].split(",")]
-    assert ("email", "bob@ex.com") in spans and ("term", "zorblax") in spans
-    assert ("term", "Zorblax") in spans and "wrote" not in dict(map(reversed, spans))
+    assert ("email", "bob@ex.com") in spans and "wrote" not in dict(map(reversed, spans))
+    assert ("removed", "Zorblax") in spans and ("removed", "zorblax") in spans
     assert "zorblax" not in found[0]["sanitised"].lower() and "[EMAIL]" in found[0]["sanitised"]
     assert found[10]["spans"] == "" and found[10]["sanitised"] == rows[6][1]
+    assert found[50]["spans"] == "removed:10:17" and found[50]["sanitised"] == "Yesterday  was here"
+    assert found[60]["spans"] == "email:20:30"
     for r in found.values():
-        base = brute_spans({x[0]: x[1] for x in rows}[r["doc_id"]])
+        base = brute_spans({x[0]: x[1] or "" for x in rows}[r["doc_id"]])
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
     for row in private_data.find_private(edge).collect():
         assert row["spans"] == "" and row["n_email"] == 0
@@ -264,6 +316,28 @@ def test_words_that_disclose_an_entity(spark, edge, empty):
     assert private_data.find_private(empty).collect() == []
 
 
+def test_disclosing_words_equal_plain_counts(spark):
+    """Every span against counts by brute force, with an entity in a third of the rows."""
+    rnd = random.Random(11)
+    common = [f"word{chr(97 + i)}" for i in range(20)]
+    people = [(f"p{i}@mail.org", [f"name{chr(97 + i)}x", f"city{chr(97 + i % 4)}y"]) for i in range(8)]
+    texts = []
+    for i in range(160):
+        words = rnd.choices(common, k=rnd.randrange(3, 40))
+        for address, marks in rnd.sample(people, rnd.randrange(3)) + people[:1] * (i % 3 == 0):
+            words += [address, *(m for m in marks if rnd.random() < 0.8)]
+        if rnd.random() < 0.2:
+            words.append(rnd.choice(people)[1][0].upper())
+        rnd.shuffle(words)
+        texts.append(" ".join(words))
+    texts += texts[:10] + [""]
+    terms = brute_terms(texts)
+    assert {True, False} == set(terms.values())
+    df = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOCS).repartition(5)
+    found = {r["doc_id"]: r["spans"] for r in private_data.find_private(df).collect()}
+    assert found == {i: brute_all_spans(t, terms) for i, t in enumerate(texts)}
+
+
 # Licenses
 
 
