@@ -2,17 +2,17 @@
 
 E-mail addresses, IP addresses, card and phone numbers are found by pattern; their values
 are the protected entities. The corpus then tells what else gives an entity away: counts
-over all documents give the pointwise mutual information of an entity and each word of the
-documents that hold it, and its share of the entity's information content says how much of
-the entity the word discloses (1: the word is found with the entity only). Words from
-``GENERALISE`` on are generalised to a placeholder and words from ``REMOVE`` on removed,
-wherever they stand, also in documents without the entity. A word must have been seen with
-the entity in ``LEAST_CONTEXTS`` different surroundings of the entity (the ``WINDOW`` words on
-each side of its places), so copies of one text prove nothing.
-
-One pass finds the patterns and writes one row per document. The words of documents with an
-entity that has been seen often enough are paired with it and combined before the shuffle. A
-second pass counts in how many documents each paired word stands, a third finds the places of
+over all documents give the pointwise mutual information of an entity and each of the
+``WINDOW`` words on each side of its places, and its share of the entity's information content
+says how much of the entity the word discloses (1: the word is found with the entity only).
+In documents with the entity, words from ``REMOVE`` on are removed and words from ``GENERALISE``
+on generalised to a placeholder. A removed word that has the entity near in ``ALONE`` of all
+documents that hold it gives the entity away by itself and is removed from every text. A word
+must have been seen with the entity in ``LEAST_CONTEXTS``
+different surroundings, so copies of one text prove nothing.
+
+One pass finds the patterns and writes one row per document. The words around entities that
+have been seen often enough are paired with them and combined before the shuffle. A second pass counts in how many documents each paired word stands, a third finds the places of
 disclosing words. Which words matter is sent along as a bitmap of bounded size; false ones drop
 out at the join. No pass takes longer than in proportion to the text, however it looks.
 
@@ -43,10 +43,11 @@ KINDS = ("email", "ip", "card", "phone")
 # Kinds of the words that the method adds.
 GENERALISED = "generalised"
 REMOVED = "removed"
-WINDOW = 8
+WINDOW = 30
 LEAST_CONTEXTS = 2
 GENERALISE = 0.6
 REMOVE = 0.8
+ALONE = 0.5
 # Bits of the bitmap that is sent: so many for a word, between these sizes.
 BITS_A_WORD = 16
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 25
@@ -133,8 +134,8 @@ def words_outside(text: str, spans: list[Span]) -> list[Span]:
     return words
 
 
-def surroundings(text: str, spans: list[Span], window: int = WINDOW) -> dict[str, int]:
-    """Per entity a hash of the words around all its places in this text."""
+def surroundings(text: str, spans: list[Span], window: int = WINDOW) -> dict[str, list[str]]:
+    """Per entity the different words around all its places in this text."""
     words = words_outside(text, spans)
     starts = np.array([w[0] for w in words], np.int64)
     found: dict[str, set[str]] = {}
@@ -143,7 +144,7 @@ def surroundings(text: str, spans: list[Span], window: int = WINDOW) -> dict[str
         last = int(np.searchsorted(starts, span[1]))
         near = words[max(0, first - window) : first] + words[last : last + window]
         found.setdefault(entity(text, span), set()).update(w for _, _, w in near)
-    return {e: _hash(" ".join(sorted(near))) >> 1 for e, near in found.items()}
+    return {e: sorted(near) for e, near in found.items()}
 
 
 def sanitised(text: str, spans: list[Span]) -> str:
@@ -184,7 +185,7 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 base = joined(spans)
                 counts = Counter(kind for _, _, kind in spans)
                 near = surroundings(text, spans) if spans else {}
-                entities = [{"entity": e, "around": around} for e, around in near.items()]
+                entities = [{"entity": e, "words": words} for e, words in near.items()]
                 digest = hashlib.sha256(base.encode()).hexdigest()
                 values = (row, *(counts[k] for k in KINDS), digest, base, text, entities)
                 for column, v in zip(columns, values, strict=True):
@@ -197,29 +198,17 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     schema = (
         f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row long, n_email long, "
         "n_ip long, n_card long, n_phone long, base_sha256 string, base_spans string, "
-        "text string, entities array<struct<entity: string, around: long>>"
+        "text string, entities array<struct<entity: string, words: array<string>>>"
     )
     names = ["doc_id", "row", *(f"n_{k}" for k in KINDS), "base_sha256", "base_spans", "text"]
     names.append("entities")
     types = [pa.int64()] * 5 + [pa.string()] * 3
-    place = [("entity", pa.string()), ("around", pa.int64())]
+    place = [("entity", pa.string()), ("words", pa.list_(pa.string()))]
     types.append(pa.list_(pa.struct(place)))
     # Written once: the row numbers, which name a row from here on, are then fixed.
     return written(rows.mapInArrow(run, schema), "private-found")
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(places, text, base_spans) to (places, different words outside the patterns)."""
-    for batch in batches:
-        pairs = zip(batch.column(1), batch.column(2).to_pylist(), strict=True)
-        words = [
-            sorted({w for _, _, w in words_outside(text.as_py(), _spans_of(line))})
-            for text, line in pairs
-        ]
-        columns = [batch.column(0), pa.array(words, pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays(columns, ["places", "words"])
-
-
 class Marked:
     """Whether a word may be one of those in a table: never wrong for those that are."""
 
@@ -256,28 +245,18 @@ class Marked:
 
 
 def paired_words(found: DataFrame) -> DataFrame:
-    """(entity, term, together, with_entity): documents with both, and with the entity."""
-    places = found.select("row", F.explode("entities").alias("e")).select("row", "e.*")
+    """(entity, term, together, with_entity): documents with both near, and with the entity."""
+    places = found.select(F.explode("entities").alias("e")).select("e.*")
+    places = places.withColumn("around", F.xxhash64("words"))
     seen = places.groupBy("entity").agg(
         F.count(F.lit(1)).alias("with_entity"), F.count_distinct("around").alias("contexts")
     )
     # An entity in fewer surroundings cannot have a word in enough of them.
     seen = seen.filter(F.col("contexts") >= LEAST_CONTEXTS).drop("contexts")
     seen = written(seen, "private-entities")
-    of_row = (
-        places.join(seen, "entity")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("entity", "around")).alias("places"))
-    )
-    texts = found.filter(F.size("entities") > 0).select("row", "text", "base_spans")
-    words = (
-        texts.join(of_row, "row")
-        .select("places", "text", "base_spans")
-        .mapInArrow(_words, "places array<struct<entity: string, around: long>>, words array<string>")
-    )
     pairs = (
-        words.select(F.explode("places").alias("p"), "words")
-        .select("p.*", F.explode("words").alias("term"))
+        places.join(seen.select("entity"), "entity")
+        .select("entity", "around", F.explode("words").alias("term"))
         .groupBy("entity", "term", "around")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
@@ -288,7 +267,7 @@ def paired_words(found: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame) -> DataFrame:
-    """(entity, term, remove) from the rows of ``_found``."""
+    """(entity, term, remove, alone) from the rows of ``_found``."""
     pairs = written(paired_words(found), "private-pairs")
     candidates = Marked(pairs.select("term").distinct())
 
@@ -317,19 +296,24 @@ def disclosing_terms(found: DataFrame) -> DataFrame:
     return (
         pairs.join(with_term, "term")
         .filter(share >= GENERALISE)
-        .select("entity", "term", (share >= REMOVE).alias("remove"))
+        .select(
+            "entity",
+            "term",
+            (share >= REMOVE).alias("remove"),
+            ((share >= REMOVE) & (rate >= ALONE)).alias("alone"),
+        )
     )
 
 
 def term_places(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(row, places): the spans of ``terms`` (term, remove) in every text, per document."""
-    wanted = Marked(terms.select("term"))
+    """(row, places): where ``terms`` (entity, term, remove, alone) must not stand, per document."""
+    wanted = Marked(terms.select("term").distinct())
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = wanted.test()
         for batch in batches:
-            hits: list[tuple[int, str, list[dict[str, int]]]] = []
-            for row, value, line in zip(*batch.columns, strict=True):
+            hits: list[tuple[int, str, list[dict[str, int]], list[str]]] = []
+            for row, value, line, own in zip(*batch.columns, strict=True):
                 text = value.as_py()
                 if not any(map(marked, set(_TERM.findall(text.lower())))):
                     continue
@@ -337,18 +321,21 @@ def term_places(found: DataFrame, terms: DataFrame) -> DataFrame:
                 for a, b, word in words_outside(text, _spans_of(line.as_py())):
                     if marked(word):
                         here.setdefault(word, []).append({"a": a, "b": b})
-                hits += [(row.as_py(), word, spans) for word, spans in here.items()]
-            columns = zip(*hits, strict=True) if hits else ([], [], [])
+                hits += [(row.as_py(), word, spans, own.as_py()) for word, spans in here.items()]
+            columns = zip(*hits, strict=True) if hits else ([], [], [], [])
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "term", "spans"])
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "term", "spans", "own"])
 
     span = pa.struct([("a", pa.int64()), ("b", pa.int64())])
-    types = [pa.int64(), pa.string(), pa.list_(span)]
-    hits = found.select("row", "text", "base_spans").mapInArrow(
-        find, "row long, term string, spans array<struct<a: long, b: long>>"
+    types = [pa.int64(), pa.string(), pa.list_(span), pa.list_(pa.string())]
+    hits = found.select("row", "text", "base_spans", "entities.entity").mapInArrow(
+        find, "row long, term string, spans array<struct<a: long, b: long>>, own array<string>"
     )
     return (
         hits.join(terms, "term")
+        .filter(F.col("alone") | F.array_contains("own", F.col("entity")))
+        .groupBy("row", "term")
+        .agg(F.max("remove").alias("remove"), F.first("spans").alias("spans"))
         .groupBy("row")
         .agg(F.collect_list(F.struct("remove", "spans")).alias("places"))
     )
@@ -362,8 +349,7 @@ def find_private(
     ``with_text`` adds ``sanitised``, the text without what it must not show.
     """
     found = _found(docs, id_col, text_col)
-    terms = disclosing_terms(found).groupBy("term").agg(F.max("remove").alias("remove"))
-    places = term_places(found, written(terms, "private-terms"))
+    places = term_places(found, written(disclosing_terms(found), "private-terms"))
     kept = found.select("row", "base_spans", F.col("text") if with_text else F.lit("").alias("text"))
     hit = kept.join(places, "row", "left" if with_text else "inner")
 

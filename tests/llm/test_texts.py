@@ -241,7 +241,7 @@ def test_patterns_equal_plain_expressions():
 
 
 def brute_terms(texts):
-    """term -> whether it is removed, by plain counts over all documents."""
+    """(entity, word) -> kind, and the words removed everywhere, by plain counts."""
     holding, around, together, contexts, with_term = ({} for _ in range(5))
     for i, text in enumerate(texts):
         for word in set(re.findall(r"[^\W_]{3,}", text.lower())):
@@ -260,28 +260,33 @@ def brute_terms(texts):
             near.setdefault(private_data.entity(text, span), set()).update(before + after)
         for e, seen in near.items():
             holding[e] = holding.get(e, 0) + 1
-            for word in {w for _, w in words}:
+            for word in seen:
                 together[e, word] = together.get((e, word), 0) + 1
                 contexts.setdefault((e, word), set()).add(frozenset(seen))
-    terms = {}
+    kinds, alone = {}, set()
     for (e, word), n in together.items():
         information = math.log(len(texts) / holding[e])
         if len(contexts[e, word]) < private_data.LEAST_CONTEXTS or information <= 0:
             continue
         share = math.log(len(texts) * n / max(with_term[word], n) / holding[e]) / information
         if share >= private_data.GENERALISE:
-            terms[word] = terms.get(word, False) or share >= private_data.REMOVE
-    return terms
+            kinds[e, word] = "removed" if share >= private_data.REMOVE else "generalised"
+            if share >= private_data.REMOVE and n / max(with_term[word], n) >= private_data.ALONE:
+                alone.add(word)
+    return kinds, alone
 
 
-def brute_all_spans(text, terms):
+def brute_all_spans(text, kinds, alone):
     base = private_data.pattern_spans(text)
     inside = {i for a, b, _ in base for i in range(a, b)}
     every = list(base)
+    own = {private_data.entity(text, span) for span in base}
     for m in re.finditer(r"[^\W_]{3,}", text):
         word = m.group().lower()
-        if word in terms and not inside & set(range(*m.span())):
-            every.append((*m.span(), "removed" if terms[word] else "generalised"))
+        found = {kinds.get((e, word)) for e in own} | ({"removed"} if word in alone else set())
+        kind = max(found - {None}, default=None)
+        if kind and not inside & set(range(*m.span())):
+            every.append((*m.span(), kind))
     return private_data.joined(sorted(every, key=lambda s: s[0]))
 
 
@@ -331,11 +336,11 @@ def test_disclosing_words_equal_plain_counts(spark):
         rnd.shuffle(words)
         texts.append(" ".join(words))
     texts += texts[:10] + [""]
-    terms = brute_terms(texts)
-    assert {True, False} == set(terms.values())
+    kinds, alone = brute_terms(texts)
+    assert set(kinds.values()) == {"removed", "generalised"} and alone
     df = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOCS).repartition(5)
     found = {r["doc_id"]: r["spans"] for r in private_data.find_private(df).collect()}
-    assert found == {i: brute_all_spans(t, terms) for i, t in enumerate(texts)}
+    assert found == {i: brute_all_spans(t, kinds, alone) for i, t in enumerate(texts)}
 
 
 # Licenses
