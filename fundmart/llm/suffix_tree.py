@@ -36,8 +36,7 @@ no rows; extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -57,14 +56,18 @@ LEAST_COUNT = 4
 # symbol are two numbers.
 TREE_BYTES = 96 << 20
 PAIR_BYTES = CONTEXT_BYTES = 16
-# Symbols in context that a task remembers, of each of the two kinds.
+# Codes within the depth whose probabilities a task remembers.
 KNOWN_CODES = 500_000
+# A task keeps the logarithms of symbols in context in so many (power of two) slots.
+SLOT_BITS = 21
 # Contexts are sent by classes of their count, so many for each doubling.
 CLASSES = 4
 # Bits of the filter of those that are not sent.
 FILTER_BITS = 26
 # Marks the code of a symbol whose context reaches back to the beginning of its word.
 BEGUN = 1 << 62
+# The same for the code of such a context, by its hash, and a symbol.
+BEGUN_PAIR = 1 << 63
 # The shortest contexts belong to many symbols and are repeated so many times for the join.
 SALTS = 64
 # Contexts from the beginning of a word have at most so many bytes of it.
@@ -85,24 +88,36 @@ BACK = pow(STEP, -1, 1 << 64)
 PAIR = 0xC2B2AE3D27D4EB4F
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, list[bytes]]:
+    """Lower-case words (A-Z only, split at ASCII spaces) of all texts, how many each has, and
+    the bytes that are modelled of each."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    words = pc.ascii_split_whitespace(texts)
+    modelled = pc.binary_join(words, " ").cast(pa.binary()).to_pylist()
+    # An empty text is split into one empty word.
+    lengths = np.where(pc.equal(pc.binary_length(texts), 0), 0, words.value_lengths())
+    words = words.flatten()
+    words = words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary())
+    return words, lengths, [t + bytes([END]) for t in modelled]
+
+
 def normalised(text: str) -> tuple[list[bytes], bytes]:
-    """Lower-case words (A-Z only, split at ASCII spaces), and the bytes that are modelled."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    return words, b" ".join(words) + bytes([END])
+    """The words and the modelled bytes of one text."""
+    words, _, modelled = split_words(pa.array([text], pa.string()))
+    return words.to_pylist(), modelled[0]
 
 
-def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+def grams(texts: Sequence[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """A code per symbol (``depth`` bytes of context, then the symbol), and where texts end.
 
     Before a text there are end symbols.
     """
     pad = bytes([END]) * depth
-    data = np.frombuffer(pad + pad.join(texts), np.uint8)
+    data = pad + pad.join(texts)
     n = len(data) - depth
-    codes = np.zeros(n, np.uint64)
-    for i in range(depth + 1):
-        codes <<= np.uint64(8)
-        codes |= data[i : i + n]
+    # The eight bytes from each place on, without those behind the symbol.
+    behind = 7 - depth
+    codes = np.ndarray((n,), ">u8", data + bytes(behind), strides=(1,)) >> np.uint64(8 * behind)
     lengths = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(lengths + depth) - depth
     keep = np.ones(n, bool)
@@ -111,17 +126,34 @@ def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarra
     return codes[keep], np.cumsum(lengths)
 
 
-def _blocks(rows: Iterator[tuple], most: int) -> Iterator[list[tuple]]:
-    """Rows (last item: bytes) in groups of about ``most`` bytes."""
-    block, size = [], 0
-    for row in rows:
-        block.append(row)
-        size += len(row[-1])
-        if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows (last column: texts) in groups of about ``most`` bytes."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(-1)), dtype=np.int64)
+        start, before = 0, 0
+        while start < batch.num_rows:
+            stop = min(int(np.searchsorted(ends, before + most)) + 1, batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start, before = stop, ends[stop - 1]
+
+
+def known_words(
+    words: pa.Array, lengths: np.ndarray, known: pa.Array, logs: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many words of each text are among the known ones, the sum of their ``logs``, and the
+    text's other words (``word``) with how often they occur (``k``)."""
+    place = pc.index_in(words, value_set=known)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    here = pc.is_valid(place).to_numpy(zero_copy_only=False)
+    n_known = np.bincount(text[here], minlength=len(lengths))
+    sums = np.bincount(text[here], logs[place.drop_null().to_numpy()], len(lengths))
+    others = words.filter(pc.is_null(place)).dictionary_encode()
+    kinds, ids = others.dictionary, others.indices.to_numpy().astype(np.int64)
+    rare, k = np.unique(text[~here] * len(kinds) + ids, return_counts=True)
+    text, word = np.divmod(rare, max(len(kinds), 1))
+    pairs = pa.StructArray.from_arrays([kinds.take(pa.array(word)), pa.array(k)], ["word", "k"])
+    bounds = np.searchsorted(text, np.arange(len(lengths) + 1)).astype(np.int32)
+    return n_known, sums, pa.ListArray.from_arrays(pa.array(bounds), pairs)
 
 
 def count_corpus(docs: DataFrame, folds: int, id_col: str, text_col: str, depth: int) -> DataFrame:
@@ -129,15 +161,15 @@ def count_corpus(docs: DataFrame, folds: int, id_col: str, text_col: str, depth:
     texts (code -1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = (normalised(t.as_py()) for batch in batches for t in batch.column(0))
-        for block in _blocks(texts, COUNT_BLOCK_BYTES):
-            words: Counter[bytes] = Counter()
-            for own, _ in block:
-                words.update(own)
-            codes, counts = np.unique(grams([t for _, t in block], depth)[0], return_counts=True)
+        for block in _blocks(batches, COUNT_BLOCK_BYTES):
+            words, _, texts = split_words(block.column(0))
+            words = pc.value_counts(words)
+            codes, counts = np.unique(grams(texts, depth)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(words) + [None] * (len(codes) + 1), pa.binary()),
+                    pa.concat_arrays(
+                        [words.field("values"), pa.nulls(len(codes) + 1, pa.binary())]
+                    ),
                     pa.concat_arrays(
                         [
                             pa.nulls(len(words), pa.int64()),
@@ -147,9 +179,9 @@ def count_corpus(docs: DataFrame, folds: int, id_col: str, text_col: str, depth:
                     ),
                     pa.concat_arrays(
                         [
-                            pa.array(list(words.values()), pa.int64()),
+                            words.field("counts"),
                             pa.array(counts.astype(np.int64)),
-                            pa.array([len(block)], pa.int64()),
+                            pa.array([block.num_rows], pa.int64()),
                         ]
                     ),
                 ],
@@ -311,8 +343,9 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pair_code(contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Codes of symbols behind hashed contexts; no code within the depth is one of them."""
     with np.errstate(over="ignore"):
-        return contexts * np.uint64(PAIR) + symbols.astype(np.uint64)
+        return (contexts * np.uint64(PAIR) + symbols) | np.uint64(BEGUN_PAIR)
 
 
 def _level(rows: pa.Table, hashed: bool) -> tuple:
@@ -381,6 +414,43 @@ class Memory:
         return tuple(x[place] for x in self.values)
 
 
+class Slots:
+    """The number that ``find`` gives for a code, most of which were asked for before.
+
+    A code has one slot, and the last one that came to it stays there. ``find`` gets places of
+    different codes that no slot had.
+    """
+
+    def __init__(self) -> None:
+        size = 1 << SLOT_BITS
+        # Nothing is in its own slot yet.
+        self.codes, self.values = np.full(size, 1, np.uint64), np.zeros(size)
+        self.codes[self._slot(np.uint64(1))] = 0
+
+    @staticmethod
+    def _slot(codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((codes * np.uint64(STEP)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def __call__(
+        self, codes: np.ndarray, find: Callable[[np.ndarray], np.ndarray]
+    ) -> np.ndarray:
+        slots = self._slot(codes)
+        values = self.values[slots]
+        new = np.flatnonzero(self.codes[slots] != codes)
+        if len(new):
+            different, first, inverse = np.unique(
+                codes[new], return_index=True, return_inverse=True
+            )
+            found = find(new[first])
+            values[new] = found[inverse]
+            slots = slots[new[first]]
+            self.codes[slots] = different
+            stays = self.codes[slots] == different
+            self.values[slots[stays]] = found[stays]
+        return values
+
+
 class Tree:
     """Retained contexts per length, sorted, with their distributions as flat arrays.
 
@@ -393,7 +463,7 @@ class Tree:
         # One level per length up to the depth, and one for all contexts that are longer.
         self.depth, self.root, self.levels, self.others = depth, root, levels, others
         self.within = Memory(lambda codes, _: self.probabilities(codes))
-        self.beyond = Memory(self._changes)
+        self.slots = Slots()
 
     @classmethod
     def of(cls, stored: DataFrame, depth: int, others: np.ndarray | None = None) -> Tree:
@@ -459,42 +529,65 @@ class Tree:
         adds[here] = own[at[here]]
         return keeps, adds, elsewhere
 
-    def longer(self, p: np.ndarray, left_open: np.ndarray, data: np.ndarray) -> None:
-        """Put the contexts that reach back to the word's beginning on the probabilities."""
-        hashes, before = word_hashes(data)
-        rows = np.flatnonzero((before >= self.depth) & (before <= LONGEST))
+    def longer(
+        self,
+        p: np.ndarray,
+        left_open: np.ndarray,
+        symbols: np.ndarray,
+        begins: tuple[np.ndarray, np.ndarray] | None = None,
+    ) -> None:
+        """Put the contexts that reach back to the word's beginning on the probabilities.
+
+        ``begins`` are the symbols' ``word_hashes``, if they are not those of a whole text.
+        """
+        hashes, before = word_hashes(symbols) if begins is None else begins
+        rows = np.flatnonzero(self._begun(before))
         hashes = hashes[rows]
-        # Words repeat: each different symbol in context is looked up once.
-        different, inverse = np.unique(_pair_code(hashes, data[rows]), return_inverse=True)
-        wanted = np.zeros(len(different), np.uint64)
-        wanted[inverse] = hashes
-        keeps, adds, elsewhere = self.beyond(different, wanted)
-        left_open[rows] |= elsewhere[inverse]
-        p[rows] = p[rows] * keeps[inverse] + adds[inverse]
-
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+        keeps, adds, elsewhere = self._changes(_pair_code(hashes, symbols[rows]), hashes)
+        left_open[rows] |= elsewhere
+        p[rows] = p[rows] * keeps + adds
+
+    def _begun(self, before: np.ndarray) -> np.ndarray:
+        """Whether so many bytes of its word before a symbol are a context of their own."""
+        return (before >= self.depth) & (before <= LONGEST)
+
+    def score(self, texts: Sequence[bytes]) -> tuple[np.ndarray, pa.Array]:
         """log10 probability of each text without its open symbols, and those as keys (code,
         begin) with their number ``k``."""
         codes, ends = grams(texts, self.depth)
         data = np.frombuffer(b"".join(texts), np.uint8)
-        different, inverse = np.unique(codes, return_inverse=True)
-        p, left_open = (x[inverse] for x in self.within(different, different))
-        self.longer(p, left_open, data)
+        hashes, before = word_hashes(data)
+
+        def find(at: np.ndarray) -> np.ndarray:
+            different, inverse = np.unique(codes[at], return_inverse=True)
+            p, left_open = (x[inverse] for x in self.within(different, different))
+            self.longer(p, left_open, data[at], (hashes[at], before[at]))
+            return np.where(left_open, np.nan, np.log10(p))
+
+        # Words repeat: a symbol after a word's beginning needs nothing from before the word.
+        begun = _pair_code(hashes, data)
+        logs = self.slots(np.where(self._begun(before), begun, codes), find)
+        left_open = np.isnan(logs)
+        logs[left_open] = 0.0
         starts = np.concatenate(([0], ends[:-1]))
-        logs = np.where(left_open, 0.0, np.log10(p))
-        return np.add.reduceat(logs, starts), self._keys(codes, data, left_open, starts)
+        keys = self._keys(codes, hashes, before, left_open, starts)
+        return np.add.reduceat(logs, starts), keys
 
     def _keys(
-        self, codes: np.ndarray, data: np.ndarray, left_open: np.ndarray, starts: np.ndarray
+        self,
+        codes: np.ndarray,
+        hashes: np.ndarray,
+        before: np.ndarray,
+        left_open: np.ndarray,
+        starts: np.ndarray,
     ) -> pa.Array:
         """The open symbols of each text. A key's code is marked if ``begin``, the hash of what
         its word has before the symbol, belongs to it."""
         at = np.flatnonzero(left_open)
         text = np.searchsorted(starts, at, side="right") - 1
-        hashes, before = (x[at] for x in word_hashes(data)) if len(at) else (at, at)
-        begun = (before >= self.depth) & (before <= LONGEST)
+        begun = self._begun(before[at])
         code = codes[at].astype(np.int64) | np.where(begun, BEGUN, 0)
-        begin = np.where(begun, hashes.astype(np.uint64), np.uint64(0)).view(np.int64)
+        begin = np.where(begun, hashes[at], np.uint64(0)).view(np.int64)
         order = np.lexsort((begin, code, text))
         text, code, begin = text[order], code[order], begin[order]
         new = np.ones(len(text), bool)
@@ -690,56 +783,41 @@ def score_corpus(
     common = words.filter(
         (F.col("c") >= COMMON_SHARE * n_tokens) & (F.octet_length("word") <= COMMON_BYTES)
     )
-    known = {bytes(r["word"]): math.log10(r["c"] + 1) for r in common.toLocalIterator()}
+    common = common.toArrow().combine_chunks()
+    known = pa.array(common.column("word").to_pylist(), pa.binary())
+    logs = np.log10(common.column("c").to_numpy() + 1.0)
     # Both have a proven bound, see above.
-    sent = spark.sparkContext.broadcast((model, known))
+    sent = spark.sparkContext.broadcast((model, known, logs, {}))
     weight = math.log10(n_tokens + n_kinds + 1)
     end_part = math.log10(texts + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, logs = sent.value
-        scorer = Tree(*model)
+        model, frequent, values, kept = sent.value
+        # What one task of a worker has looked up serves the next one.
+        if "scorer" not in kept:
+            kept["scorer"] = Tree(*model)
         row = TaskContext.get().partitionId() << 40
         # A document's place in its task names it until its parts are added up.
-        entries = (
-            (batch.column(0)[i], batch.column(1)[i], *normalised(batch.column(2)[i].as_py()))
-            for batch in batches
-            for i in range(batch.num_rows)
-        )
-        for block in _blocks(entries, BLOCK_BYTES):
-            scores, keys = scorer.score([b[-1] for b in block])
-            out, rare, numbers, bounds = [], [], [], [0]
-            for (doc_id, is_held, own, _), score in zip(block, scores.tolist(), strict=True):
-                counted = Counter(own)
-                base, n_known = end_part, int(texts > 0)
-                for word, k in counted.items():
-                    value = logs.get(word)
-                    if value is None:
-                        rare.append(word)
-                        numbers.append(k)
-                    else:
-                        base += k * value
-                        n_known += k
-                n = len(own) + 1
-                out.append((row, doc_id, is_held, n, n_known, base - n * weight, score))
-                bounds.append(len(rare))
-                row += 1
-            columns = list(zip(*out, strict=True))
+        for block in _blocks(batches, BLOCK_BYTES):
+            doc_ids, is_held, own = block.columns
+            words, lengths, own = split_words(own)
+            scores, keys = kept["scorer"].score(own)
+            n_known, base, rare = known_words(words, lengths, frequent, values)
             arrays = [
-                pa.array([x.as_py() for x in c] if k in (1, 2) else c, t)
-                for k, (c, t) in enumerate(zip(columns, types, strict=True))
+                pa.array(np.arange(row, row + block.num_rows)),
+                doc_ids,
+                is_held,
+                pa.array(lengths + 1, pa.int64()),
+                pa.array(n_known + int(texts > 0)),
+                pa.array(base + end_part - (lengths + 1) * weight),
+                pa.array(scores),
             ]
-            pairs = [pa.array(rare, pa.binary()), pa.array(numbers, pa.int64())]
-            pairs = pa.StructArray.from_arrays(pairs, ["word", "k"])
-            rare_lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pairs)
-            yield pa.RecordBatch.from_arrays([*arrays, rare_lists, keys], names)
+            yield pa.RecordBatch.from_arrays([*arrays, rare, keys], names)
+            row += block.num_rows
 
     names = [
         "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "keys"
     ]
-    types = [
-        pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()
-    ]
     rows = docs.select(
         named(id_col).cast("long").alias("doc_id"),
         held_out(id_col, folds).alias("held_out"),

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fundmart.llm import suffix_tree
@@ -221,3 +222,48 @@ def test_memory_gives_what_was_found(monkeypatch):
         assert odd.tolist() == [c % 2 == 1 for c in codes.tolist()]
         assert (np.diff(memory.codes.astype(np.int64)) > 0).all()
     assert sum(asked) < 5 + 4 * 100 + 250
+
+
+def test_symbols_seen_before_are_not_sorted_again(monkeypatch):
+    nothing = (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0))
+    tree = suffix_tree.Tree(5, np.full(256, 1 / 256), [nothing] * 6)
+    words = [b"wonderful cat\n", b"\n", b"the cat sat on the wonderful mat\n"]
+    before, _ = tree.score(words)
+    sizes, unique = [], np.unique
+
+    def counted(values, *args, **options):
+        sizes.append(len(values))
+        return unique(values, *args, **options)
+
+    monkeypatch.setattr(np, "unique", counted)
+    again, _ = tree.score(words)
+    assert sum(sizes) == 0
+    assert again.tolist() == before.tolist()
+    assert again.tolist() == pytest.approx([-len(w) * math.log10(256) for w in words])
+
+
+def test_slots_that_codes_take_from_each_other_give_what_was_found(monkeypatch):
+    monkeypatch.setattr(suffix_tree, "SLOT_BITS", 3)
+    slots, rng = suffix_tree.Slots(), np.random.default_rng(1)
+    for size in (0, 1, 5, 50, 50, 2):
+        codes = rng.integers(0, 40, size).astype(np.uint64)
+        found = slots(codes, lambda at, codes=codes: codes[at] * 3.0)
+        assert found.tolist() == [3.0 * c for c in codes.tolist()]
+
+
+def test_words_of_a_block_equal_those_of_each_text():
+    texts = ["", " \t", "Été\x0bThe\x0c  CAT\r\nthe \x85  x\x1cy ", "cat rare cat rare", "mat"]
+    words, lengths, modelled = suffix_tree.split_words(pa.array(texts))
+    own = [re.sub("[A-Z]", lambda m: m.group().lower(), t).encode().split() for t in texts]
+    assert words.to_pylist() == [w for t in own for w in t]
+    assert lengths.tolist() == [len(t) for t in own]
+    assert modelled == [b" ".join(t) + b"\n" for t in own]
+    known = {b"cat": 0.5, b"the": 2.0}
+    for some in (known, {}):
+        n_known, sums, others = suffix_tree.known_words(
+            words, lengths, pa.array(list(some), pa.binary()), np.array(list(some.values()))
+        )
+        assert n_known.tolist() == [sum(w in some for w in t) for t in own]
+        assert sums.tolist() == [sum(some.get(w, 0.0) for w in t) for t in own]
+        rare = [Counter(w for w in t if w not in some) for t in own]
+        assert [{p["word"]: p["k"] for p in t} for t in others.to_pylist()] == rare
